@@ -114,7 +114,9 @@ def grid_cells_on_way(lon1: Column, lat1: Column, lon2: Column, lat2: Column) ->
         near, far = 0.5 + CORNER_TOLERANCE, 0.5 - CORNER_TOLERANCE
         down = s["slope"] > 0
         first = F.when(down, F.floor(entry + near)).otherwise(F.ceil(entry - near))
-        last = F.when(down, F.floor(leave + far)).otherwise(F.ceil(leave - far))
+        last = F.when(down, F.greatest(first, F.floor(leave + far))).otherwise(
+            F.least(first, F.ceil(leave - far))
+        )
         return first.cast("int"), last.cast("int")
 
     def run(first: Column, last: Column, x: Column) -> Column:

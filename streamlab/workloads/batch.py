@@ -114,7 +114,7 @@ def cell_coords(t: Tables) -> DataFrame:
     {angle_sql('"endLon"', '"endLat"', '"startLon"', '"startLat"')} AS angle,
     trunc({angle_sql('"endLon"', '"endLat"', '"startLon"', '"startLat"')} / 45)::INT AS bucket,
     round({EVENT_DISTANCE.format("(-73.9)::FLOAT", "40.7::FLOAT")}, 6) AS "toPoint",
-    round((epoch_ms("endTime") - epoch_ms("startTime")) / 60000.0::DOUBLE, 6) AS minutes
+    round(((epoch_us("endTime") // 1000) - (epoch_us("startTime") // 1000)) / 60000.0::DOUBLE, 6) AS minutes
     FROM v_rides"""
 )
 def geo_functions(t: Tables) -> DataFrame:
@@ -154,7 +154,8 @@ def geo_functions(t: Tables) -> DataFrame:
     c AS (SELECT *,
       CASE WHEN slope > 0 THEN floor(a + 0.55::DOUBLE) ELSE ceil(a - 0.55::DOUBLE) END::INT AS ya,
       CASE WHEN slope > 0 THEN floor(z + 0.45::DOUBLE) ELSE ceil(z - 0.45::DOUBLE) END::INT AS yz FROM b)
-    SELECT "rideId", "isStart", x + 250 * unnest(range(ya, yz + 1))::INT AS cell FROM c"""
+    SELECT "rideId", "isStart", x + 250 * unnest(CASE WHEN slope > 0 THEN range(ya, greatest(ya, yz) + 1)
+      ELSE range(least(ya, yz), ya + 1) END)::INT AS cell FROM c"""
 )
 def grid_cells_on_way(t: Tables) -> DataFrame:
     c = F.col
@@ -166,7 +167,7 @@ def grid_cells_on_way(t: Tables) -> DataFrame:
     f"""WITH {RIDES_SQL} SELECT "rideId", "eventTime" FROM v_rides
     WHERE NOT "isStart" AND "passengerCnt" > 2
       AND {EVENT_DISTANCE.format("(-73.8793)::FLOAT", "40.748::FLOAT")} < 2.0
-      AND epoch_ms("eventTime") % 2 = 0"""
+      AND (epoch_us("eventTime") // 1000) % 2 = 0"""
 )
 def match_predicate(t: Tables) -> DataFrame:
     predicate = (
@@ -250,7 +251,7 @@ def rides_per_hour(t: Tables) -> DataFrame:
 
 @query(
     f"""WITH {RIDES_SQL} SELECT "passengerCnt",
-    round(avg(epoch_ms("endTime") - epoch_ms("startTime")), 3) AS "avgDurationMs"
+    round(avg((epoch_us("endTime") // 1000) - (epoch_us("startTime") // 1000)), 3) AS "avgDurationMs"
     FROM v_rides WHERE NOT "isStart" GROUP BY ALL"""
 )
 def avg_duration_by_passengers(t: Tables) -> DataFrame:
@@ -506,7 +507,7 @@ def sequence_rules(t: Tables) -> DataFrame:
     f AS (SELECT *, {END_CELL} AS cell,
       trunc({angle_sql('"endLon"', '"endLat"', '"startLon"', '"startLat"')} / 45)::INT AS bucket,
       {dist_sql('"startLon"', '"startLat"', '"endLon"', '"endLat"')} AS x,
-      CASE WHEN NOT "isStart" THEN (epoch_ms("endTime") - epoch_ms("startTime")) / 60000.0::DOUBLE END AS y
+      CASE WHEN NOT "isStart" THEN ((epoch_us("endTime") // 1000) - (epoch_us("startTime") // 1000)) / 60000.0::DOUBLE END AS y
       FROM v_city),
     m AS (SELECT *, count(y) OVER w AS n, sum(x * y) OVER w AS sxy,
       sum(CASE WHEN NOT "isStart" THEN x * x END) OVER w AS sxx FROM f
@@ -578,7 +579,7 @@ _VALID = f"""WITH {RIDES_SQL}, valid AS (SELECT *, lead("eventTime") OVER (PARTI
     f"""{_VALID}, {CONTROLS_SQL} SELECT "controlId", "controlTime", "rideId", "taxiId", "eventTime"
     FROM valid JOIN v_controls ON "eventTime" <= "controlTime"
       AND ("until" IS NULL OR "controlTime" < "until")
-    WHERE "isStart" AND (epoch_ms("controlTime") - epoch_ms("eventTime")) // 60000 >= minutes"""
+    WHERE "isStart" AND ((epoch_us("controlTime") // 1000) - (epoch_us("eventTime") // 1000)) // 60000 >= minutes"""
 )
 def ongoing_rides(t: Tables) -> DataFrame:
     return control.ongoing_rides(t.rides, t.controls).select(
@@ -590,7 +591,7 @@ def _predicate_sql(watermark: str) -> str:
     near = EVENT_DISTANCE.format("(-73.8793)::FLOAT", "40.748::FLOAT")
     return (
         '(CASE "controlId" WHEN 0 THEN "isStart" WHEN 1 THEN NOT "isStart" AND "passengerCnt" > 2 '
-        f'WHEN 2 THEN {near} < 2.0 WHEN 3 THEN epoch_ms({watermark}) % 2 = 0 '
+        f'WHEN 2 THEN {near} < 2.0 WHEN 3 THEN (epoch_us({watermark}) // 1000) % 2 = 0 '
         'ELSE "driverId" < 30 AND "isStart" END)'
     )
 
@@ -601,13 +602,13 @@ def _predicate_sql(watermark: str) -> str:
     SELECT 'QUERY' AS kind, "controlTime" AS at, "controlId", NULL::BIGINT AS "rideId" FROM v_predicates
     UNION ALL
     SELECT 'PBE', "controlTime", "controlId", "rideId" FROM valid JOIN v_predicates
-      ON epoch_ms("eventTime") <= epoch_ms("controlTime")
-      AND ("until" IS NULL OR epoch_ms("controlTime") < epoch_ms("until"))
+      ON (epoch_us("eventTime") // 1000) <= (epoch_us("controlTime") // 1000)
+      AND ("until" IS NULL OR (epoch_us("controlTime") // 1000) < (epoch_us("until") // 1000))
       WHERE {_predicate_sql('"controlTime"')}
     UNION ALL
     SELECT 'PE', "eventTime", "controlId", "rideId" FROM v_rides JOIN spans
-      ON epoch_ms("eventTime") > epoch_ms("controlTime")
-      AND (nxt IS NULL OR epoch_ms("eventTime") <= epoch_ms(nxt))
+      ON (epoch_us("eventTime") // 1000) > (epoch_us("controlTime") // 1000)
+      AND (nxt IS NULL OR (epoch_us("eventTime") // 1000) <= (epoch_us(nxt) // 1000))
       WHERE {_predicate_sql('"eventTime"')}"""
 )
 def taxi_query(t: Tables) -> DataFrame:
@@ -835,10 +836,10 @@ def _trip_lines(t: Tables) -> DataFrame:
 @query(
     _TRIPS
     + """SELECT event_id AS "rideId", true AS "isStart", up AS "startTime",
-      TIMESTAMP '1970-01-01 00:00:00' AS "endTime", -73.98::DOUBLE AS "startLon", 0::DOUBLE AS "endLon",
+      TIMESTAMP '1970-01-01 00:00:00' AS "endTime", round((-73.98)::FLOAT::DOUBLE, 6) AS "startLon", 0::DOUBLE AS "endLon",
       (event_id % 4 + 1)::SMALLINT AS "passengerCnt", user_id AS "taxiId", user_id + 1000 AS "driverId"
       FROM tr UNION ALL
-    SELECT event_id, false, up, down, -73.98, 0, (event_id % 4 + 1)::SMALLINT, user_id, user_id + 1000
+    SELECT event_id, false, up, down, round((-73.98)::FLOAT::DOUBLE, 6), 0, (event_id % 4 + 1)::SMALLINT, user_id, user_id + 1000
       FROM tr"""
 )
 def trips_to_ride_events(t: Tables) -> DataFrame:
@@ -868,7 +869,7 @@ def raw_fares_to_fares(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""{_HOPS} SELECT '{{"time":"' || epoch_ms(ws + INTERVAL 15 MINUTE) || '","location":"'
+    f"""{_HOPS} SELECT '{{"time":"' || (epoch_us(ws + INTERVAL 15 MINUTE) // 1000) || '","location":"'
       || {LAT_OF_CELL} || ',' || {LON_OF_CELL} || '","isStart":"' || "isStart" || '","cnt":"' || cnt
       || '"}}' AS document FROM hops WHERE cnt >= 2"""
 )
@@ -878,7 +879,7 @@ def place_documents(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT 'rides,key=' || user_id || ' value=' || value || ' ' || epoch_ms(ts) AS value FROM events"""
+    """SELECT 'rides,key=' || user_id || ' value=' || value || ' ' || (epoch_us(ts) // 1000) AS value FROM events"""
 )
 def line_protocol(t: Tables) -> DataFrame:
     return sinks.to_line_protocol(

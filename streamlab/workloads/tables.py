@@ -309,7 +309,10 @@ class Tables:
         self.sf_dir = sf_dir
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A table; its times without a zone are UTC."""
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        zoneless = [c for c, kind in df.dtypes if kind == "timestamp_ntz"]
+        return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless})
 
     @property
     def rides(self) -> DataFrame:
