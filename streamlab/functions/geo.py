@@ -1,10 +1,12 @@
-"""City grid and distance expressions. Every function maps Columns to a Column."""
+"""City grid and distance expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from streamlab.plans.once import once
+
 # The city box, the grid steps and the length of a degree in km.
 LON_EAST = -73.7
 LON_WEST = -74.05
@@ -86,48 +88,67 @@ def direction_bucket(angle: Column) -> Column:
 CORNER_TOLERANCE = 0.05
 
 
-def grid_cells_on_way(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
-    """Cells crossed by the straight line between the two points' cell centres, west to east.
+def _path_line(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
+    """Grid line between two points, from its western end (x0, y0) to (x1, y1).
 
-    The line is cut at the column borders; inside a grid column the crossed cells are one
-    contiguous run of rows, so the list is two nested sequences and needs no walk.
+    ``side`` is 1 or -1 and the y values are multiplied by it, so that y never falls along the line
+    and ``slope`` is not negative.
     """
-    ends = F.array(
-        F.struct(grid_x(lon1).alias("x"), grid_y(lat1).alias("y")),
-        F.struct(grid_x(lon2).alias("x"), grid_y(lat2).alias("y")),
-    )
-    swap = ends[0]["x"] > ends[1]["x"]
-    west, east = F.when(swap, ends[1]).otherwise(ends[0]), F.when(swap, ends[0]).otherwise(ends[1])
-    line = F.struct(
-        west["x"].alias("x0"),
-        west["y"].alias("y0"),
-        east["x"].alias("x1"),
-        east["y"].alias("y1"),
-        F.when(
-            east["x"] != west["x"], (east["y"] - west["y"]) / (east["x"] - west["x"])
-        ).alias("slope"),
+    ends = F.array_sort(
+        F.array(
+            F.struct(grid_x(lon1).alias("x"), F.lit(0).alias("i"), grid_y(lat1).alias("y")),
+            F.struct(grid_x(lon2).alias("x"), F.lit(1).alias("i"), grid_y(lat2).alias("y")),
+        )
     )
-
-    def column_rows(s: Column, x: Column) -> tuple[Column, Column]:
-        entry = s["y0"] + (F.greatest(x - 0.5, s["x0"].cast("double")) - s["x0"]) * s["slope"]
-        leave = s["y0"] + (F.least(x + 0.5, s["x1"].cast("double")) - s["x0"]) * s["slope"]
-        near, far = 0.5 + CORNER_TOLERANCE, 0.5 - CORNER_TOLERANCE
-        down = s["slope"] > 0
-        first = F.when(down, F.floor(entry + near)).otherwise(F.ceil(entry - near))
-        last = F.when(down, F.greatest(first, F.floor(leave + far))).otherwise(
-            F.least(first, F.ceil(leave - far))
+    def line(e: Column) -> Column:
+        west, east = e[0], e[1]
+        side = F.when(east["y"] < west["y"], -1).otherwise(1)
+        # A vertical line has a slope beyond any grid height.
+        width = F.greatest((east["x"] - west["x"]).cast("double"), F.lit(1e-9))
+        return F.struct(
+            west["x"].alias("x0"),
+            (west["y"] * side).alias("y0"),
+            east["x"].alias("x1"),
+            (east["y"] * side).alias("y1"),
+            side.alias("side"),
+            (F.abs(east["y"] - west["y"]) / width).alias("slope"),
         )
-        return first.cast("int"), last.cast("int")
 
-    def run(first: Column, last: Column, x: Column) -> Column:
-        return F.transform(F.sequence(first, last), lambda y: x + F.lit(GRID_WIDTH) * y)
+    return F.transform(F.array(ends), line)[0]
 
-    def walk(s: Column) -> Column:
-        return F.when(s["x0"] == s["x1"], run(s["y0"], s["y1"], s["x0"])).otherwise(
-            F.flatten(
-                F.transform(F.sequence(s["x0"], s["x1"]), lambda x: run(*column_rows(s, x), x))
-            )
-        )
 
-    # A one-element transform binds the line once instead of repeating its expression per use.
-    return F.transform(F.array(line), walk)[0]
+def _column_run(line: Column, x: Column) -> Column:
+    """The cells the line crosses in grid column ``x``: one contiguous run of rows."""
+    middle = line["y0"] + (x - line["x0"]) * line["slope"]
+    entry = F.greatest(middle - line["slope"] / 2, line["y0"].cast("double"))
+    leave = F.least(middle + line["slope"] / 2, line["y1"].cast("double"))
+    first = F.floor(entry + F.lit(0.5 + CORNER_TOLERANCE))
+    last = F.greatest(first, F.floor(leave + F.lit(0.5 - CORNER_TOLERANCE)))
+    step = line["side"] * F.lit(GRID_WIDTH)
+    return F.sequence((x + step * first).cast("int"), (x + step * last).cast("int"), step)
+
+
+def grid_cells_on_way(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
+    """Cells crossed by the straight line between the two points' cell centres, west to east.
+
+    The line is cut at the column borders, so the list is a run of cells per grid column and needs
+    no walk.
+    """
+    return F.transform(
+        F.array(_path_line(lon1, lat1, lon2, lat2)),
+        lambda line: F.flatten(
+            F.transform(F.sequence(line["x0"], line["x1"]), lambda x: _column_run(line, x))
+        ),
+    )[0]
+
+
+def path_cells(
+    df: DataFrame, lon1: Column, lat1: Column, lon2: Column, lat2: Column, name: str = "cell"
+) -> DataFrame:
+    """``grid_cells_on_way`` as rows: one row per crossed cell, by generators in compiled code."""
+    return (
+        df.withColumn("_line", once(_path_line(lon1, lat1, lon2, lat2)))
+        .withColumn("_x", F.explode(F.sequence("_line.x0", "_line.x1")))
+        .withColumn(name, F.explode(_column_run(F.col("_line"), F.col("_x"))))
+        .drop("_line", "_x")
+    )

@@ -12,8 +12,9 @@ STOP_WORDS = [
     "message", "not", "be", "with", "you", "have", "as", "can",
 ]
 
-WORD_BREAK = "[ \\t\\n\\r\\f]+"
-WORD = "^[A-Za-z]+$"
+# A token of letters only, between white space: a token with any other character has no match.
+_SPACE = " \\t\\n\\r\\f"
+WORD = f"(?<![^{_SPACE}])[a-z]++(?![^{_SPACE}])"
 
 
 def month(time: Column) -> Column:
@@ -26,11 +27,15 @@ def email_address(sender: Column) -> Column:
     return F.substring(address, F.lit(1), F.length(address) - 1)
 
 
-def tokens(text: Column, stop_words: list[str] | None = None) -> Column:
+def words(text: Column) -> Column:
     """Lower-case words of letters only; a token with any other character is dropped whole."""
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+
+
+def tokens(text: Column, stop_words: list[str] | None = None) -> Column:
+    """``words`` without the common ones."""
     stop = STOP_WORDS if stop_words is None else stop_words
-    keep = lambda w: w.rlike(WORD) & ~w.isin(stop) if stop else w.rlike(WORD)
-    return F.filter(F.split(F.lower(text), WORD_BREAK), keep)
+    return F.filter(words(text), lambda w: ~w.isin(stop)) if stop else words(text)
 
 
 def tf_idf_weight(tf: Column, df: Column, documents: Column) -> Column:

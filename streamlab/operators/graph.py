@@ -33,7 +33,8 @@ def pagerank(
     shuffles one row per edge part and one per vertex: contributions are summed before the shuffle,
     and a vertex without incoming edges takes part with a zero contribution instead of a join.
     """
-    transitions = cut_lineage(transition_weights(edges, part_rows), "transitions")
+    given = cut_lineage(edges.select("src", "dst", "weight"), "edges")
+    transitions = cut_lineage(transition_weights(given, part_rows), "transitions")
     ends = transitions.select(F.explode(F.array("src", "dst")).alias("id"))
     vertices = cut_lineage(ends.distinct(), "vertices")
     hot = cut_lineage(hot_keys(transitions, ["src"], part_rows), "hot-sources")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from streamlab.functions import text as tx
 from streamlab.plans.hotkeys import MAX_HOT_KEYS, PART_ROWS, salted_join
+from streamlab.plans.lineage import cut_lineage
+from streamlab.plans.once import once
 from streamlab.schemas import MAIL_COLUMNS, MAIL_TIME_FORMAT
 
 # Addresses of bots.
@@ -70,37 +72,44 @@ def member_of_month(mails: DataFrame, bots: list[str] | None = None) -> DataFram
 # --- term statistics -----------------------------------------------------------------------------
 
 
+def _stop(stop_words: list[str] | None) -> list[str]:
+    return tx.STOP_WORDS if stop_words is None else stop_words
+
+
 def term_frequency(
     docs: DataFrame, id_col: str, text_col: str, stop_words: list[str] | None = None
 ) -> DataFrame:
     """``(id, word, tf)``. One document is one row, so its words are counted inside the row: sorted,
     cut into runs of equal words, and no word crosses the network before it is counted."""
-    words = F.array_sort(tx.tokens(F.col(text_col), stop_words))
-    return (
-        docs.select(id_col, words.alias("_w"))
+    words = F.sort_array(tx.words(F.col(text_col)))
+    starts = F.filter(
+        F.sequence(F.lit(1), F.size("_w")),
+        lambda i: (i == 1) | (F.get("_w", i - 1) != F.get("_w", i - 2)),
+    )
+    runs = F.arrays_zip(
+        F.col("_at").alias("at"),
+        F.concat(F.expr("slice(_at, 2, size(_at))"), F.array(F.size("_w") + 1)).alias("to"),
+    )
+    counted = (
+        docs.select(id_col, once(words).alias("_w"))
         .filter(F.size("_w") > 0)
-        .withColumn(
-            "_at",
-            F.filter(
-                F.sequence(F.lit(1), F.size("_w")),
-                lambda i: (i == 1) | (F.get("_w", i - 1) != F.get("_w", i - 2)),
-            ),
-        )
-        .withColumn("_to", F.concat(F.expr("slice(_at, 2, size(_at))"), F.array(F.size("_w") + 1)))
-        .select(id_col, F.explode(F.arrays_zip("_at", "_to")).alias("_run"), "_w")
+        .select(id_col, "_w", once(starts).alias("_at"))
+        .select(id_col, "_w", F.explode(runs).alias("_run"))
         .select(
             id_col,
-            F.get("_w", F.col("_run._at") - 1).alias("word"),
-            (F.col("_run._to") - F.col("_run._at")).cast("long").alias("tf"),
+            F.get("_w", F.col("_run.at") - 1).alias("word"),
+            (F.col("_run.to") - F.col("_run.at")).cast("long").alias("tf"),
         )
     )
+    return counted.filter(~F.col("word").isin(_stop(stop_words)))
 
 
 def document_frequency(
     docs: DataFrame, text_col: str, stop_words: list[str] | None = None
 ) -> DataFrame:
     """``(word, df)``: in how many documents each word occurs."""
-    words = F.array_distinct(tx.tokens(F.col(text_col), stop_words))
+    stop = F.array(*[F.lit(w) for w in _stop(stop_words)]).cast("array<string>")
+    words = F.array_except(tx.words(F.col(text_col)), stop)
     return (
         docs.select(F.explode(words).alias("word"))
         .groupBy("word")
@@ -117,7 +126,8 @@ def tf_idf(
 ) -> DataFrame:
     """``(id, word, tfidf)`` with ``tf * (N / df)``."""
     tf = term_frequency(docs, id_col, text_col, stop_words)
-    df = document_frequency(docs, text_col, stop_words)
+    # One row per word, used three times: kept, so that the texts are not read again for each use.
+    df = cut_lineage(document_frequency(docs, text_col, stop_words), "document-frequency")
     # df is also the number of rows a word has in tf, so hot words are read off it.
     hot = (
         df.filter(F.col("df") > part_rows)
@@ -139,24 +149,29 @@ FIELD_DELIMITER = "#|#"
 RECORD_DELIMITER = "##//##"
 ARCHIVE_PREFIX = "From dev-return"
 
-_BLANK = "^[\\x00-\\x20]*$"
+# Just before the first line that holds nothing but white space. Only "\\n" ends a line.
+_BODY_START = "(?dm)(?=^[\\x00-\\x09\\x0B-\\x20]*$)"
+_BLANK_FIRST_LINE = "\\A[\\x00-\\x09\\x0B-\\x20]*(\\n|\\z)"
 
 
 def parse_mails(raw: DataFrame, column: str = "value", prefix: str = ARCHIVE_PREFIX) -> DataFrame:
     """Raw mail texts to the six mail fields. Mails that lack a field, or hold a delimiter in one,
     are dropped."""
     # Line breaks at the very end do not make lines.
-    lines = F.split(F.regexp_replace(F.col(column), "\\n+$", ""), "\\n")
-    placed = (
-        raw.select(lines.alias("_lines"))
-        .withColumn(
-            "_blank",
-            F.array_position(F.transform("_lines", lambda line: line.rlike(_BLANK)), F.lit(True)),
-        )
-        .filter("_blank > 0")
-        .withColumn("_headers", F.expr("slice(_lines, 1, CAST(_blank AS INT) - 1)"))
-        .withColumn("_rest", F.expr("slice(_lines, CAST(_blank AS INT), size(_lines))"))
+    text = F.regexp_replace(F.col(column), "\\n+$", "")
+    halves = (
+        raw.select(once(F.split(text, _BODY_START, 2)).alias("_half"))
+        .filter(F.size("_half") == 2)
+        .select(F.col("_half")[0].alias("_head"), F.col("_half")[1].alias("_rest"))
+        .filter(~F.col("_head").rlike(_BLANK_FIRST_LINE))
+        .select(once(F.split("_head", "\\n")).alias("_headers"), "_rest")
     )
+    fields = {
+        "messageId": "message-id: ",
+        "sender": "from: ",
+        "subject": "subject: ",
+        "replyTo": "in-reply-to: ",
+    }
 
     def found(name: str) -> Column:
         matching = F.filter("_headers", lambda line: F.lower(line).startswith(name))
@@ -165,37 +180,27 @@ def parse_mails(raw: DataFrame, column: str = "value", prefix: str = ARCHIVE_PRE
     def clean(c: Column) -> Column:
         return ~c.contains(FIELD_DELIMITER) & ~c.contains(RECORD_DELIMITER)
 
-    first = F.try_element_at(
-        F.filter("_headers", lambda line: line.startswith(prefix)), F.lit(-1)
-    )
-    stamp = F.regexp_replace(F.substring(first, -24, 24), "\\s+", " ")
+    first = F.try_element_at(F.filter("_headers", lambda line: line.startswith(prefix)), F.lit(-1))
+    stamp = F.when(F.length(first) >= 24, F.regexp_replace(F.substring(first, -24, 24), "\\s+", " "))
     when = F.try_to_timestamp(F.regexp_replace(stamp, "^ ?\\S+ ", ""), F.lit("MMM d HH:mm:ss yyyy"))
-    fields = {
-        "messageId": "message-id: ",
-        "sender": "from: ",
-        "subject": "subject: ",
-        "replyTo": "in-reply-to: ",
-    }
-    listed = placed.select(
-        F.when(F.length(first) >= 24, F.date_format(when, MAIL_TIME_FORMAT)).alias("time"),
-        F.regexp_replace(
-            F.concat(F.array_join("_rest", "\n"), F.lit("\n")), "=\\n", ""
-        ).alias("body"),
-        *[found(prefix_).alias(name) for name, prefix_ in fields.items()],
-    )
+    body = F.regexp_replace(F.concat("_rest", F.lit("\n")), "=\\n", "")
+    parsed = halves.select(
+        once(
+            F.struct(
+                F.date_format(when, MAIL_TIME_FORMAT).alias("time"),
+                body.alias("body"),
+                *[found(start).alias(name) for name, start in fields.items()],
+            )
+        ).alias("m")
+    ).select("m.*")
+    valid = clean(F.col("body"))
     for name in fields:
-        listed = listed.filter(F.forall(name, clean))
+        valid = valid & F.forall(name, clean)
     last = {name: F.try_element_at(name, F.lit(-1)) for name in fields}
+    last["replyTo"] = F.coalesce(last["replyTo"], F.lit("null"))
     return (
-        listed.filter(clean(F.col("body")))
-        .select(
-            last["messageId"].alias("messageId"),
-            "time",
-            last["sender"].alias("sender"),
-            last["subject"].alias("subject"),
-            "body",
-            F.coalesce(last["replyTo"], F.lit("null")).alias("replyTo"),
-        )
+        parsed.filter(valid)
+        .select(*[last.get(c, F.col(c)).alias(c) for c in MAIL_COLUMNS])
         .filter(" AND ".join(f"{c} IS NOT NULL" for c in MAIL_COLUMNS))
     )
 

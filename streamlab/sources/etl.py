@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlab.plans.numbering import number_rows
+from streamlab.plans.once import once
 from streamlab.sources.readers import parse_fares, parse_rides
 
 #: Fixed value: the unknown end time of a START event.
@@ -13,8 +14,8 @@ UNKNOWN_TIME = "1970-01-01 00:00:00"
 
 
 def _tokens(df: DataFrame, column: str) -> DataFrame:
-    line = F.regexp_replace(F.col(column), "\\r", "")
-    return df.withColumn("_line", line).withColumn("_t", F.split("_line", ","))
+    line = F.translate(F.col(column), "\r", "")
+    return df.withColumn("_line", once(line)).withColumn("_t", once(F.split("_line", ",")))
 
 
 def _numbered(df: DataFrame, time_token: int, row_id: Column | None) -> DataFrame:

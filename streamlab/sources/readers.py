@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from streamlab import schemas
 from streamlab.operators import mail
 from streamlab.operators.rides import with_event_time
+from streamlab.plans.once import once
 
 
 def _lines(spark: SparkSession, path: str, streaming: bool, **options: str) -> DataFrame:
@@ -19,11 +20,11 @@ def _lines(spark: SparkSession, path: str, streaming: bool, **options: str) -> D
 def _fields(line: Column, pattern: str, count: int, keep: list[int], strict: bool) -> Column:
     """The wanted tokens of a line; a line with another number of tokens fails or becomes null."""
     tokens = F.split(line, pattern)
-    wanted = F.transform(F.array(*[F.lit(i) for i in keep]), lambda i: F.get(tokens, i))
+    wanted = tokens if len(keep) == count else F.array(*[F.get(tokens, F.lit(i)) for i in keep])
     if not strict:
-        return F.when(F.size(tokens) == count, wanted)
+        return once(F.when(F.size(tokens) == count, wanted))
     refuse = F.raise_error(F.concat(F.lit("Invalid record: "), line))
-    return F.when(F.size(tokens) == count, wanted).otherwise(refuse)
+    return once(F.when(F.size(tokens) == count, wanted).otherwise(refuse))
 
 
 def _float(token: Column) -> Column:

@@ -139,8 +139,7 @@ def geo_functions(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    f"""WITH {RIDES_SQL}, s AS (
+_PATH = f"""WITH {RIDES_SQL}, s AS (
       SELECT "rideId", "isStart",
         floor((74.05::DOUBLE - abs("startLon"::DOUBLE)) / 0.0014::DOUBLE)::INT AS x0,
         floor((41::DOUBLE - "startLat"::DOUBLE) / 0.00125::DOUBLE)::INT AS y0,
@@ -156,13 +155,23 @@ def geo_functions(t: Tables) -> DataFrame:
       CASE WHEN slope > 0 THEN floor(z + 0.45::DOUBLE) ELSE ceil(z - 0.45::DOUBLE) END::INT AS yz FROM b)
     SELECT "rideId", "isStart", x + 250 * unnest(CASE WHEN slope > 0 THEN range(ya, greatest(ya, yz) + 1)
       ELSE range(least(ya, yz), ya + 1) END)::INT AS cell FROM c"""
-)
+
+
+@query(_PATH)
 def grid_cells_on_way(t: Tables) -> DataFrame:
     c = F.col
     way = geo.grid_cells_on_way(c("startLon"), c("startLat"), c("endLon"), c("endLat"))
     return rides.cleanse_rides(t.rides).select("rideId", "isStart", F.explode(way).alias("cell"))
 
 
+@query(_PATH)
+def path_cells(t: Tables) -> DataFrame:
+    c = F.col
+    city = rides.cleanse_rides(t.rides)
+    cells = geo.path_cells(city, c("startLon"), c("startLat"), c("endLon"), c("endLat"))
+    return cells.select("rideId", "isStart", "cell")
+
+
 @query(
     f"""WITH {RIDES_SQL} SELECT "rideId", "eventTime" FROM v_rides
     WHERE NOT "isStart" AND "passengerCnt" > 2
