@@ -25,6 +25,11 @@ def query(sql: str | None = None) -> Callable:
     return register
 
 
+def oracle_of(name: str) -> str | None:
+    """The check SQL of another query, for a second form of the same work."""
+    return _ORACLES.get(name)
+
+
 def _load() -> None:
     from streamlab.workloads import batch, streams  # noqa: F401
 

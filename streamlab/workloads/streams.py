@@ -1 +1,151 @@
-"""Streaming runs."""
+"""Streaming runs over the given tables. Each reads the whole events table as a file stream, runs to the
+end of it, and must give the rows of the batch form.
+
+A stream's watermark stops at its last row, so what is still open then would never come out. One more
+row in the far future, from a file of its own, lets time pass; its results are filtered away.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from streamlab.operators import joins, rides
+from streamlab.plans.lineage import scratch_path
+from streamlab.streaming import operators as so
+from streamlab.streaming.runs import run_available
+from streamlab.workloads import batch, tables
+from streamlab.workloads.registry import oracle_of, query
+from streamlab.workloads.tables import Tables
+
+FLUSH_ID = 1 << 40
+FLUSH_USER = -1
+DELAY = "1 hour"
+
+
+def _stream(t: Tables, name: str) -> DataFrame:
+    path = f"{t.sf_dir}/{name}.parquet"
+    stream = t.spark.readStream.schema(t.spark.read.parquet(path).schema).parquet(path)
+    zoneless = [c for c, kind in stream.dtypes if kind == "timestamp_ntz"]
+    return stream.withColumns({c: F.col(c).cast("timestamp") for c in zoneless})
+
+
+def _events(t: Tables, flush_id: int = FLUSH_ID, kind: str = "flush") -> DataFrame:
+    events = _stream(t, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    path = scratch_path(t.spark, "flush")
+    far = F.lit("2100-01-01 00:00:00").cast("timestamp")
+    t.spark.range(1).select(
+        F.lit(flush_id).cast("long").alias("event_id"),
+        far.alias("ts"),
+        F.lit(FLUSH_USER).cast("long").alias("user_id"),
+        F.lit(kind).alias("event_type"),
+        F.lit(0.0).alias("value"),
+    ).write.parquet(path)
+    return events.unionByName(t.spark.readStream.schema(events.schema).parquet(path))
+
+
+@query(oracle_of("popular_places"))
+def stream_popular_places(t: Tables) -> DataFrame:
+    timed = rides.with_event_time(tables.rides_from_events(_events(t)), DELAY)
+    found = run_available(rides.popular_places(timed, min_count=2), "popular-places")
+    return found.select(
+        batch.rounded("lon"), batch.rounded("lat"), "windowStart", "windowEnd", "isStart", "cnt"
+    )
+
+
+@query(oracle_of("hourly_tip_max"))
+def stream_hourly_tip_max(t: Tables) -> DataFrame:
+    fares = tables.fares_from_events(_events(t)).withWatermark("startTime", DELAY)
+    found = run_available(rides.hourly_tip_max(fares), "hourly-tip-max")
+    return found.filter(F.col("driverId") != FLUSH_USER).select(
+        "windowEnd", "driverId", batch.rounded("tips")
+    )
+
+
+@query(oracle_of("ride_count"))
+def stream_ride_count(t: Tables) -> DataFrame:
+    counts = rides.ride_count(tables.rides_from_events(_events(t)))
+    found = run_available(counts, "ride-count", "update")
+    newest = F.max_by("cnt", "batch").alias("cnt")
+    return found.filter(F.col("driverId") != FLUSH_USER).groupBy("driverId").agg(newest)
+
+
+@query(oracle_of("long_rides"))
+def stream_long_rides(t: Tables) -> DataFrame:
+    found = run_available(so.long_rides(tables.rides_from_events(_events(t)), delay=DELAY), "long-rides")
+    return found.filter(F.col("taxiId") != FLUSH_USER).select("rideId", "taxiId", "eventTime")
+
+
+@query(oracle_of("asof_join"))
+def stream_asof_join(t: Tables) -> DataFrame:
+    events = _events(t, kind="purchase")
+    left = events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    signups = _stream(t, "events").filter("event_type = 'signup'")
+    right = signups.select("user_id", "ts", F.col("event_id").alias("signupId"))
+    joined = so.asof_join(left, right, "user_id", "ts", "signupId", delay=DELAY)
+    found = run_available(joined, "asof").filter(F.col("user_id") != FLUSH_USER)
+    return found.select("event_id", "user_id", "ts", F.col("signupId").cast("long").alias("signupId"))
+
+
+@query(oracle_of("driving_segments"))
+def stream_driving_segments(t: Tables) -> DataFrame:
+    cars = tables.cars_from_events(_events(t))
+    found = run_available(so.driving_segments(cars, delay=DELAY), "segments")
+    # The processor's times are whole milliseconds, so the exact start is read from the table.
+    starts = t.cars.select(
+        "carId", F.timestamp_millis(F.unix_millis("ts")).alias("_start"), F.col("ts").alias("startTime")
+    )
+    exact = found.withColumnRenamed("startTime", "_start").join(starts, ["carId", "_start"])
+    return exact.select(
+        "carId", "startTime", "length", "maxSpeed", batch.rounded("erraticness"), "label"
+    )
+
+
+@query(oracle_of("event_time_order"))
+def stream_event_time_sort(t: Tables) -> DataFrame:
+    cars = tables.cars_from_events(_events(t))
+    found = run_available(
+        so.event_time_sort(cars, "carId", "ts", F.col("id").cast("long"), DELAY), "sorted"
+    )
+    return found.filter(f"carId <> '{FLUSH_USER}'").select("id", "carId", "ts", "seq")
+
+
+@query(oracle_of("travel_time_predictions"))
+def stream_travel_time_predictions(t: Tables) -> DataFrame:
+    found = run_available(
+        so.travel_time_predictions(tables.rides_from_events(_events(t)), DELAY), "travel-time"
+    )
+    return found.select("rideId", "prediction")
+
+
+@query(oracle_of("ongoing_rides"))
+def stream_ongoing_rides(t: Tables) -> DataFrame:
+    controls = tables.controls_from_nations(_stream(t, "nation"))
+    found = run_available(
+        so.ongoing_rides(tables.rides_from_events(_events(t)), controls, DELAY, buckets=8), "ongoing"
+    )
+    return found.select("controlId", "controlTime", "rideId", "taxiId", "eventTime")
+
+
+@query(
+    f"""WITH {tables.RIDES_SQL}, l AS (SELECT * FROM v_rides WHERE "isStart"),
+    r AS (SELECT event_id // 2 AS "rideId", ts AS "startTime" FROM events)
+    SELECT coalesce(l."rideId", r."rideId") AS "rideId",
+    CASE WHEN r."rideId" IS NULL THEN 'left_only' WHEN l."rideId" IS NULL THEN 'right_only'
+         ELSE 'matched' END AS status, l."eventTime" AS "rideTime", r."startTime" AS "fareTime"
+    FROM l FULL JOIN r ON l."rideId" = r."rideId" AND r."startTime"
+      BETWEEN l."eventTime" - INTERVAL 2 MINUTE AND l."eventTime" + INTERVAL 2 MINUTE"""
+)
+def stream_match_or_expire(t: Tables) -> DataFrame:
+    timed = rides.with_event_time(tables.rides_from_events(_events(t)), DELAY)
+    paid = _events(t).withColumn("event_id", F.floor(F.col("event_id") / 2))
+    fares = tables.fares_from_events(paid.withColumn("value", F.lit(0.0)))
+    found = run_available(
+        joins.match_or_expire(timed, fares.withWatermark("startTime", DELAY), "2 minutes"), "expire"
+    )
+    return found.filter(F.col("rideId") < FLUSH_ID >> 2).select(
+        "rideId",
+        "status",
+        F.col("ride.eventTime").alias("rideTime"),
+        F.col("fare.startTime").alias("fareTime"),
+    )
