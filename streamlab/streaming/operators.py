@@ -8,6 +8,7 @@ functions take streams directly.
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -18,6 +19,9 @@ from streamlab.operators import travel
 from streamlab.operators.rides import end_rides, with_event_time
 from streamlab.streaming import processors
 
+# Processors travel to the executors by value, so that workers need no copy of this package.
+cloudpickle.register_pickle_by_value(processors)
+
 #: Control rows are repeated once per bucket; rides of a taxi live in one bucket.
 BUCKETS = 64
 

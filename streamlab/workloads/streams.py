@@ -25,7 +25,8 @@ DELAY = "1 hour"
 
 def _stream(t: Tables, name: str) -> DataFrame:
     path = f"{t.sf_dir}/{name}.parquet"
-    stream = t.spark.readStream.schema(t.spark.read.parquet(path).schema).parquet(path)
+    # A pattern, because a file stream refuses a plain file as its folder.
+    stream = t.spark.readStream.schema(t.spark.read.parquet(path).schema).parquet(f"{path}*")
     zoneless = [c for c, kind in stream.dtypes if kind == "timestamp_ntz"]
     return stream.withColumns({c: F.col(c).cast("timestamp") for c in zoneless})
 
