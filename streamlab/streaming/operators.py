@@ -35,13 +35,13 @@ def _apply(
 
 
 def _timed(df: DataFrame, ts: str, delay: str) -> DataFrame:
-    """Watermarked ``_time``, ``ms`` and the whole row as JSON ``payload``."""
+    """Watermarked ``_time``, ``us`` and the whole row as JSON ``payload``."""
     payload = F.to_json(F.struct(*df.columns), {"timestampFormat": _STAMP})
     return (
         df.withColumn("payload", payload)
         .withColumn("_time", F.col(ts))
         .withWatermark("_time", delay)
-        .withColumn("ms", F.unix_millis("_time"))
+        .withColumn("us", F.unix_micros("_time"))
     )
 
 
@@ -52,23 +52,23 @@ def _unpack(payload: str, like: DataFrame) -> Column:
     return F.from_json(payload, like.schema, {"timestampFormat": _STAMP})
 
 
-def _millis(interval: str) -> int:
-    """Milliseconds of text such as '2 hours'."""
+def _micros(interval: str) -> int:
+    """Microseconds of text such as '2 hours'."""
     count, unit = interval.split()
     unit = unit.rstrip("s")
-    return int(count) * {
+    return 1000 * int(count) * {
         "millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000,
     }[unit]
 
 
-def _from_ms(name: str) -> Column:
-    return F.timestamp_millis(F.col(name))
+def _from_us(name: str) -> Column:
+    return F.timestamp_micros(F.col(name))
 
 
 def long_rides(rides: DataFrame, within: str = "120 minutes", delay: str = "60 seconds") -> DataFrame:
     timed = with_event_time(rides)
-    rows = _timed(timed, "eventTime", delay).select("rideId", "isStart", "ms", "payload", "_time")
-    found = _apply(rows, ["rideId"], processors.OpenStarts(_millis(within)))
+    rows = _timed(timed, "eventTime", delay).select("rideId", "isStart", "us", "payload", "_time")
+    found = _apply(rows, ["rideId"], processors.OpenStarts(_micros(within)))
     return found.select(_unpack("payload", timed).alias("r")).select("r.*")
 
 
@@ -78,7 +78,7 @@ def event_time_sort(
     """Rows with their place (``seq``) in the event-time order of their key; late rows are dropped."""
     order = F.lit(0) if tie is None else tie
     rows = _timed(df, ts, delay).select(
-        key, "ms", order.cast("long").alias("tie"), "payload", "_time"
+        key, "us", order.cast("long").alias("tie"), "payload", "_time"
     )
     found = _apply(rows, [key], processors.SortedRows())
     return found.select(_unpack("payload", df).alias("r"), "seq").select("r.*", "seq")
@@ -88,9 +88,9 @@ def rolling_count(
     df: DataFrame, key: str, ts: str, within: str = "10 minutes", delay: str = "60 seconds"
 ) -> DataFrame:
     rows = _timed(df, ts, delay).select(
-        key, "ms", F.lit(0).cast("long").alias("tie"), "payload", "_time"
+        key, "us", F.lit(0).cast("long").alias("tie"), "payload", "_time"
     )
-    found = _apply(rows, [key], processors.RollingCount(_millis(within)))
+    found = _apply(rows, [key], processors.RollingCount(_micros(within)))
     return found.select(_unpack("payload", df).alias("r"), "cnt").select("r.*", "cnt")
 
 
@@ -123,7 +123,7 @@ def asof_join(
             F.col(value).cast("string").alias("value"),
         )
     )
-    rows = sides.withWatermark("_time", delay).withColumn("ms", F.unix_millis("_time"))
+    rows = sides.withWatermark("_time", delay).withColumn("us", F.unix_micros("_time"))
     found = _apply(rows, [by], processors.AsOf(early=emit == "provisional+final"))
     return found.select(
         _unpack("payload", left).alias("r"), F.coalesce("value", F.lit(default)).alias(value), "final"
@@ -136,7 +136,7 @@ def driving_segments(
     rows = cars.select(
         "carId",
         F.col("ts").alias("_time"),
-        F.unix_millis("ts").alias("ms"),
+        F.unix_micros("ts").alias("us"),
         F.lit(0).cast("long").alias("tie"),
         "speed",
         "throttle",
@@ -144,7 +144,7 @@ def driving_segments(
     found = _apply(rows, ["carId"], processors.DrivingSegments(require_leading_stop))
     return found.select(
         "carId",
-        _from_ms("startMs").alias("startTime"),
+        _from_us("startUs").alias("startTime"),
         "length",
         "maxSpeed",
         "erraticness",
@@ -160,7 +160,7 @@ def travel_time_predictions(rides: DataFrame, delay: str = "60 seconds") -> Data
         .select(
             "destCell",
             "_time",
-            F.unix_millis("_time").alias("ms"),
+            F.unix_micros("_time").alias("us"),
             (~F.col("isStart")).cast("long").alias("tie"),
             "bucket",
             "distance",
@@ -179,7 +179,7 @@ def _with_controls(
     placed = rows.withColumn("_bucket", F.pmod(F.xxhash64(bucket), F.lit(buckets)).cast("int"))
     repeated = controls.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     both = placed.unionByName(repeated, allowMissingColumns=True)
-    return both.withWatermark("_time", delay).withColumn("ms", F.unix_millis("_time"))
+    return both.withWatermark("_time", delay).withColumn("us", F.unix_micros("_time"))
 
 
 def match_sequence_rules(
@@ -229,7 +229,7 @@ def ongoing_rides(
     both = _with_controls(rows, asked, F.col("taxiId"), delay, buckets)
     found = _apply(both, ["_bucket"], processors.OngoingRides())
     return found.select(
-        "controlId", _from_ms("controlMs").alias("controlTime"), _unpack("payload", timed).alias("r")
+        "controlId", _from_us("controlUs").alias("controlTime"), _unpack("payload", timed).alias("r")
     ).select("controlId", "controlTime", "r.*")
 
 
@@ -258,15 +258,15 @@ def nearest_taxi(
         "lat",
     )
     both = _with_controls(rows, asked, F.col("taxiId"), delay, buckets)
-    ttl = None if query_ttl is None else _millis(query_ttl)
+    ttl = None if query_ttl is None else _micros(query_ttl)
     c = F.col
     reports = _apply(both, ["_bucket"], processors.TaxiReports(ttl), "reportTime").select(
         "queryId",
         "reportTime",
-        "ms",
+        "us",
         c("rideId").alias("tie"),
         "taxiId",
         geo.distance(c("queryLon"), c("queryLat"), c("endLon"), c("endLat")).cast("float").alias("km"),
     )
-    best = _apply(reports, ["queryId"], processors.Improvements(_millis(report_ttl)))
-    return best.select("queryId", "taxiId", "km", _from_ms("ms").alias("eventTime"))
+    best = _apply(reports, ["queryId"], processors.Improvements(_micros(report_ttl)))
+    return best.select("queryId", "taxiId", "km", _from_us("us").alias("eventTime"))

@@ -1,7 +1,7 @@
 """Stateful processors: the small per-key steps that built-in streaming operators cannot express.
 
 Spark groups, shuffles, times and stores; a processor only says what one key does with its rows.
-Rows carry event time as epoch milliseconds (``ms``) and whole records as JSON text, so the same
+Rows carry event time as epoch microseconds (``us``) and whole records as JSON text, so the same
 processors serve any record type.
 
 Most of them build on ``InOrder``: rows wait in state until the watermark reaches them and are then
@@ -10,20 +10,21 @@ seen in event-time order. The results do not depend on arrival order, and equal
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Iterator
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
 
 class InOrder(StatefulProcessor):
-    """Holds rows back until the watermark reaches them, then passes them on in (ms, tie) order."""
+    """Holds rows back until the watermark reaches them, then passes them on in (us, tie) order."""
 
-    #: DDL of the waiting rows; starts with ms and tie.
-    fields = "ms BIGINT, tie BIGINT, payload STRING"
+    #: DDL of the waiting rows; starts with us and tie.
+    fields = "us BIGINT, tie BIGINT, payload STRING"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -49,19 +50,19 @@ class InOrder(StatefulProcessor):
         record = Row(*self.names)
         yield from self.arrived(key, [record(*values) for values in fresh])
         self.waiting.appendList(fresh)
-        self.handle.registerTimer(min(values[0] for values in fresh))
+        self.handle.registerTimer(min(values[0] for values in fresh) // 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         watermark = timerValues.getCurrentWatermarkInMs()
         record = Row(*self.names)
         ready, later = [], []
         for values in self.waiting.get():
-            (ready if values[0] <= watermark else later).append(tuple(values))
+            (ready if values[0] // 1000 <= watermark else later).append(tuple(values))
         if not ready:
             return
         if later:
             self.waiting.put(later)
-            self.handle.registerTimer(min(values[0] for values in later))
+            self.handle.registerTimer(min(values[0] for values in later) // 1000)
         else:
             self.waiting.clear()
         ready.sort(key=lambda values: (values[0], values[1]))
@@ -85,36 +86,36 @@ class SortedRows(InOrder):
 
 
 class RollingCount(InOrder):
-    """Every row with the number of rows of its key in the last ``within_ms``, ties included."""
+    """Every row with the number of rows of its key in the last ``within_us``, ties included."""
 
     output = "payload STRING, cnt BIGINT"
 
-    def __init__(self, within_ms: int) -> None:
-        self.within_ms = within_ms
+    def __init__(self, within_us: int) -> None:
+        self.within_us = within_us
 
     def prepare(self, handle):
-        self.recent = handle.getListState("recent", "ms BIGINT")
+        self.recent = handle.getListState("recent", "us BIGINT")
 
     def released(self, key, rows):
         times = [values[0] for values in self.recent.get()] if self.recent.exists() else []
         known = len(times)
-        times += [row.ms for row in rows]
+        times += [row.us for row in rows]
         first, last = 0, known
         for i, row in enumerate(rows, start=known):
-            while times[first] < row.ms - self.within_ms:
+            while times[first] < row.us - self.within_us:
                 first += 1
             last = max(last, i)
-            while last + 1 < len(times) and times[last + 1] == row.ms:
+            while last + 1 < len(times) and times[last + 1] == row.us:
                 last += 1
             yield Row(payload=row.payload, cnt=last - first + 1)
-        self.recent.put([(ms,) for ms in times[first:]])
+        self.recent.put([(us,) for us in times[first:]])
 
 
 class DrivingSegments(InOrder):
     """Runs of driving rows closed by a stop. Only the totals of the open run are kept."""
 
-    fields = "ms BIGINT, tie BIGINT, speed FLOAT, throttle FLOAT"
-    output = "carId STRING, startMs BIGINT, length BIGINT, maxSpeed INT, erraticness DOUBLE"
+    fields = "us BIGINT, tie BIGINT, speed FLOAT, throttle FLOAT"
+    output = "carId STRING, startUs BIGINT, length BIGINT, maxSpeed INT, erraticness DOUBLE"
 
     def __init__(self, require_leading_stop: bool = False) -> None:
         self.require_leading_stop = require_leading_stop
@@ -122,7 +123,7 @@ class DrivingSegments(InOrder):
     def prepare(self, handle):
         self.open = handle.getValueState(
             "open",
-            "stopped BOOLEAN, n BIGINT, startMs BIGINT, top DOUBLE, total DOUBLE, squares DOUBLE",
+            "stopped BOOLEAN, n BIGINT, startUs BIGINT, top DOUBLE, total DOUBLE, squares DOUBLE",
         )
 
     def released(self, key, rows):
@@ -131,14 +132,14 @@ class DrivingSegments(InOrder):
         i = 0
         while i < len(rows):
             j = i
-            while j < len(rows) and rows[j].ms == rows[i].ms:
+            while j < len(rows) and rows[j].us == rows[i].us:
                 j += 1
             if any(row.speed == 0 for row in rows[i:j]):
                 n, start, top, total, squares = run
                 if n > 0 and (stopped or not self.require_leading_stop):
                     spread = max(squares / n - (total / n) ** 2, 0.0)
                     yield Row(
-                        carId=key[0], startMs=start, length=n, maxSpeed=int(top),
+                        carId=key[0], startUs=start, length=n, maxSpeed=int(top),
                         erraticness=math.sqrt(spread),
                     )
                 stopped, run = True, list(empty)
@@ -147,7 +148,7 @@ class DrivingSegments(InOrder):
                     n, start, top, total, squares = run
                     run = [
                         n + 1,
-                        start if n else row.ms,
+                        start if n else row.us,
                         max(top, row.speed) if n else row.speed,
                         total + row.throttle,
                         squares + row.throttle * row.throttle,
@@ -159,7 +160,7 @@ class DrivingSegments(InOrder):
 class TravelTimes(InOrder):
     """Predictions for START rows from the END rows before them, per direction bucket."""
 
-    fields = "ms BIGINT, tie BIGINT, bucket INT, distance DOUBLE, minutes DOUBLE, rideId BIGINT"
+    fields = "us BIGINT, tie BIGINT, bucket INT, distance DOUBLE, minutes DOUBLE, rideId BIGINT"
     output = "rideId BIGINT, prediction INT"
 
     def prepare(self, handle):
@@ -186,7 +187,7 @@ class AsOf(InOrder):
     on arrival from what is known by then, and answered again only if that was not final.
     """
 
-    fields = "ms BIGINT, tie BIGINT, payload STRING, value STRING"
+    fields = "us BIGINT, tie BIGINT, payload STRING, value STRING"
     output = "payload STRING, value STRING, final BOOLEAN"
 
     def __init__(self, early: bool = False) -> None:
@@ -202,18 +203,18 @@ class AsOf(InOrder):
     def arrived(self, key, rows):
         if not self.early:
             return
-        known = [(r.ms, r.value) for r in rows if r.tie == 0]
+        known = [(r.us, r.value) for r in rows if r.tie == 0]
         known += [(v[0], v[3]) for v in self.waiting.get() if v[1] == 0]
         for row in rows:
             if row.tie == 1:
-                before = [pair for pair in known if pair[0] <= row.ms]
+                before = [pair for pair in known if pair[0] <= row.us]
                 value = max(before)[1] if before else self._current()
                 self.answers.updateValue((row.payload,), (value,))
                 yield Row(payload=row.payload, value=value, final=False)
 
     def released(self, key, rows):
         value = self._current()
-        for row in sorted(rows, key=lambda r: (r.ms, r.tie, r.value or "")):
+        for row in sorted(rows, key=lambda r: (r.us, r.tie, r.value or "")):
             if row.tie == 0:
                 value = row.value
                 continue
@@ -228,47 +229,51 @@ class AsOf(InOrder):
 
 
 class OpenStarts(StatefulProcessor):
-    """START rows that no END of the same key follows within ``within_ms``."""
+    """START rows that no END of the same key follows within ``within_us``."""
 
     output = "payload STRING"
 
-    def __init__(self, within_ms: int) -> None:
-        self.within_ms = within_ms
+    def __init__(self, within_us: int) -> None:
+        self.within_us = within_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.starts = handle.getListState("starts", "ms BIGINT, payload STRING")
-        self.first_end = handle.getValueState("end", "ms BIGINT")
+        self.starts = handle.getListState("starts", "us BIGINT, payload STRING")
+        self.first_end = handle.getValueState("end", "us BIGINT")
 
     def handleInputRows(self, key, rows, timerValues):
         ends, starts = [], []
         for row in rows:
-            (starts if row.isStart else ends).append((row.ms, row.payload))
+            (starts if row.isStart else ends).append((row.us, row.payload))
         if self.first_end.exists():
             ends.append((self.first_end.get()[0], None))
         if ends:
             first = min(end[0] for end in ends)
             self.first_end.update((first,))
-            self.handle.registerTimer(first + self.within_ms)
+            self.handle.registerTimer((first + self.within_us) // 1000)
             starts += [tuple(s) for s in self.starts.get()]
-            starts = [s for s in starts if first > s[0] + self.within_ms]
+            starts = [s for s in starts if first > s[0] + self.within_us]
             self.starts.put(starts) if starts else self.starts.clear()
         elif starts:
             self.starts.appendList(starts)
-        for ms, _ in starts:
-            self.handle.registerTimer(ms + self.within_ms)
+        for us, _ in starts:
+            self.handle.registerTimer((us + self.within_us) // 1000)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        limit = timerValues.getCurrentWatermarkInMs() - self.within_ms
+        watermark = timerValues.getCurrentWatermarkInMs()
+
+        def over(us: int) -> bool:
+            return (us + self.within_us) // 1000 <= watermark
+
         kept = []
-        for ms, payload in self.starts.get():
-            if ms <= limit:
+        for us, payload in self.starts.get():
+            if over(us):
                 yield Row(payload=payload)
             else:
-                kept.append((ms, payload))
+                kept.append((us, payload))
         self.starts.put(kept) if kept else self.starts.clear()
-        if self.first_end.exists() and self.first_end.get()[0] <= limit:
+        if self.first_end.exists() and over(self.first_end.get()[0]):
             self.first_end.clear()
 
 
@@ -276,14 +281,18 @@ class SequenceRules(InOrder):
     """Two-step rules that arrive as control rows (``rule`` not null) next to the items."""
 
     fields = (
-        "ms BIGINT, tie BIGINT, item STRING, shape STRING, payload STRING, "
+        "us BIGINT, tie BIGINT, item STRING, shape STRING, payload STRING, "
         "rule STRING, first STRING, second STRING"
     )
     output = "rule STRING, item STRING, firstPayload STRING, secondPayload STRING"
 
     def prepare(self, handle):
         self.rules = handle.getMapState("rules", "rule STRING", "first STRING, second STRING")
-        self.pending = handle.getMapState("pending", "item STRING, rule STRING", "payloads STRING")
+        # Pending first items are numbered, so that adding one does not rewrite the others.
+        self.pending = handle.getMapState(
+            "pending", "item STRING, rule STRING, n BIGINT", "payload STRING"
+        )
+        self.waits = handle.getMapState("waits", "item STRING, rule STRING", "n BIGINT")
 
     def released(self, key, rows):
         rules = {k[0]: tuple(v) for k, v in self.rules.iterator()}
@@ -296,64 +305,63 @@ class SequenceRules(InOrder):
                 if row.shape not in (first, second):
                     continue
                 slot = (row.item, rule)
-                waiting = []
-                if self.pending.containsKey(slot):
-                    waiting = json.loads(self.pending.getValue(slot)[0])
+                n = self.waits.getValue(slot)[0] if self.waits.containsKey(slot) else 0
                 if row.shape == second:
-                    for payload in waiting:
+                    for i in range(n):
                         yield Row(
-                            rule=rule, item=row.item, firstPayload=payload,
+                            rule=rule, item=row.item,
+                            firstPayload=self.pending.getValue((*slot, i))[0],
                             secondPayload=row.payload,
                         )
-                    waiting = []
+                        self.pending.removeKey((*slot, i))
+                    if n:
+                        self.waits.removeKey(slot)
+                    n = 0
                 if row.shape == first:
-                    waiting.append(row.payload)
-                if waiting:
-                    self.pending.updateValue(slot, (json.dumps(waiting),))
-                else:
-                    self.pending.removeKey(slot)
+                    self.pending.updateValue((*slot, n), (row.payload,))
+                    self.waits.updateValue(slot, (n + 1,))
 
 
 class OngoingRides(InOrder):
     """Latest ride per taxi of one bucket; control rows (``minutes`` not null) list the ongoing."""
 
     fields = (
-        "ms BIGINT, tie BIGINT, taxiId BIGINT, isStart BOOLEAN, payload STRING, "
+        "us BIGINT, tie BIGINT, taxiId BIGINT, isStart BOOLEAN, payload STRING, "
         "controlId BIGINT, minutes BIGINT"
     )
-    output = "controlId BIGINT, controlMs BIGINT, payload STRING"
+    output = "controlId BIGINT, controlUs BIGINT, payload STRING"
 
     def prepare(self, handle):
         self.latest = handle.getMapState(
-            "latest", "taxiId BIGINT", "ms BIGINT, isStart BOOLEAN, payload STRING"
+            "latest", "taxiId BIGINT", "us BIGINT, isStart BOOLEAN, payload STRING"
         )
 
     def released(self, key, rows):
         for row in rows:
             if row.minutes is None:
-                self.latest.updateValue((row.taxiId,), (row.ms, row.isStart, row.payload))
+                self.latest.updateValue((row.taxiId,), (row.us, row.isStart, row.payload))
                 continue
-            for ms, is_start, payload in self.latest.values():
-                if is_start and (row.ms - ms) // 60_000 >= row.minutes:
-                    yield Row(controlId=row.controlId, controlMs=row.ms, payload=payload)
+            for us, is_start, payload in self.latest.values():
+                if is_start and (row.us // 1000 - us // 1000) // 60_000 >= row.minutes:
+                    yield Row(controlId=row.controlId, controlUs=row.us, payload=payload)
 
 
 class TaxiReports(InOrder):
     """Distances of END rides to the active queries of one bucket (``queryId`` not null: a query)."""
 
     fields = (
-        "ms BIGINT, tie BIGINT, taxiId BIGINT, rideId BIGINT, lon FLOAT, lat FLOAT, queryId BIGINT"
+        "us BIGINT, tie BIGINT, taxiId BIGINT, rideId BIGINT, lon FLOAT, lat FLOAT, queryId BIGINT"
     )
     output = (
         "queryId BIGINT, queryLon FLOAT, queryLat FLOAT, taxiId BIGINT, rideId BIGINT, "
-        "endLon FLOAT, endLat FLOAT, ms BIGINT, reportTime TIMESTAMP"
+        "endLon FLOAT, endLat FLOAT, us BIGINT, reportTime TIMESTAMP"
     )
 
-    def __init__(self, query_ttl_ms: int | None) -> None:
-        self.query_ttl_ms = query_ttl_ms
+    def __init__(self, query_ttl_us: int | None) -> None:
+        self.query_ttl_us = query_ttl_us
 
     def prepare(self, handle):
-        self.queries = handle.getMapState("queries", "queryId BIGINT", "ms BIGINT, lon FLOAT, lat FLOAT")
+        self.queries = handle.getMapState("queries", "queryId BIGINT", "us BIGINT, lon FLOAT, lat FLOAT")
 
     def released(self, key, rows):
         active = {k[0]: tuple(v) for k, v in self.queries.iterator()}
@@ -362,46 +370,46 @@ class TaxiReports(InOrder):
                 for query_id, (_, lon, lat) in active.items():
                     yield Row(
                         queryId=query_id, queryLon=lon, queryLat=lat, taxiId=row.taxiId,
-                        rideId=row.rideId, endLon=row.lon, endLat=row.lat, ms=row.ms,
-                        reportTime=datetime.fromtimestamp(row.ms / 1000, timezone.utc),
+                        rideId=row.rideId, endLon=row.lon, endLat=row.lat, us=row.us,
+                        reportTime=_EPOCH + timedelta(microseconds=row.us),
                     )
                 continue
-            if self.query_ttl_ms is not None:
+            if self.query_ttl_us is not None:
                 for query_id in [
-                    q for q, v in active.items() if row.ms - v[0] > self.query_ttl_ms
+                    q for q, v in active.items() if row.us - v[0] > self.query_ttl_us
                 ]:
                     del active[query_id]
                     self.queries.removeKey((query_id,))
             if row.lon != 0:
-                active[row.queryId] = (row.ms, row.lon, row.lat)
+                active[row.queryId] = (row.us, row.lon, row.lat)
                 self.queries.updateValue((row.queryId,), active[row.queryId])
 
 
 class Improvements(InOrder):
-    """Reports closer than all earlier ones of their query; the best is forgotten ``ttl_ms`` after it
+    """Reports closer than all earlier ones of their query; the best is forgotten ``ttl_us`` after it
     was set."""
 
-    fields = "ms BIGINT, tie BIGINT, taxiId BIGINT, km FLOAT"
-    output = "queryId BIGINT, taxiId BIGINT, km FLOAT, ms BIGINT"
+    fields = "us BIGINT, tie BIGINT, taxiId BIGINT, km FLOAT"
+    output = "queryId BIGINT, taxiId BIGINT, km FLOAT, us BIGINT"
 
-    def __init__(self, ttl_ms: int) -> None:
-        self.ttl_ms = ttl_ms
+    def __init__(self, ttl_us: int) -> None:
+        self.ttl_us = ttl_us
 
     def prepare(self, handle):
-        self.best = handle.getValueState("best", "km FLOAT, ms BIGINT")
+        self.best = handle.getValueState("best", "km FLOAT, us BIGINT")
 
     def released(self, key, rows):
         best = tuple(self.best.get()) if self.best.exists() else None
         for row in rows:
-            if best is None or row.km < best[0] or row.ms > best[1] + self.ttl_ms:
-                best = (row.km, row.ms)
-                yield Row(queryId=key[0], taxiId=row.taxiId, km=row.km, ms=row.ms)
+            if best is None or row.km < best[0] or row.us > best[1] + self.ttl_us:
+                best = (row.km, row.us)
+                yield Row(queryId=key[0], taxiId=row.taxiId, km=row.km, us=row.us)
         if best is not None:
             self.best.update(best)
-            self.handle.registerTimer(best[1] + self.ttl_ms)
+            self.handle.registerTimer((best[1] + self.ttl_us) // 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
         if self.best.exists():
-            if self.best.get()[1] + self.ttl_ms < timerValues.getCurrentWatermarkInMs():
+            if (self.best.get()[1] + self.ttl_us) // 1000 < timerValues.getCurrentWatermarkInMs():
                 self.best.clear()

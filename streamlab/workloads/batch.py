@@ -490,6 +490,9 @@ def event_time_sort(t: Tables) -> DataFrame:
     )
 
 
+RULES = [("buy", "view", "purchase"), ("fail", "click", "error"), ("again", "signup", "signup")]
+
+
 @query(
     """WITH rules(rule, a, b) AS (VALUES ('buy', 'view', 'purchase'), ('fail', 'click', 'error'),
       ('again', 'signup', 'signup')),
@@ -504,8 +507,7 @@ def sequence_rules(t: Tables) -> DataFrame:
     items = t["events"].select(
         F.col("event_id").alias("seq"), "user_id", F.col("event_type").alias("shape")
     )
-    listed = [("buy", "view", "purchase"), ("fail", "click", "error"), ("again", "signup", "signup")]
-    given = t.spark.createDataFrame(listed, "rule STRING, first STRING, second STRING")
+    given = t.spark.createDataFrame(RULES, "rule STRING, first STRING, second STRING")
     return rules.match_sequence_rules(items, given, "user_id").select(
         "rule", "user_id", "firstSeq", "secondSeq"
     )

@@ -92,12 +92,7 @@ def stream_asof_join(t: Tables) -> DataFrame:
 def stream_driving_segments(t: Tables) -> DataFrame:
     cars = tables.cars_from_events(_events(t))
     found = run_available(so.driving_segments(cars, delay=DELAY), "segments")
-    # The processor's times are whole milliseconds, so the exact start is read from the table.
-    starts = t.cars.select(
-        "carId", F.timestamp_millis(F.unix_millis("ts")).alias("_start"), F.col("ts").alias("startTime")
-    )
-    exact = found.withColumnRenamed("startTime", "_start").join(starts, ["carId", "_start"])
-    return exact.select(
+    return found.select(
         "carId", "startTime", "length", "maxSpeed", batch.rounded("erraticness"), "label"
     )
 
@@ -150,3 +145,55 @@ def stream_match_or_expire(t: Tables) -> DataFrame:
         F.col("ride.eventTime").alias("rideTime"),
         F.col("fare.startTime").alias("fareTime"),
     )
+
+
+@query(oracle_of("sequence_rules"))
+def stream_sequence_rules(t: Tables) -> DataFrame:
+    items = _events(t).select(
+        "ts",
+        F.col("event_id").alias("seq"),
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("event_type").alias("shape"),
+    )
+    path = scratch_path(t.spark, "rules")
+    listed = [(*rule, tables.BASE) for rule in batch.RULES]
+    rules = t.spark.createDataFrame(listed, "rule STRING, first STRING, second STRING, ts STRING")
+    rules.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(path)
+    given = t.spark.readStream.schema(
+        "rule STRING, first STRING, second STRING, ts TIMESTAMP"
+    ).parquet(path)
+    found = run_available(
+        so.match_sequence_rules(items, given, "user_id", "ts", delay=DELAY, buckets=8), "rules"
+    )
+    return found.select(
+        "rule",
+        F.col("firstItem.user_id").cast("long").alias("user_id"),
+        F.col("firstItem.seq").alias("firstSeq"),
+        F.col("secondItem.seq").alias("secondSeq"),
+    )
+
+
+@query(oracle_of("ending_rides_rolling_count"))
+def stream_ending_rides_rolling_count(t: Tables) -> DataFrame:
+    events = _events(t, flush_id=FLUSH_ID + 1)
+    ends = rides.end_rides(rides.with_event_time(tables.rides_from_events(events)))
+    located = rides.dest_cells(ends).select("destCell", "eventTime", "taxiId")
+    found = run_available(so.rolling_count(located, "destCell", "eventTime", delay=DELAY), "rolling")
+    return found.filter(F.col("taxiId") != FLUSH_USER).select(
+        F.col("destCell").cast("string").alias("cell"), "eventTime", "cnt"
+    )
+
+
+@query(oracle_of("nearest_taxi_expiring"))
+def stream_nearest_taxi(t: Tables) -> DataFrame:
+    events = _events(t, flush_id=FLUSH_ID + 1)
+    queries = tables.queries_from_nations(_stream(t, "nation"))
+    found = run_available(
+        so.nearest_taxi(
+            tables.rides_from_events(events), queries, "15 minutes", "3650 days", DELAY, buckets=8
+        ),
+        "nearest",
+    )
+    return found.filter(F.col("taxiId") != FLUSH_USER).select(
+        "queryId", "taxiId", F.round(F.col("km").cast("double"), 4).alias("km"), "eventTime"
+    )
