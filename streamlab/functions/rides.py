@@ -102,3 +102,9 @@ def segment_text() -> Column:
         F.lit(" kph,"),
         erraticness_label(F.col("erraticness")),
     )
+
+
+def point_text(ts: Column, value: Column, key: Column | None = None) -> Column:
+    """Text of a time-series point: milliseconds, key (if any) and value."""
+    parts = [F.unix_millis(ts), value] if key is None else [F.unix_millis(ts), key, value]
+    return F.concat_ws(",", *[part.cast("string") for part in parts])

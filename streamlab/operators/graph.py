@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlab.plans.hotkeys import PART_ROWS, hot_keys, salted_join
+from streamlab.plans.hotkeys import PART_ROWS, hot_keys, hot_keys_of, salted_join
 from streamlab.plans.lineage import cut_lineage
 
 
@@ -15,7 +15,11 @@ def out_weights(edges: DataFrame) -> DataFrame:
 
 def transition_weights(edges: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """Edges with ``weight`` divided by the total weight that leaves their source."""
-    joined = salted_join(edges, out_weights(edges), ["src"], ["dst"], part_rows=part_rows)
+    totals = edges.groupBy("src").agg(
+        F.sum("weight").alias("outWeight"), F.count(F.lit(1)).alias("_edges")
+    )
+    hot = hot_keys_of(totals, ["src"], "_edges", part_rows)
+    joined = salted_join(edges, totals, ["src"], ["dst"], part_rows=part_rows, hot=hot)
     return joined.select("src", "dst", (F.col("weight") / F.col("outWeight")).alias("weight"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlab.functions import text as tx
-from streamlab.plans.hotkeys import MAX_HOT_KEYS, PART_ROWS, salted_join
+from streamlab.plans.hotkeys import PART_ROWS, hot_keys_of, salted_join
 from streamlab.plans.lineage import cut_lineage
 from streamlab.plans.once import once
 from streamlab.schemas import MAIL_COLUMNS, MAIL_TIME_FORMAT
@@ -129,12 +129,7 @@ def tf_idf(
     # One row per word, used three times: kept, so that the texts are not read again for each use.
     df = cut_lineage(document_frequency(docs, text_col, stop_words), "document-frequency")
     # df is also the number of rows a word has in tf, so hot words are read off it.
-    hot = (
-        df.filter(F.col("df") > part_rows)
-        .orderBy(F.desc("df"), "word")
-        .limit(MAX_HOT_KEYS)
-        .select("word", F.ceil(F.col("df") / part_rows).alias("_parts"))
-    )
+    hot = hot_keys_of(df, ["word"], "df", part_rows)
     documents = docs.select(F.count(F.lit(1)).alias("n")).scalar()
     weighted = salted_join(tf, df, ["word"], [id_col], part_rows=part_rows, hot=hot)
     return weighted.select(

@@ -42,6 +42,14 @@ def hot_keys(
     return found.select(*keys, F.ceil(F.col("_rows") / part_rows).alias("_parts"), *spread)
 
 
+def hot_keys_of(
+    counts: DataFrame, keys: list[str], rows: str, part_rows: int = PART_ROWS
+) -> DataFrame:
+    """The same list from an existing table of row counts (column ``rows``) per key."""
+    top = counts.filter(F.col(rows) > part_rows).orderBy(F.desc(rows), *keys).limit(MAX_HOT_KEYS)
+    return top.select(*keys, F.ceil(F.col(rows) / part_rows).alias("_parts"))
+
+
 def split_by_position(
     df: DataFrame, keys: list[str], position: Column, part_rows: int = PART_ROWS
 ) -> DataFrame:

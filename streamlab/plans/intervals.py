@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: 2**44 ms is more than 500 years: the level of an interval without an end.
 OPEN_LEVEL = 44
+#: Open intervals all share the one bin of the top level, so they are spread over this many parts.
+OPEN_PARTS = 64
 
 
 def interval_point_join(
@@ -18,33 +20,28 @@ def interval_point_join(
     touches at most two bins of that level; each point enters one bin per level. The join is then
     an ordinary hash join on (level, bin). ``points`` should be the smaller side.
     """
-    spans = intervals.withColumn("_s", start).withColumn("_e", end)
-    spans = spans.filter("_e IS NULL OR _s < _e").withColumn(
-        "_level",
-        F.when(F.col("_e").isNull(), F.lit(OPEN_LEVEL)).otherwise(
-            F.length(F.bin(F.col("_e") - F.col("_s") - 1))
-        ),
+    spans = intervals.withColumn("_s", start).withColumn("_e", end).filter("_e IS NULL OR _s < _e")
+    is_open = F.col("_e").isNull()
+    level = F.when(is_open, F.lit(OPEN_LEVEL)).otherwise(
+        F.length(F.bin(F.col("_e") - F.col("_s") - 1))
     )
-    first = F.expr("shiftright(_s, _level)")
-    last = F.expr("shiftright(coalesce(_e - 1, _s), _level)")
-    open_end = F.col("_e").isNull()
-    # Open intervals share one bin of the top level, which every point enters.
-    binned = spans.withColumn(
-        "_bin",
-        F.explode(
-            F.when(open_end, F.array(F.lit(0).cast("long"))).otherwise(
-                F.array_distinct(F.array(first, last))
-            )
-        ),
-    )
-    located = points.withColumn("_at", at).withColumn(
-        "_level", F.explode(F.sequence(F.lit(1), F.lit(OPEN_LEVEL)))
-    )
-    located = located.withColumn(
-        "_bin",
-        F.when(F.col("_level") == OPEN_LEVEL, F.lit(0).cast("long")).otherwise(
-            F.expr("shiftright(_at, _level)")
-        ),
+    first, last = F.expr("shiftright(_s, _level)"), F.expr("shiftright(_e - 1, _level)")
+    # In the open level the bin number is the part.
+    part = F.pmod(F.xxhash64(*intervals.columns), F.lit(OPEN_PARTS)).cast("long")
+    bins = F.when(is_open, F.array(part)).otherwise(F.array_distinct(F.array(first, last)))
+    binned = spans.withColumn("_level", level).withColumn("_bin", F.explode(bins))
+    located = (
+        points.withColumn("_at", at)
+        .withColumn("_level", F.explode(F.sequence(F.lit(1), F.lit(OPEN_LEVEL))))
+        .withColumn(
+            "_bin",
+            F.explode(
+                F.when(
+                    F.col("_level") == OPEN_LEVEL,
+                    F.sequence(F.lit(0), F.lit(OPEN_PARTS - 1)).cast("array<bigint>"),
+                ).otherwise(F.array(F.expr("shiftright(_at, _level)")))
+            ),
+        )
     )
     return (
         binned.join(located, ["_level", "_bin"])

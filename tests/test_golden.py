@@ -474,6 +474,8 @@ def test_documents_and_points(make):
     points = make.frame([("a b", t(0), 1.5)], "k STRING, ts TIMESTAMP, v DOUBLE")
     got = sinks.to_line_protocol(points, "m", F.col("ts"), F.col("v"), key=F.col("k")).first().value
     assert got == "m,key=a\\ b value=1.5 946684800000"
+    text = points.select(rx.point_text(F.col("ts"), F.col("v"), F.col("k"))).first()[0]
+    assert text == "946684800000,a b,1.5"
 
 
 def test_edges_files(spark, make, tmp_path):

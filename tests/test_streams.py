@@ -239,3 +239,46 @@ def test_restart_continues(spark, make, tmp_path):
     assert run(ride(1, True, t(0))) == 0
     assert run(ride(2, True, t(121.5)), ride(2, False, t(122), began=t(121.5))) == 1
     assert run(FLUSH) == 1
+
+
+def test_topic_and_control_sources(spark, make, tmp_path):
+    from streamlab.sources import readers, sinks
+
+    given = make.rides(*[r for batch in RIDES for r in batch])
+    sinks.encode_rides(given).write.text(str(tmp_path / "topic"))
+    values = readers.read_topic(spark, "text", path=str(tmp_path / "topic"))
+    got = run_available(readers.decode_rides(values))
+    assert rows(got, *given.columns) == rows(given)
+    (tmp_path / "controls").mkdir()
+    (tmp_path / "controls" / "a.txt").write_text("-73.9947, 40.750626\n0,0\n")
+    at = F.lit(T0)
+    asked = run_available(readers.read_controls(spark, str(tmp_path / "controls"), "nearest", at))
+    assert [round(r.lon, 4) for r in asked.sort("lon").collect()] == [-73.9947, 0.0]
+    minutes = spark.createDataFrame([("15",)], "value STRING")
+    assert readers.parse_controls(minutes, "ongoing", at).first().minutes == 15
+    assert readers.parse_controls(minutes, "predicate", at).first().predicate == "15"
+    with pytest.raises(ValueError, match="unknown control kind"):
+        readers.parse_controls(minutes, "other", at)
+
+
+def test_place_documents_stream(make, stream, tmp_path):
+    from streamlab.sources import sinks
+
+    timed = rides.with_event_time(ride_stream(stream), DELAY)
+    docs = run_available(sinks.to_place_documents(rides.popular_places(timed, min_count=3)))
+    expected = sinks.to_place_documents(rides.popular_places(all_rides(make), min_count=3))
+    assert rows(docs, "id", "document") == rows(expected)
+    sinks.write_documents(expected, str(tmp_path))
+    assert docs.sparkSession.read.text(str(tmp_path / sinks.PLACES_INDEX)).count() == expected.count()
+
+
+def test_sql_on_streams(spark, stream):
+    from streamlab.sources import readers
+
+    readers.register_rides(spark, ride_stream(stream), "StreamRides", DELAY)
+    got = run_available(spark.sql(rides.POPULAR_PLACES_SQL.format(rides="StreamRides", over=2)))
+    assert {r.popCnt for r in got.collect()} == {3}
+    tips = [[fare(1, t(0), 30.0), fare(2, t(15), 25.0)], [fare(9, FAR, 0.0, -1)]]
+    readers.register_fares(spark, stream(schemas.FARE, *tips), "StreamFares", "1 hour")
+    got = run_available(spark.sql(rides.HOURLY_TIPS_HAVING_SQL.format(fares="StreamFares", over=50)))
+    assert rows(got, "driverId", "tips") == [(1, 55.0)]
