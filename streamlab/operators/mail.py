@@ -131,7 +131,9 @@ def tf_idf(
     # df is also the number of rows a word has in tf, so hot words are read off it.
     hot = hot_keys_of(df, ["word"], "df", part_rows)
     documents = docs.select(F.count(F.lit(1)).alias("n")).scalar()
-    weighted = salted_join(tf, df, ["word"], [id_col], part_rows=part_rows, hot=hot)
+    weighted = salted_join(
+        tf, df, ["word"], [id_col], part_rows=part_rows, hot=hot, hint="merge"
+    )
     return weighted.select(
         id_col, "word", tx.tf_idf_weight(F.col("tf"), F.col("df"), documents).alias("tfidf")
     )

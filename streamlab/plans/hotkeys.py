@@ -76,11 +76,13 @@ def salted_join(
     how: str = "inner",
     part_rows: int = PART_ROWS,
     hot: DataFrame | None = None,
+    hint: str | None = None,
 ) -> DataFrame:
     """Join on ``keys`` where ``small`` has at most one row per key and ``big`` may have hot keys.
 
     Rows of a hot key are spread over parts by a hash of ``salt_on``; the one matching row of
-    ``small`` is repeated for each part. ``how`` is inner or left.
+    ``small`` is repeated for each part. ``how`` is inner or left; ``hint`` is a join hint for the
+    last join, whose size Spark may misjudge after an explode.
     """
     hot = hot_keys(big, keys, part_rows) if hot is None else hot
     spread = (
@@ -99,4 +101,6 @@ def salted_join(
         )
         .drop("_parts")
     )
+    if hint:
+        repeated = repeated.hint(hint)
     return spread.join(repeated, [*keys, PART], how).drop(PART)

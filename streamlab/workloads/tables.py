@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from streamlab.schemas import CAR_EVENT, FARE, MAIL_COLUMNS, RIDE
 
@@ -301,6 +302,10 @@ v_transitions AS (
 """
 
 
+#: Schemas read so far, so that a file's footer is not read again for each use of a table.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Tables:
     """The given tables of one folder, and the views over them."""
 
@@ -310,7 +315,10 @@ class Tables:
 
     def __getitem__(self, name: str) -> DataFrame:
         """A table; its times without a zone are UTC."""
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        df = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         zoneless = [c for c, kind in df.dtypes if kind == "timestamp_ntz"]
         return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless})
 
