@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from streamlab.llm.packing import op5_pack
+from streamlab.llm.quality import op8_quality
 from streamlab.llm.word_bpe import op3_bpe
 
 VOCABULARY = "word_bpe_49k.json"
@@ -30,8 +31,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_pack(_read(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op8_quality_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op3_bpe_round_trip, op5_packing)
+    own = (op3_bpe_round_trip, op5_packing, op8_quality_bradley_terry)
     return {fn.__name__: fn for fn in own}
 
 
