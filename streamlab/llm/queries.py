@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from streamlab.llm.packing import op5_pack
 from streamlab.llm.quality import op8_quality
+from streamlab.llm.toxicity import op10_toxicity
 from streamlab.llm.word_bpe import op3_bpe
 
 VOCABULARY = "word_bpe_49k.json"
@@ -35,8 +36,12 @@ def op8_quality_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op10_toxicity_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op3_bpe_round_trip, op5_packing, op8_quality_bradley_terry)
+    own = (op3_bpe_round_trip, op5_packing, op8_quality_bradley_terry, op10_toxicity_string_kernel)
     return {fn.__name__: fn for fn in own}
 
 
