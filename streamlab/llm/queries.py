@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from streamlab.llm.licenses import op1_licenses
 from streamlab.llm.packing import op5_pack
 from streamlab.llm.quality import op8_quality
 from streamlab.llm.toxicity import op10_toxicity
@@ -24,6 +25,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_licenses(_read(spark, sf_dir, "documents"))
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_bpe(_read(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -41,7 +46,7 @@ def op10_toxicity_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op3_bpe_round_trip, op5_packing, op8_quality_bradley_terry, op10_toxicity_string_kernel)
+    own = (op1_license_scan, op3_bpe_round_trip, op5_packing, op8_quality_bradley_terry, op10_toxicity_string_kernel)
     return {fn.__name__: fn for fn in own}
 
 
