@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from streamlab.llm.html_text import op2_html
 from streamlab.llm.licenses import op1_licenses
 from streamlab.llm.packing import op5_pack
 from streamlab.llm.quality import op8_quality
@@ -29,6 +30,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_licenses(_read(spark, sf_dir, "documents"))
 
 
+def op2_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_html(_read(spark, sf_dir, "pages"))
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_bpe(_read(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -46,7 +51,7 @@ def op10_toxicity_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_license_scan, op3_bpe_round_trip, op5_packing, op8_quality_bradley_terry, op10_toxicity_string_kernel)
+    own = (op1_license_scan, op2_html_density, op3_bpe_round_trip, op5_packing, op8_quality_bradley_terry, op10_toxicity_string_kernel)
     return {fn.__name__: fn for fn in own}
 
 
