@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from streamlab.llm.fingerprints import op6_fingerprints
 from streamlab.llm.html_text import op2_html
 from streamlab.llm.licenses import op1_licenses
 from streamlab.llm.packing import op5_pack
@@ -42,6 +43,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_pack(_read(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op6_one_permutation_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_fingerprints(_read(spark, sf_dir, "documents"))
+
+
 def op8_quality_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -51,7 +56,7 @@ def op10_toxicity_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_license_scan, op2_html_density, op3_bpe_round_trip, op5_packing, op8_quality_bradley_terry, op10_toxicity_string_kernel)
+    own = (op1_license_scan, op2_html_density, op3_bpe_round_trip, op5_packing, op6_one_permutation_fingerprints, op8_quality_bradley_terry, op10_toxicity_string_kernel)
     return {fn.__name__: fn for fn in own}
 
 
