@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from streamlab.llm.fingerprints import op6_fingerprints
 from streamlab.llm.html_text import op2_html
 from streamlab.llm.licenses import op1_licenses
+from streamlab.llm.ngram_join import ORACLE as NGRAM_ORACLE
+from streamlab.llm.ngram_join import op9_join
 from streamlab.llm.packing import op5_pack
 from streamlab.llm.quality import op8_quality
 from streamlab.llm.toxicity import op10_toxicity
@@ -51,14 +53,18 @@ def op8_quality_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_join(_read(spark, sf_dir, "documents"))
+
+
 def op10_toxicity_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_license_scan, op2_html_density, op3_bpe_round_trip, op5_packing, op6_one_permutation_fingerprints, op8_quality_bradley_terry, op10_toxicity_string_kernel)
+    own = (op1_license_scan, op2_html_density, op3_bpe_round_trip, op5_packing, op6_one_permutation_fingerprints, op8_quality_bradley_terry, op9_ngram_join, op10_toxicity_string_kernel)
     return {fn.__name__: fn for fn in own}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op9_ngram_join": NGRAM_ORACLE}
