@@ -22,11 +22,14 @@ from pyspark.sql import functions as F
 
 from streamlab.llm.arrow import mix, text_chunks
 from streamlab.llm.quality import CUT, bucket, labelled
+from streamlab.plans.lineage import cut_lineage
 
 #: Bounds on what is fitted on the driver: documents of each class, words of each class, landmarks.
 SAMPLE_PER_CLASS, WORDS_PER_CLASS, LANDMARKS = 4000, 3000, 300
 #: Words that a task remembers; memory only.
 CACHE_WORDS = 400_000
+#: Letters whose subsequences are held at a time; memory only.
+LETTERS_AT_ONCE = 50_000
 DECAY, STRETCH = 0.7, 6
 BITS = 18
 SIZE = 1 << BITS
@@ -88,6 +91,15 @@ class StringMachine(NamedTuple):
 
     def margins(self, words: list[str]) -> np.ndarray:
         """The machine's decision for each word of letters; one without a subsequence has the bias."""
+        out, begin, size = np.empty(len(words), np.float32), 0, 0
+        for end, word in enumerate(words, 1):
+            size += len(word) + 2
+            if size >= LETTERS_AT_ONCE or end == len(words):
+                out[begin:end] = self._margins(words[begin:end])
+                begin, size = end, 0
+        return out
+
+    def _margins(self, words: list[str]) -> np.ndarray:
         owner, code, weight = _subsequences(words)
         sums = np.bincount(owner, weights=self.table[code] * weight, minlength=len(words))
         norms = _norms(words, owner, code, weight)
@@ -248,6 +260,7 @@ def train_toxicity(df: DataFrame, labels: DataFrame, keep: Column, per_class: in
         F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("bad"),
         F.sum(F.when(F.col("label") == 0, 1).otherwise(0)).alias("good"),
     )
+    tally = cut_lineage(tally, "word-tally")
     n = {r["label"]: r["count"] for r in once.groupBy("label").count().collect()}
     bad, good = n.get(1, 0), n.get(0, 0)
     odds = F.log((F.col("bad") + 0.1) / (bad + 1)) - F.log((F.col("good") + 0.1) / (good + 1))
