@@ -13,6 +13,8 @@ from streamlab.llm.ngram_join import ORACLE as NGRAM_ORACLE
 from streamlab.llm.ngram_join import op9_join
 from streamlab.llm.packing import op5_pack
 from streamlab.llm.quality import op8_quality
+from streamlab.llm.substrings import ORACLE as REPEATS_ORACLE
+from streamlab.llm.substrings import op4_repeats
 from streamlab.llm.toxicity import op10_toxicity
 from streamlab.llm.word_bpe import op3_bpe
 
@@ -41,6 +43,10 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_bpe(_read(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op4_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_repeats(_read(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_pack(_read(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -62,9 +68,9 @@ def op10_toxicity_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_license_scan, op2_html_density, op3_bpe_round_trip, op5_packing, op6_one_permutation_fingerprints, op8_quality_bradley_terry, op9_ngram_join, op10_toxicity_string_kernel)
+    own = (op1_license_scan, op2_html_density, op3_bpe_round_trip, op4_repeated_substrings, op5_packing, op6_one_permutation_fingerprints, op8_quality_bradley_terry, op9_ngram_join, op10_toxicity_string_kernel)
     return {fn.__name__: fn for fn in own}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op9_ngram_join": NGRAM_ORACLE}
+    return {"op4_repeated_substrings": REPEATS_ORACLE, "op9_ngram_join": NGRAM_ORACLE}
