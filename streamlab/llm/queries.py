@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from streamlab.llm.fingerprints import op6_fingerprints
 from streamlab.llm.html_text import op2_html
 from streamlab.llm.licenses import op1_licenses
+from streamlab.llm.multi_index import op7_neighbours
 from streamlab.llm.ngram_join import ORACLE as NGRAM_ORACLE
 from streamlab.llm.ngram_join import op9_join
 from streamlab.llm.packing import op5_pack
@@ -55,6 +56,10 @@ def op6_one_permutation_fingerprints(spark: SparkSession, sf_dir: str) -> DataFr
     return op6_fingerprints(_read(spark, sf_dir, "documents"))
 
 
+def op7_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_neighbours(_read(spark, sf_dir, "embeddings"))
+
+
 def op8_quality_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -68,7 +73,7 @@ def op10_toxicity_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_license_scan, op2_html_density, op3_bpe_round_trip, op4_repeated_substrings, op5_packing, op6_one_permutation_fingerprints, op8_quality_bradley_terry, op9_ngram_join, op10_toxicity_string_kernel)
+    own = (op1_license_scan, op2_html_density, op3_bpe_round_trip, op4_repeated_substrings, op5_packing, op6_one_permutation_fingerprints, op7_inverted_multi_index, op8_quality_bradley_terry, op9_ngram_join, op10_toxicity_string_kernel)
     return {fn.__name__: fn for fn in own}
 
 
