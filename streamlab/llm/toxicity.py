@@ -106,7 +106,7 @@ class StringMachine(NamedTuple):
         return (sums / np.where(norms > 0, norms, 1) + self.bias).astype(np.float32)
 
     def scores(self, features: np.ndarray) -> np.ndarray:
-        z = (features - self.doc_mean) @ self.doc_weights + self.doc_bias
+        z = ((features - self.doc_mean) * self.doc_weights).sum(axis=1) + self.doc_bias
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)) * (1 - CUT) / CUT)
 
 
