@@ -18,6 +18,8 @@ GRID_WIDTH = 250
 DEGREE_KM = 110.25
 
 DIRECTION_BUCKET_DEGREES = 45
+#: Beyond so many steps from the corner a place has no cell number.
+MAX_STEPS = 4_000_000.0
 
 
 def _double(c: Column) -> Column:
@@ -29,12 +31,17 @@ def is_in_nyc(lon: Column, lat: Column) -> Column:
     return _double(lon).between(LON_WEST, LON_EAST) & _double(lat).between(LAT_SOUTH, LAT_NORTH)
 
 
+def _whole(steps: Column) -> Column:
+    """Whole grid steps; null where there is no cell: NaN, infinity, or beyond what a cell number holds."""
+    return F.when(F.abs(steps) < MAX_STEPS, F.floor(steps)).cast("int")
+
+
 def grid_x(lon: Column) -> Column:
-    return F.floor((F.lit(-LON_WEST) - F.abs(_double(lon))) / F.lit(DELTA_LON)).cast("int")
+    return _whole((F.lit(-LON_WEST) - F.abs(_double(lon))) / F.lit(DELTA_LON))
 
 
 def grid_y(lat: Column) -> Column:
-    return F.floor((F.lit(LAT_NORTH) - _double(lat)) / F.lit(DELTA_LAT)).cast("int")
+    return _whole((F.lit(LAT_NORTH) - _double(lat)) / F.lit(DELTA_LAT))
 
 
 def cell_id(lon: Column, lat: Column) -> Column:

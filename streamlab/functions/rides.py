@@ -52,8 +52,13 @@ def whole_minutes(start_ms: Column, end_ms: Column) -> Column:
 
 
 def erraticness_label(erraticness: Column) -> Column:
-    level = (erraticness / F.lit(2.5)).cast("int")
-    return F.when(level == 0, "calm").when(level == 1, "busy").otherwise("crazy")
+    known = F.when(erraticness < 2.5, "calm").when(erraticness < 5, "busy").otherwise("crazy")
+    return F.when(erraticness.isNotNull(), known)
+
+
+def csv(*fields: Column) -> Column:
+    """Fields between commas; a null field is empty, so that the others keep their places."""
+    return F.concat_ws(",", *[F.coalesce(f.cast("string"), F.lit("")) for f in fields])
 
 
 def format_time(ts: Column) -> Column:
@@ -64,8 +69,7 @@ def ride_text(end_time_first: bool = False) -> Column:
     """CSV text of a ride. ``end_time_first`` swaps the two times of END rows, as in the files."""
     start, end = format_time(F.col("startTime")), format_time(F.col("endTime"))
     swap = ~F.col("isStart") & F.lit(end_time_first)
-    return F.concat_ws(
-        ",",
+    return csv(
         F.col("rideId"),
         F.when(F.col("isStart"), "START").otherwise("END"),
         F.when(swap, end).otherwise(start),
@@ -81,8 +85,7 @@ def ride_text(end_time_first: bool = False) -> Column:
 
 
 def fare_text() -> Column:
-    return F.concat_ws(
-        ",",
+    return csv(
         F.col("rideId"),
         F.col("taxiId"),
         F.col("driverId"),
@@ -107,4 +110,4 @@ def segment_text() -> Column:
 def point_text(ts: Column, value: Column, key: Column | None = None) -> Column:
     """Text of a time-series point: milliseconds, key (if any) and value."""
     parts = [F.unix_millis(ts), value] if key is None else [F.unix_millis(ts), key, value]
-    return F.concat_ws(",", *[part.cast("string") for part in parts])
+    return csv(*parts)

@@ -19,8 +19,10 @@ SQL_FUNCTIONS = {
     "toCellId": (
         _POINT,
         "INT",
-        "CAST(floor((74.05D - abs(CAST(lon AS DOUBLE))) / 0.0014D) AS INT)"
-        " + 250 * CAST(floor((41.0D - CAST(lat AS DOUBLE)) / 0.00125D) AS INT)",
+        "CASE WHEN abs((74.05D - abs(CAST(lon AS DOUBLE))) / 0.0014D) < 4000000D"
+        " AND abs((41.0D - CAST(lat AS DOUBLE)) / 0.00125D) < 4000000D"
+        " THEN CAST(floor((74.05D - abs(CAST(lon AS DOUBLE))) / 0.0014D) AS INT)"
+        " + 250 * CAST(floor((41.0D - CAST(lat AS DOUBLE)) / 0.00125D) AS INT) END",
     ),
     "toCoords": (
         "cell INT",
@@ -51,7 +53,8 @@ SQL_FUNCTIONS = {
     "erraticnessLabel": (
         "erraticness DOUBLE",
         "STRING",
-        "CASE CAST(erraticness / 2.5D AS INT) WHEN 0 THEN 'calm' WHEN 1 THEN 'busy' ELSE 'crazy' END",
+        "CASE WHEN erraticness IS NULL THEN NULL WHEN erraticness < 2.5D THEN 'calm'"
+        " WHEN erraticness < 5D THEN 'busy' ELSE 'crazy' END",
     ),
     "mailMonth": ("time STRING", "STRING", "substring(time, 1, 7)"),
     "emailAddress": (

@@ -34,14 +34,19 @@ def join_rides_fares(rides: DataFrame, fares: DataFrame, tolerance: str | None =
 
 
 def match_or_expire(rides: DataFrame, fares: DataFrame, tolerance: str | None = None) -> DataFrame:
-    """Full outer join with a ``status``: matched, left_only (ride) or right_only (fare)."""
+    """Full outer join of START rides and fares with a ``status``: matched, left_only or right_only.
+
+    A ride and a fare match if their times differ by ``tolerance`` at most (batch without it: by any
+    time). What has waited longer than that has expired and comes out alone. In batch the newest row of
+    an id is the one that counts.
+    """
     starts = start_rides(with_event_time(rides))
     if starts.isStreaming or fares.isStreaming:
         pairs = _stream_pairs(starts, fares, tolerance or "1 hour", "full_outer")
     else:
         left = _newest_per_key(starts, "rideId", "eventTime", "ride")
         right = _newest_per_key(fares, "rideId", "startTime", "fare")
-        pairs = left.join(right, "rideId", "full_outer")
+        pairs = expiring_join(left, right, "rideId", "ride", "fare", "ride.eventTime", "fare.startTime", tolerance)
     status = (
         F.when(F.col("fare").isNull(), "left_only")
         .when(F.col("ride").isNull(), "right_only")
@@ -50,6 +55,24 @@ def match_or_expire(rides: DataFrame, fares: DataFrame, tolerance: str | None =
     return pairs.select("rideId", status.alias("status"), "ride", "fare")
 
 
+def expiring_join(
+    left: DataFrame, right: DataFrame, key: str, left_name: str, right_name: str, left_ts: str,
+    right_ts: str, tolerance: str | None,
+) -> DataFrame:
+    """``(key, left, right)`` of two sides with one row per key: pairs that are near in time, other rows alone."""
+    pairs = left.join(right, key, "full_outer")
+    if tolerance is None:
+        return pairs
+    span = F.expr(f"INTERVAL {tolerance}")
+    lt, rt = F.col(left_ts), F.col(right_ts)
+    far = F.coalesce((rt < lt - span) | (rt > lt + span), F.col(left_name).isNotNull() & F.col(right_name).isNotNull())
+    one, two = F.col(left_name), F.col(right_name)
+    row = lambda a, b: F.struct(a.alias(left_name), b.alias(right_name))
+    none = lambda c, name: F.lit(None).cast(c.schema[name].dataType)
+    apart = F.array(row(one, none(right, right_name)), row(none(left, left_name), two))
+    return pairs.select(key, F.inline(F.when(far, apart).otherwise(F.array(row(one, two)))))
+
+
 def _stream_pairs(starts: DataFrame, fares: DataFrame, tolerance: str, how: str) -> DataFrame:
     """Stream-stream join. Inputs carry watermarks on eventTime and startTime."""
     left = starts.select(
@@ -87,7 +110,7 @@ def asof_join(
     """
     right_cols = {"_value": F.struct(*values), "_side": F.lit(0)}
     left_cols = {"_left": F.struct(*left.columns), "_side": F.lit(1)}
-    tagged = right.select(
+    tagged = right.filter(F.col(by).isNotNull()).select(
         by, on, *[c.alias(n) for n, c in right_cols.items()]
     ).unionByName(
         left.select(by, on, *[c.alias(n) for n, c in left_cols.items()]), allowMissingColumns=True
@@ -103,7 +126,8 @@ def asof_join(
     found = with_carries(
         local.drop("_value", "_side"), rows, [by], {"_earlier": Carry(newest, "last")}
     )
-    matched = F.coalesce("_seen", "_earlier")
+    # A null key equals no key: its rows only share a window, and get the defaults.
+    matched = F.when(F.col(by).isNotNull(), F.coalesce("_seen", "_earlier"))
     defaults = defaults or {}
     outputs = [
         (

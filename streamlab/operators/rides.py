@@ -3,6 +3,8 @@ unless the text says otherwise."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,18 +73,13 @@ def popular_places(
 
 
 POPULAR_PLACES_SQL = """
-SELECT toCoords(cell) AS coords, w.start AS wstart, w.end AS wend, isStart, popCnt
-FROM (
-  SELECT cell, isStart, window(eventTime, '15 minutes', '5 minutes') AS w, count(isStart) AS popCnt
-  FROM (
-    SELECT eventTime, isStart,
-           CASE WHEN isStart THEN toCellId(startLon, startLat) ELSE toCellId(endLon, endLat) END AS cell
-    FROM {rides}
-    WHERE isInNYC(startLon, startLat) AND isInNYC(endLon, endLat)
-  )
-  GROUP BY cell, isStart, window(eventTime, '15 minutes', '5 minutes')
-)
-WHERE popCnt > {over}
+SELECT window(eventTime, '15 minutes', '5 minutes') AS span,
+       toCoords(toCellId(if(isStart, startLon, endLon), if(isStart, startLat, endLat))) AS place,
+       isStart AS starting, count(*) AS events
+FROM {rides}
+WHERE isInNYC(startLon, startLat) AND isInNYC(endLon, endLat)
+GROUP BY 1, 2, 3
+HAVING events > {over}
 """
 
 
@@ -114,13 +111,10 @@ def hourly_tip_max(fares: DataFrame, size: str = "1 hour") -> DataFrame:
 
 
 HOURLY_TIPS_HAVING_SQL = """
-SELECT w.end AS wend, driverId, tips
-FROM (
-  SELECT window(eventTime, '1 hour') AS w, driverId, sum(CAST(tip AS DOUBLE)) AS tips
-  FROM {fares}
-  GROUP BY driverId, window(eventTime, '1 hour')
-  HAVING sum(CAST(tip AS DOUBLE)) > {over}
-)
+SELECT window(eventTime, '1 hour') AS span, driverId, sum(double(tip)) AS earned
+FROM {fares}
+GROUP BY 1, 2
+HAVING earned > {over}
 """
 
 
@@ -225,6 +219,12 @@ def latest_ride(rides: DataFrame) -> DataFrame:
     return timed.groupBy("taxiId").agg(newest.alias("r")).select("r.*")
 
 
+#: Words that a predicate must not use.
+CHANGING = set(
+    "rand random randn uuid shuffle monotonically_increasing_id spark_partition_id input_file_name current_timestamp "
+    "current_date current_time localtimestamp now select from explode java_method reflect try_reflect raise_error".split()
+)
+
 # --- user predicates -----------------------------------------------------------------------------
 
 
@@ -236,8 +236,20 @@ def predicate_scope(rides: DataFrame, watermark_ms: Column) -> DataFrame:
     return rides.withColumn("ride", ride).withColumn("watermark", watermark_ms)
 
 
+def check_predicate(scope: DataFrame, predicate: str) -> None:
+    """Refuse what is not one repeatable condition on a ride: a predicate must be BOOLEAN, and its text
+    must not call functions whose value changes from run to run or holds a query of its own."""
+    used = {w.lower() for w in re.findall(r"[A-Za-z_]\w*", re.sub(r"'(?:[^'\\]|\\.)*'", "", predicate))}
+    if refused := sorted(used & CHANGING):
+        raise ValueError(f"a predicate must not use {', '.join(refused)}: {predicate}")
+    kind = scope.select(F.expr(predicate).alias("_holds")).schema["_holds"].dataType
+    if kind.simpleString() not in ("boolean", "void"):
+        raise ValueError(f"a predicate must be BOOLEAN, not {kind.simpleString()}: {predicate}")
+
+
 def match_predicate(rides: DataFrame, predicate: str) -> DataFrame:
     """Rides for which a SQL predicate holds; ``watermark`` is the row's own event time."""
     timed = with_event_time(rides)
     scope = predicate_scope(timed, F.unix_millis("eventTime"))
+    check_predicate(scope.limit(0), predicate)
     return scope.filter(F.expr(predicate)).drop("ride", "watermark")

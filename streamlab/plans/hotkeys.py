@@ -1,18 +1,23 @@
 """Splitting of hot keys.
 
 One key may hold a large share of all rows, so work that is ordered or joined by key must not put a
-whole key in one task. ``hot_keys`` finds the few keys with many rows by a map-side combined count
-(only the key columns are read). The list holds at most ``MAX_HOT_KEYS`` rows by construction, so it
-is safe to broadcast at any scale; a key left off the list holds less than 1/MAX_HOT_KEYS of the
-rows. The list only decides how rows are spread over tasks, never which rows are in the result.
+whole key in one task. ``hot_keys`` finds the keys with many rows by a map-side combined count
+(only the key columns are read); a null key counts like any other. A list has no more keys than there
+are rows for each ``part_rows``; above ``MAX_HOT_KEYS`` the largest are taken, which bounds the
+broadcast (a few numbers per key, some MB), and a key left off holds less than 1/MAX_HOT_KEYS of all
+rows, no more than an even share of that many tasks. The list only decides how rows are spread over
+tasks, never which rows are in the result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 1024
+MAX_HOT_KEYS = 1 << 17
 #: A key with more rows than this is split into parts of about this size.
 PART_ROWS = 1_000_000
 
@@ -31,7 +36,6 @@ def hot_keys(
         stats += [F.min("_at").alias("_lo"), F.max("_at").alias("_hi")]
     found = (
         df.select(*wanted)
-        .filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
         .groupBy(*keys)
         .agg(*stats)
         .filter(F.col("_rows") > part_rows)
@@ -50,6 +54,13 @@ def hot_keys_of(
     return top.select(*keys, F.ceil(F.col(rows) / part_rows).alias("_parts"))
 
 
+def with_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join with a hot list, in which null keys match null keys."""
+    named = hot.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return df.join(F.broadcast(named), same, "left").drop(*[f"_key_{k}" for k in keys])
+
+
 def split_by_position(
     df: DataFrame, keys: list[str], position: Column, part_rows: int = PART_ROWS
 ) -> DataFrame:
@@ -58,10 +69,11 @@ def split_by_position(
     Rows with equal position stay together, and a later part holds later positions only.
     """
     hot = hot_keys(df, keys, part_rows, position)
+    # Rows without a position stay in the first part, where their order puts them.
     share = (position - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double")
     part = F.least(F.floor(share * F.col("_parts")), F.col("_parts") - 1)
     return (
-        df.join(F.broadcast(hot), keys, "left")
+        with_hot(df, hot, keys)
         .withColumn(HOT, F.col("_parts").isNotNull())
         .withColumn(PART, F.coalesce(part, F.lit(0)).cast("int"))
         .drop("_parts", "_lo", "_hi")
@@ -86,7 +98,7 @@ def salted_join(
     """
     hot = hot_keys(big, keys, part_rows) if hot is None else hot
     spread = (
-        big.join(F.broadcast(hot), keys, "left")
+        with_hot(big, hot, keys)
         .withColumn(
             PART,
             F.coalesce(F.pmod(F.xxhash64(*salt_on), F.col("_parts")), F.lit(0)).cast("int"),

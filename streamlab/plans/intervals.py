@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: 2**44 ms is more than 500 years: the level of an interval without an end.
-OPEN_LEVEL = 44
-#: Open intervals all share the one bin of the top level, so they are spread over this many parts.
+#: The level of an interval without an end. A length in milliseconds has at most 63 bits.
+OPEN_LEVEL = 64
+#: Open intervals have no bin, so they are spread over this many parts.
 OPEN_PARTS = 64
 
 
@@ -17,8 +17,9 @@ def interval_point_join(
     """All pairs with ``start <= at < end``, in epoch milliseconds; a null end is open.
 
     Each interval gets the level whose bin width (a power of two) is just above its length, so it
-    touches at most two bins of that level; each point enters one bin per level. The join is then
-    an ordinary hash join on (level, bin). ``points`` should be the smaller side.
+    touches at most two bins of that level; each point enters one bin per level that some interval
+    has (at most 64, found first). The join is then an ordinary hash join on (level, bin). Open
+    intervals have a level of their own. ``points`` should be the smaller side.
     """
     spans = intervals.withColumn("_s", start).withColumn("_e", end).filter("_e IS NULL OR _s < _e")
     is_open = F.col("_e").isNull()
@@ -30,9 +31,10 @@ def interval_point_join(
     part = F.pmod(F.xxhash64(*intervals.columns), F.lit(OPEN_PARTS)).cast("long")
     bins = F.when(is_open, F.array(part)).otherwise(F.array_distinct(F.array(first, last)))
     binned = spans.withColumn("_level", level).withColumn("_bin", F.explode(bins))
+    levels = spans.select(F.collect_set(level)).scalar()
     located = (
         points.withColumn("_at", at)
-        .withColumn("_level", F.explode(F.sequence(F.lit(1), F.lit(OPEN_LEVEL))))
+        .withColumn("_level", F.explode(levels))
         .withColumn(
             "_bin",
             F.explode(

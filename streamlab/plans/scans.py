@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -57,7 +59,10 @@ def with_carries(
     folded = summaries.select(
         *keys, PART, *[_FOLDS[c.fold](name).over(before).alias(name) for name, c in carries.items()]
     )
-    return local.join(folded, [*keys, PART], "left")
+    named = folded.withColumnsRenamed({k: f"_of_{k}" for k in [*keys, PART]})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    joined = local.join(named, same & (F.col(PART) == F.col(f"_of_{PART}")), "left")
+    return joined.drop(*[f"_of_{k}" for k in [*keys, PART]])
 
 
 def drop_parts(df: DataFrame) -> DataFrame:

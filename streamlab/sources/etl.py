@@ -26,6 +26,7 @@ def _numbered(df: DataFrame, time_token: int, row_id: Column | None) -> DataFram
 
 
 def _line_of(*parts: Column) -> Column:
+    """A line that is cut short stays short, and the parser refuses it."""
     return F.concat_ws(",", *parts)
 
 

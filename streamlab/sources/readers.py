@@ -27,90 +27,105 @@ def _fields(line: Column, pattern: str, count: int, keep: list[int], strict: boo
     return once(F.when(F.size(tokens) == count, wanted).otherwise(refuse))
 
 
-def _float(token: Column) -> Column:
-    return F.when(token == "", F.lit(0.0)).otherwise(token).cast("float")
+def _as(token: Column, kind: str, strict: bool) -> Column:
+    """A token as a number or time. What cannot be read fails, or becomes null; no text is no value."""
+    if kind == "float":
+        token = F.when(token == "", F.lit("0")).otherwise(token)
+    if kind in (schemas.EVENT_TIME_FORMAT, schemas.CAR_TIME_FORMAT):
+        return F.to_timestamp(token, kind) if strict else F.try_to_timestamp(token, F.lit(kind))
+    return token.cast(kind) if strict else token.try_cast(kind)
+
+
+def _kept(rows: DataFrame, fields: dict[str, Column], strict: bool, corrupt: str | None) -> DataFrame:
+    """The parsed columns. Unless ``strict``, a line with a field that cannot be read is left out, or,
+    with ``corrupt``, stays as a row of nulls with the line in the column of that name."""
+    if strict:
+        return rows.select(*[c.alias(name) for name, c in fields.items()])
+    read = rows.select("_line", "_t", F.struct(*[c.alias(name) for name, c in fields.items()]).alias("_r"))
+    unread = F.col("_t").isNull()
+    for name in fields:
+        unread = unread | F.col(f"_r.{name}").isNull()
+    if corrupt is None:
+        return read.filter(~unread).select("_r.*")
+    kept = [F.when(~unread, F.col(f"_r.{name}")).alias(name) for name in fields]
+    return read.select(*kept, F.when(unread, F.col("_line")).alias(corrupt))
+
+
+def _tokens(df: DataFrame, column: str, pattern: str, count: int, keep: list[int], strict: bool) -> DataFrame:
+    line = F.col(column)
+    return df.select(line.alias("_line"), _fields(line, pattern, count, keep, strict).alias("_t"))
 
 
-def parse_rides(df: DataFrame, strict: bool = True, column: str = "value") -> DataFrame:
-    """Ride lines of 11 tokens. The first time is the event's own: an END line has its end first."""
+def parse_rides(
+    df: DataFrame, strict: bool = True, column: str = "value", corrupt: str | None = None
+) -> DataFrame:
+    """Ride lines of 11 tokens. The first time is the event's own: an END line has its end first.
+
+    A line that cannot be read fails; see ``_kept`` for ``strict=False`` and ``corrupt``.
+    """
     t = F.col("_t")
-    rows = df.select(
-        _fields(F.col(column), ",", 11, list(range(11)), strict).alias("_t")
-    ).filter("_t IS NOT NULL")
     kind = F.upper(t[1])
+    known = F.when(kind.isin("START", "END"), kind == "START")
     if strict:
-        known = F.when(kind.isin("START", "END"), kind == "START").otherwise(
-            F.raise_error(F.concat(F.lit("Invalid record: "), F.array_join("_t", ",")))
-        )
-    else:
-        rows = rows.filter(kind.isin("START", "END"))
-        known = kind == "START"
-    own, other = (F.to_timestamp(t[i], schemas.EVENT_TIME_FORMAT) for i in (2, 3))
-    return rows.select(known.alias("isStart"), own.alias("_own"), other.alias("_other"), "_t").select(
-        t[0].cast("long").alias("rideId"),
-        "isStart",
-        F.when(F.col("isStart"), F.col("_own")).otherwise(F.col("_other")).alias("startTime"),
-        F.when(F.col("isStart"), F.col("_other")).otherwise(F.col("_own")).alias("endTime"),
-        _float(t[4]).alias("startLon"),
-        _float(t[5]).alias("startLat"),
-        _float(t[6]).alias("endLon"),
-        _float(t[7]).alias("endLat"),
-        t[8].cast("smallint").alias("passengerCnt"),
-        t[9].cast("long").alias("taxiId"),
-        t[10].cast("long").alias("driverId"),
-    )
+        known = F.coalesce(known, F.raise_error(F.concat(F.lit("Invalid record: "), F.array_join("_t", ","))))
+    own, other = (_as(t[i], schemas.EVENT_TIME_FORMAT, strict) for i in (2, 3))
+    rows = _tokens(df, column, ",", 11, list(range(11)), strict)
+    rows = rows.select("*", known.alias("isStart"), own.alias("_own"), other.alias("_other"))
+    fields = {
+        "rideId": _as(t[0], "long", strict),
+        "isStart": F.col("isStart"),
+        "startTime": F.when(F.col("isStart"), F.col("_own")).otherwise(F.col("_other")),
+        "endTime": F.when(F.col("isStart"), F.col("_other")).otherwise(F.col("_own")),
+    }
+    places = ["startLon", "startLat", "endLon", "endLat"]
+    fields |= {name: _as(t[i], "float", strict) for i, name in enumerate(places, start=4)}
+    fields |= {
+        "passengerCnt": _as(t[8], "smallint", strict),
+        "taxiId": _as(t[9], "long", strict),
+        "driverId": _as(t[10], "long", strict),
+    }
+    return _kept(rows, fields, strict, corrupt)
 
 
 def read_rides(
-    spark: SparkSession, path: str, streaming: bool = False, strict: bool = True
+    spark: SparkSession, path: str, streaming: bool = False, strict: bool = True, corrupt: str | None = None
 ) -> DataFrame:
-    return parse_rides(_lines(spark, path, streaming), strict)
+    return parse_rides(_lines(spark, path, streaming), strict, corrupt=corrupt)
 
 
-def parse_fares(df: DataFrame, strict: bool = True, column: str = "value") -> DataFrame:
+def parse_fares(
+    df: DataFrame, strict: bool = True, column: str = "value", corrupt: str | None = None
+) -> DataFrame:
     t = F.col("_t")
-    rows = df.select(
-        _fields(F.col(column), ",", 8, list(range(8)), strict).alias("_t")
-    ).filter("_t IS NOT NULL")
-    return rows.select(
-        t[0].cast("long").alias("rideId"),
-        t[1].cast("long").alias("taxiId"),
-        t[2].cast("long").alias("driverId"),
-        F.to_timestamp(t[3], schemas.EVENT_TIME_FORMAT).alias("startTime"),
-        t[4].alias("paymentType"),
-        _float(t[5]).alias("tip"),
-        _float(t[6]).alias("tolls"),
-        _float(t[7]).alias("totalFare"),
-    )
+    fields = {name: _as(t[i], "long", strict) for i, name in enumerate(["rideId", "taxiId", "driverId"])}
+    fields |= {"startTime": _as(t[3], schemas.EVENT_TIME_FORMAT, strict), "paymentType": t[4]}
+    fields |= {name: _as(t[i], "float", strict) for i, name in enumerate(["tip", "tolls", "totalFare"], start=5)}
+    return _kept(_tokens(df, column, ",", 8, list(range(8)), strict), fields, strict, corrupt)
 
 
 def read_fares(
-    spark: SparkSession, path: str, streaming: bool = False, strict: bool = True
+    spark: SparkSession, path: str, streaming: bool = False, strict: bool = True, corrupt: str | None = None
 ) -> DataFrame:
-    return parse_fares(_lines(spark, path, streaming), strict)
+    return parse_fares(_lines(spark, path, streaming), strict, corrupt=corrupt)
 
 
-def parse_car_events(df: DataFrame, strict: bool = True, column: str = "value") -> DataFrame:
+def parse_car_events(
+    df: DataFrame, strict: bool = True, column: str = "value", corrupt: str | None = None
+) -> DataFrame:
     """Car lines of 23 tokens between commas or semicolons."""
     # Places of the used tokens, in the order of the output columns.
     places = [1, 0, 22, 20, 21, 7, 9, 12, 19]
     t = F.col("_t")
-    rows = df.select(
-        _fields(F.col(column), "(,|;)\\s*", 23, places, strict).alias("_t")
-    ).filter("_t IS NOT NULL")
     numbers = ["longitude", "latitude", "consumption", "speed", "throttle", "engineload"]
-    return rows.select(
-        t[0].alias("id"),
-        t[1].alias("carId"),
-        F.to_timestamp(t[2], schemas.CAR_TIME_FORMAT).alias("ts"),
-        *[_float(t[i]).alias(name) for i, name in enumerate(numbers, start=3)],
-    )
+    fields = {"id": t[0], "carId": t[1], "ts": _as(t[2], schemas.CAR_TIME_FORMAT, strict)}
+    fields |= {name: _as(t[i], "float", strict) for i, name in enumerate(numbers, start=3)}
+    return _kept(_tokens(df, column, "(,|;)\\s*", 23, places, strict), fields, strict, corrupt)
 
 
 def read_car_events(
-    spark: SparkSession, path: str, streaming: bool = False, strict: bool = True
+    spark: SparkSession, path: str, streaming: bool = False, strict: bool = True, corrupt: str | None = None
 ) -> DataFrame:
-    return parse_car_events(_lines(spark, path, streaming), strict)
+    return parse_car_events(_lines(spark, path, streaming), strict, corrupt=corrupt)
 
 
 def split_mails(df: DataFrame, columns: list[str] | None = None, column: str = "value") -> DataFrame:

@@ -71,7 +71,8 @@ def to_line_protocol(
 
 
 def encode_mails(mails: DataFrame) -> DataFrame:
-    return mails.select(F.concat_ws(FIELD_DELIMITER, *MAIL_COLUMNS).alias("value"))
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in MAIL_COLUMNS]  # each keeps its place
+    return mails.select(F.concat_ws(FIELD_DELIMITER, *fields).alias("value"))
 
 
 def write_mails(mails: DataFrame, path: str) -> None:
@@ -82,8 +83,16 @@ def write_ranks(ranks: DataFrame, path: str) -> None:
     ranks.write.csv(path, sep="\t")
 
 
-def write_documents(docs: DataFrame, path: str, index: str = PLACES_INDEX) -> None:
-    docs.select("document").write.mode("overwrite").text(f"{path}/{index}")
+def write_documents(
+    docs: DataFrame, path: str, index: str = PLACES_INDEX, batch: str | int = "all"
+) -> None:
+    """Write to the batch's own folder of the index: a retried batch replaces itself, no other one."""
+    docs.select("document").write.mode("overwrite").text(f"{path}/{index}/batch={batch}")
+
+
+def document_writer(path: str, index: str = PLACES_INDEX) -> Callable[[DataFrame, int], None]:
+    """The same as a ``foreachBatch`` function."""
+    return lambda batch, batch_id: write_documents(batch, path, index, batch_id)
 
 
 def batch_writer(path: str, fmt: str = "json") -> Callable[[DataFrame, int], None]:

@@ -218,9 +218,11 @@ def popular_places_sql(t: Tables) -> DataFrame:
     register_functions(t.spark)
     readers.register_rides(t.spark, t.rides, "TaxiRides")
     found = t.spark.sql(rides.POPULAR_PLACES_SQL.format(rides="TaxiRides", over=2))
-    return found.select("coords.*", "wstart", "wend", "isStart", "popCnt").select(
-        rounded("lon"), rounded("lat"), "wstart", "wend", "isStart", "popCnt"
-    )
+    named = found.select(
+        "place.*", F.col("span.start").alias("wstart"), F.col("span.end").alias("wend"),
+        F.col("starting").alias("isStart"), F.col("events").alias("popCnt"),
+    )
+    return named.select(rounded("lon"), rounded("lat"), "wstart", "wend", "isStart", "popCnt")
 
 
 _TIPS = f"""WITH {FARES_SQL}, h AS (
@@ -247,7 +249,9 @@ def hourly_tip_max(t: Tables) -> DataFrame:
 def hourly_tips_having(t: Tables) -> DataFrame:
     readers.register_fares(t.spark, t.fares, "TaxiFares")
     found = t.spark.sql(rides.HOURLY_TIPS_HAVING_SQL.format(fares="TaxiFares", over=50))
-    return found.select("wend", "driverId", rounded("tips"))
+    return found.select(
+        F.col("span.end").alias("wend"), "driverId", F.round("earned", 6).alias("tips")
+    )
 
 
 @query(
@@ -353,6 +357,25 @@ def match_or_expire(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    f"""{_PAIRS}, p AS (SELECT l."rideId" AS a, r."rideId" AS b, l."eventTime" AS lt, r."startTime" AS rt,
+      l."rideId" IS NOT NULL AND r."rideId" IS NOT NULL
+        AND abs(epoch_us(l."eventTime") - epoch_us(r."startTime")) > 600000000 AS far
+    FROM l FULL JOIN r ON l."rideId" = r."rideId")
+    SELECT coalesce(a, b) AS "rideId", 'matched' AS status, lt AS "rideTime", rt AS "fareTime" FROM p
+      WHERE NOT far AND a IS NOT NULL AND b IS NOT NULL
+    UNION ALL SELECT a, 'left_only', lt, NULL FROM p WHERE a IS NOT NULL AND (far OR b IS NULL)
+    UNION ALL SELECT b, 'right_only', NULL, rt FROM p WHERE b IS NOT NULL AND (far OR a IS NULL)"""
+)
+def match_or_expire_within(t: Tables) -> DataFrame:
+    return joins.match_or_expire(t.rides, t.fares, "10 minutes").select(
+        "rideId",
+        "status",
+        F.col("ride.eventTime").alias("rideTime"),
+        F.col("fare.startTime").alias("fareTime"),
+    )
+
+
 _ASOF = """
 FROM (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase') a
 ASOF LEFT JOIN (SELECT event_id, user_id, ts FROM events WHERE event_type = 'signup') b
@@ -730,7 +753,7 @@ def transition_weights(t: Tables) -> DataFrame:
     return graph.transition_weights(t.edges).select("src", "dst", rounded("weight"))
 
 
-ROUNDS = 5
+ROUNDS = 10
 
 
 def _pagerank_sql() -> str:
@@ -861,6 +884,20 @@ def trips_to_ride_events(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    """WITH tr AS (SELECT user_id, date_trunc('second', ts) AS up, date_trunc('second', ts)
+        + to_minutes(floor(value)::BIGINT + 1) AS down, event_id % 4 + 1 AS people FROM events),
+      n AS (SELECT *, row_number() OVER (ORDER BY up, user_id || ',' || (user_id + 1000) || ',VTS,,N,'
+        || strftime(up, '%Y-%m-%d %H:%M:%S') || ',' || strftime(down, '%Y-%m-%d %H:%M:%S') || ',' || people) AS id FROM tr)
+    SELECT id AS "rideId", true AS "isStart", up AS "startTime", TIMESTAMP '1970-01-01 00:00:00' AS "endTime",
+      people::SMALLINT AS "passengerCnt", user_id AS "taxiId" FROM n UNION ALL
+    SELECT id, false, up, down, people::SMALLINT, user_id FROM n"""
+)
+def numbered_trips(t: Tables) -> DataFrame:
+    events = etl.trips_to_ride_events(_trip_lines(t))
+    return events.select("rideId", "isStart", "startTime", "endTime", "passengerCnt", "taxiId")
+
+
 @query(
     """SELECT row_number() OVER (ORDER BY date_trunc('second', ts), line) AS "rideId", user_id AS "taxiId",
       user_id + 1000 AS "driverId", date_trunc('second', ts) AS "startTime", 'CRD' AS "paymentType",

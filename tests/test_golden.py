@@ -50,7 +50,7 @@ def test_popular_places(make):
 def test_popular_places_sql_is_strict(spark, make):
     readers.register_rides(spark, places_input(make), "SomeRides")
     got = spark.sql(rides.POPULAR_PLACES_SQL.format(rides="SomeRides", over=2))
-    assert {r.popCnt for r in got.collect()} == {3}
+    assert {r.events for r in got.collect()} == {3}
 
 
 TIPS = [fare(1, t(0), 1.0), fare(2, t(15), 5.0), fare(3, t(90), 10.0)]

@@ -279,8 +279,8 @@ def test_sql_on_streams(spark, make, stream):
     got = run_available(spark.sql(rides.POPULAR_PLACES_SQL.format(rides="StreamRides", over=2)))
     readers.register_rides(spark, all_rides(make), "BatchRides")
     expected = spark.sql(rides.POPULAR_PLACES_SQL.format(rides="BatchRides", over=2))
-    assert rows(got, "wend", "isStart", "popCnt") == rows(expected, "wend", "isStart", "popCnt") != []
+    assert rows(got, "span.end", "starting", "events") == rows(expected, "span.end", "starting", "events") != []
     tips = [[fare(1, t(0), 30.0), fare(2, t(15), 25.0)], [fare(9, FAR, 0.0, -1)]]
     readers.register_fares(spark, stream(schemas.FARE, *tips), "StreamFares", "1 hour")
     got = run_available(spark.sql(rides.HOURLY_TIPS_HAVING_SQL.format(fares="StreamFares", over=50)))
-    assert rows(got, "driverId", "tips") == [(1, 55.0)]
+    assert rows(got, "driverId", "earned") == [(1, 55.0)]
