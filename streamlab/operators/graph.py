@@ -37,23 +37,22 @@ def pagerank(
     shuffles one row per edge part and one per vertex: contributions are summed before the shuffle,
     and a vertex without incoming edges takes part with a zero contribution instead of a join.
     """
-    given = cut_lineage(edges.select("src", "dst", "weight"), "edges")
-    transitions = cut_lineage(transition_weights(given, part_rows), "transitions")
+    transitions = cut_lineage(transition_weights(edges, part_rows), "transitions")
     ends = transitions.select(F.explode(F.array("src", "dst")).alias("id"))
     vertices = cut_lineage(ends.distinct(), "vertices")
-    hot = cut_lineage(hot_keys(transitions, ["src"], part_rows), "hot-sources")
+    hot = hot_keys(transitions, ["src"], part_rows)
+    # Known before the rounds, so that no round counts again; mostly there is none.
+    hot = None if hot.isEmpty() else cut_lineage(hot, "hot-sources")
     base = (1.0 - damping) / max(vertices.count(), 1)
     none = vertices.select("id", F.lit(0.0).alias("_in"))
     ranks = vertices.withColumn("rank", F.lit(float(init)))
     for step in range(1, iterations + 1):
-        sent = salted_join(
-            transitions,
-            ranks.withColumnRenamed("id", "src"),
-            ["src"],
-            ["dst"],
-            part_rows=part_rows,
-            hot=hot,
-        ).select(F.col("dst").alias("id"), (F.col("rank") * F.col("weight")).alias("_in"))
+        sources = ranks.withColumnRenamed("id", "src")
+        if hot is None:
+            carried = transitions.join(sources, "src")
+        else:
+            carried = salted_join(transitions, sources, ["src"], ["dst"], part_rows=part_rows, hot=hot)
+        sent = carried.select(F.col("dst").alias("id"), (F.col("rank") * F.col("weight")).alias("_in"))
         ranks = (
             sent.unionByName(none)
             .groupBy("id")

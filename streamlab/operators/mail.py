@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from streamlab.functions import text as tx
 from streamlab.plans.hotkeys import PART_ROWS, hot_keys_of, salted_join
-from streamlab.plans.lineage import cut_lineage
 from streamlab.plans.once import once
 from streamlab.schemas import MAIL_COLUMNS, MAIL_TIME_FORMAT
 
@@ -124,16 +123,19 @@ def tf_idf(
     stop_words: list[str] | None = None,
     part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    """``(id, word, tfidf)`` with ``tf * (N / df)``."""
-    tf = term_frequency(docs, id_col, text_col, stop_words)
-    # One row per word, used three times: kept, so that the texts are not read again for each use.
-    df = cut_lineage(document_frequency(docs, text_col, stop_words), "document-frequency")
-    # df is also the number of rows a word has in tf, so hot words are read off it.
+    """``(id, word, tfidf)`` with ``tf * (N / df)``.
+
+    Words are counted per document by one combined aggregate; df is counted from its rows, so the texts
+    are read once and the shuffle is used twice. The word join is broadcast or not by the size of
+    the vocabulary at run time; hot words are read off df and salted.
+    """
+    words = docs.select(id_col, F.explode(tx.words(F.col(text_col))).alias("word"))
+    words = words.filter(~F.col("word").isin(_stop(stop_words)))
+    tf = words.groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("tf"))
+    df = tf.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     hot = hot_keys_of(df, ["word"], "df", part_rows)
     documents = docs.select(F.count(F.lit(1)).alias("n")).scalar()
-    weighted = salted_join(
-        tf, df, ["word"], [id_col], part_rows=part_rows, hot=hot, hint="merge"
-    )
+    weighted = salted_join(tf, df, ["word"], [id_col], part_rows=part_rows, hot=hot)
     return weighted.select(
         id_col, "word", tx.tf_idf_weight(F.col("tf"), F.col("df"), documents).alias("tfidf")
     )

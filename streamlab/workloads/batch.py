@@ -756,7 +756,7 @@ def transition_weights(t: Tables) -> DataFrame:
 ROUNDS = 10
 
 
-def _pagerank_sql() -> str:
+def _pagerank_sql(edges: str) -> str:
     steps = [
         "v AS (SELECT src AS id FROM v_edges UNION SELECT dst FROM v_edges)",
         "p0 AS (SELECT id, 1.0::DOUBLE AS rank FROM v)",
@@ -768,14 +768,33 @@ def _pagerank_sql() -> str:
             f" sum(rank * weight) AS got FROM v_transitions JOIN p{i - 1} ON src = id GROUP BY dst) s"
             " ON v.id = s.id)"
         )
-    return f"WITH {EDGES_SQL}, {', '.join(steps)} SELECT id, round(rank, 6) AS rank FROM p{ROUNDS}"
+    return f"WITH {edges}, {', '.join(steps)} SELECT id, round(rank, 6) AS rank FROM p{ROUNDS}"
 
 
-@query(_pagerank_sql())
+@query(_pagerank_sql(EDGES_SQL))
 def pagerank(t: Tables) -> DataFrame:
     return graph.pagerank(t.edges, iterations=ROUNDS).select("id", rounded("rank"))
 
 
+#: Customers and the suppliers of their lines, both ways, so that rank flows on.
+_TRADE_SQL = """
+v_lines AS (SELECT 'c' || o_custkey AS c, 's' || l_suppkey AS s, count(*)::DOUBLE AS n
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL),
+v_edges AS (SELECT c AS src, s AS dst, n AS weight FROM v_lines UNION ALL SELECT s, c, n FROM v_lines),
+v_transitions AS (SELECT src, dst, weight / sum(weight) OVER (PARTITION BY src) AS weight FROM v_edges)
+"""
+
+
+@query(_pagerank_sql(_TRADE_SQL))
+def pagerank_customers(t: Tables) -> DataFrame:
+    lines = t["lineitem"].join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+    c, s = F.concat(F.lit("c"), "o_custkey"), F.concat(F.lit("s"), "l_suppkey")
+    sold = lines.groupBy(c.alias("c"), s.alias("s")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    edge = lambda a, b: F.struct(F.col(a).alias("src"), F.col(b).alias("dst"), F.col("n").alias("weight"))
+    edges = sold.select(F.inline(F.array(edge("c", "s"), edge("s", "c"))))
+    return graph.pagerank(edges, iterations=ROUNDS).select("id", rounded("rank"))
+
+
 # --- sources and sinks ---------------------------------------------------------------------------
 
 _SECOND = "date_trunc('second', {0})"
