@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that a task works on at a time. Memory only: a text is never cut, results do not depend on it.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def text_chunks(

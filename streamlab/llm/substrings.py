@@ -34,7 +34,7 @@ SPAN = LENGTH - GRAM + 1
 TABLE = mix(np.arange(77, 77 + 256, dtype=np.uint64))
 STEP = np.uint64(0xD6E8FEB86659FD93)
 #: Bytes of text per bucket; their number grows with the input.
-BUCKET_BYTES, LEAST_BUCKETS = 4 << 20, 64
+BUCKET_BYTES, LEAST_BUCKETS = 2 << 20, 64
 #: Windows that are compared byte by byte at a time; memory only.
 COMPARED = 100_000
 
@@ -91,15 +91,19 @@ def _packed(bucket: np.ndarray, columns: dict[str, np.ndarray], sizes: dict[str,
     return pa.RecordBatch.from_arrays(arrays, names)
 
 
-def _by_document(ids: np.ndarray, tags: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-    """(id, tag, found): one row per document with its values as bytes; ``values`` has a row per entry."""
-    order = np.lexsort((tags, ids))
-    ids, tags, values = ids[order], tags[order], values[order]
-    new = np.append(True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])) if len(ids) else np.zeros(0, bool)
+def _by_document(ids: np.ndarray, values: np.ndarray, tags: np.ndarray | None = None) -> pa.RecordBatch:
+    """(id, [tag,] found): one row per document with its values as bytes; ``values`` has a row per entry."""
+    keys = [ids] if tags is None else [ids, tags]
+    order = np.lexsort(keys[::-1])
+    keys, values = [k[order] for k in keys], values[order]
+    new = np.zeros(len(ids), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
     begin = np.flatnonzero(new)
     width = values.shape[1] if values.ndim == 2 else 1
     found = binaries(values.astype(np.int32).ravel(), np.append(begin, len(ids)) * width)
-    return pa.RecordBatch.from_arrays([pa.array(ids[begin]), pa.array(tags[begin]), found], ["id", "tag", "found"])
+    return pa.RecordBatch.from_arrays([*(pa.array(k[begin]) for k in keys), found], [*["id", "tag"][: len(keys)], "found"])
 
 
 def _unpacked(batch: pa.RecordBatch, kinds: dict[str, np.dtype]) -> dict[str, np.ndarray]:
@@ -121,8 +125,9 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(waiting)
 
 
-PLACE = {"id": np.dtype("i8"), "tag": np.dtype("i8"), "p": np.dtype("i4")}
-CONTEXT = PLACE | {"lo": np.dtype("i4"), "n": np.dtype("i4")}
+PLACE = {"id": np.dtype("i8"), "p": np.dtype("i4")}
+SETTLED = PLACE | {"tag": np.dtype("i8"), "n": np.dtype("i4")}
+CONTEXT = SETTLED | {"lo": np.dtype("i4")}
 
 
 def _find_anchors(n_buckets: int):
@@ -130,7 +135,7 @@ def _find_anchors(n_buckets: int):
         """Of each hash its first place in the chunk, dealt by hash; places of hashes that a chunk has twice, by document."""
         for rows, data, offsets in text_chunks(batches, "text"):
             text, place, _, _, h = anchors(data, offsets)
-            ids, tags = rows.column("id").to_numpy()[text], rows.column("tag").to_numpy()[text]
+            ids = rows.column("id").to_numpy()[text]
             p = (place - offsets[text]).astype(np.int32)
             order = np.argsort(h, kind="stable")
             hs = h[order]
@@ -138,23 +143,23 @@ def _find_anchors(n_buckets: int):
             twice = np.zeros(len(hs), bool)
             twice[1:] |= ~first[1:]
             twice[:-1] |= ~first[1:]
-            # A hash that the chunk has twice is sent twice, so that its bucket knows.
-            send = np.concatenate((order[first], order[first & twice]))
+            # A hash that the chunk has twice is sent twice, so that its bucket knows. In page order,
+            # equal and near numbers stand together and compress.
+            send = np.concatenate((np.sort(order[first]), np.sort(order[first & twice])))
             at = (h[send] % np.uint64(n_buckets)).astype(np.int64)
-            sent = {"h": h[send], "id": ids[send], "tag": tags[send], "p": p[send]}
-            yield _packed(at, sent)
-            known = order[twice]
+            yield _packed(at, {"h": h[send], "id": ids[send], "p": p[send]})
+            known = np.sort(order[twice])
             at = (mix(ids[known].astype(np.uint64)) % np.uint64(n_buckets)).astype(np.int64)
-            out = _packed(at, {"id": ids[known], "tag": tags[known], "p": p[known]})
+            out = _packed(at, {"id": ids[known], "p": p[known]})
             yield pa.RecordBatch.from_arrays(
-                [out.column(0), pa.nulls(out.num_rows, pa.binary()), *out.columns[1:]], ["bucket", "h", "id", "tag", "p"]
+                [out.column(0), pa.nulls(out.num_rows, pa.binary()), *out.columns[1:]], ["bucket", "h", "id", "p"]
             )
 
     return run
 
 
 def _shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, tag, found): places of anchors whose hash came more than once."""
+    """(id, found): places of anchors whose hash came more than once."""
     for table in _buckets(batches):
         for batch in table.combine_chunks().to_batches():
             dealt = batch.filter(batch.column("h").is_valid())
@@ -163,7 +168,7 @@ def _shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             _, which, count = np.unique(x["h"], return_inverse=True, return_counts=True)
             more = count[which] > 1
             y = _unpacked(known, PLACE)
-            yield _by_document(*(np.concatenate((x[c][more], y[c])) for c in ("id", "tag", "p")))
+            yield _by_document(*(np.concatenate((x[c][more], y[c])) for c in ("id", "p")))
 
 
 def _send_contexts(n_buckets: int):
@@ -252,7 +257,7 @@ def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         batch = table.combine_chunks().to_batches()[0]
         dealt = batch.filter(batch.column("h").is_valid())
         settled = batch.filter(batch.column("h").is_null())
-        y = _unpacked(settled, PLACE | {"n": np.dtype("i4")})
+        y = _unpacked(settled, SETTLED)
         out_id, out_tag, out = [y["id"]], [y["tag"]], [np.stack((y["p"], y["n"]), axis=1)]
         x = _unpacked(dealt, {"h": np.dtype("u8"), **CONTEXT, "raw": np.dtype("u1")})
         size = x["n"].astype(np.int64) + LENGTH - 1
@@ -279,16 +284,16 @@ def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             out_id.append(x["id"][keep][entry[begin]])
             out_tag.append(x["tag"][keep][entry[begin]])
             out.append(np.stack((start[begin].astype(np.int32), runs.astype(np.int32)), axis=1))
-        yield _by_document(np.concatenate(out_id), np.concatenate(out_tag), np.concatenate(out))
+        yield _by_document(np.concatenate(out_id), np.concatenate(out), np.concatenate(out_tag))
 
 
 def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Drop what the starts cover; bytes of a character that was cut in part go from ``text`` as well."""
     for rows, data, offsets in text_chunks(batches, "text"):
-        lists = rows.column("starts")
+        lists, tags = rows.column("starts"), rows.column("tag").to_pylist()
         removed, kept, spans = [], [], []
         for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
-            own, parts = data[a:b], lists[i].as_py()
+            own, parts = data[a:b], [x["found"] for x in lists[i].as_py() or () if x["tag"] == tags[i]]
             if parts:
                 runs = np.concatenate([np.frombuffer(x, np.int32) for x in parts]).reshape(-1, 2).astype(np.int64)
                 size = len(own) + 1
@@ -334,18 +339,18 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         text.alias("text"),
         F.struct(*(F.col(c) for c in df.columns if c != text_col)).alias("other"),
     )
-    places = "bucket long, h binary, id binary, tag binary, p binary"
-    found = "id long, tag long, found binary"
-    dealt = texts.select("id", "tag", "text").mapInArrow(_find_anchors(n_buckets), places)
-    shared = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared_anchors, found)
-    shared = shared.groupBy("id", "tag").agg(F.collect_list("found").alias("places"))
-    near = texts.join(shared, ["id", "tag"])
-    contexts = near.mapInArrow(_send_contexts(n_buckets), f"{places}, lo binary, n binary, raw binary")
-    repeats = contexts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sort_suffixes, found)
-    repeats = repeats.groupBy("id", "tag").agg(F.collect_list("found").alias("starts"))
+    places = "bucket long, h binary, id binary, p binary"
+    dealt = texts.select("id", "text").mapInArrow(_find_anchors(n_buckets), places)
+    shared = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared_anchors, "id long, found binary")
+    shared = shared.groupBy("id").agg(F.collect_list("found").alias("places"))
+    near = texts.join(shared, "id")
+    columns = "bucket long, h binary, id binary, tag binary, p binary, lo binary, n binary, raw binary"
+    contexts = near.mapInArrow(_send_contexts(n_buckets), columns)
+    repeats = contexts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sort_suffixes, "id long, tag long, found binary")
+    repeats = repeats.groupBy("id").agg(F.collect_list(F.struct("tag", "found")).alias("starts"))
     row = texts.schema["other"].dataType.simpleString()
     out = f"other {row}, n_bytes long, n_removed long, kept binary, text string, spans array<struct<start:bigint,end:bigint>>"
-    return texts.join(repeats, ["id", "tag"], "left").mapInArrow(_cover, out)
+    return texts.join(repeats, "id", "left").mapInArrow(_cover, out)
 
 
 #: The same rows in DuckDB: every window of 100 bytes (as hexadecimal text) with the first place where it starts.
