@@ -172,15 +172,15 @@ class Automaton:
     def match(self, words: list[str], at: int) -> int:
         """The number of words of the longest match that starts at ``at``; 0 if there is none."""
         states, best = self.start, 0
-        for n, word in enumerate(words[at:] if at else words, 1):
-            following: set[int] = set()
+        for n in range(at, len(words)):
+            word, following = words[n], set()
             for s in states:
                 following |= self.moves[s].get(word, frozenset())
                 following |= self.any_moves[s]
             if not following:
                 break
             if self.end in following:
-                best = n
+                best = n + 1 - at
             states = frozenset(following)
         return best
 
