@@ -206,6 +206,23 @@ def _verify(ids: np.ndarray, copies: np.ndarray, side: np.ndarray, sets: list[np
     return links, ids[[find(x) for x in range(n)]]
 
 
+def _once(ids: np.ndarray, sets: list[np.ndarray]) -> list[int]:
+    """Rows without those that repeat an id with the same shingles; ids ascend."""
+    seen: set[tuple[int, bytes]] = set()
+    same = np.concatenate(([False], ids[1:] == ids[:-1]))
+    keep = []
+    for k in range(len(ids)):
+        if not same[k]:
+            seen.clear()
+        if same[k] or same[k + 1 : k + 2].any():
+            key = (int(ids[k]), hashlib.blake2b(sets[k].tobytes()).digest())
+            if key in seen:
+                continue
+            seen.add(key)
+        keep.append(k)
+    return keep
+
+
 def verified(texts: DataFrame, groups: DataFrame) -> DataFrame:
     """(rep, links, root, many): exact links of classes within their group.
 
@@ -234,8 +251,10 @@ def verified(texts: DataFrame, groups: DataFrame) -> DataFrame:
                 offsets, data = flat_text(part.column("text").combine_chunks())
                 hashes, starts = shingle_hashes(data, offsets)
                 sets = [np.unique(hashes[x:y]) for x, y in zip(starts[:-1], starts[1:])]
+                values, once = minhashes(hashes, starts), _once(ids, sets)
+                ids, side, copies, values, sets = ids[once], side[once], copies[once], values[once], [sets[k] for k in once]
                 cross = part.column("i")[0].as_py() != part.column("j")[0].as_py()
-                links, root = _verify(ids, copies, side, sets, minhashes(hashes, starts), cross)
+                links, root = _verify(ids, copies, side, sets, values, cross)
                 for column, x in zip(out, (ids, links, root, [part.column("blocks")[0].as_py() > 1] * len(ids))):
                     column.extend(x)
             types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
@@ -250,17 +269,19 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     ``n_links`` counts the other rows with similarity of 0.8 or more, ``class_id`` is the smallest id that
     links lead to, ``copy_of`` the smallest id with the same words. A null or empty text has no shingles: it
     has no links and is its own class. Rows that repeat an id are copies of each other if their words
-    are equal; with different words they count as one document that has the links of both. A row
-    without an id keeps null, unless a row with the same words has one. Other columns are left out.
+    are equal; with different words, where no smaller id has either, they count as one document that has the
+    links of both, and it has as many copies as the more frequent of its texts. A row without an id keeps
+    null, unless a row with the same words has one. Other columns are left out.
     """
     base = cut_lineage(signatures(df, id_col, text_col), "signatures")
     copies = base.where("copy is not null").groupBy("copy").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     members = base.join(copies, "copy", "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"), F.coalesce("copies", F.lit(1)).alias("copies"))
     classes = base.join(copies, "copy").where(F.col("doc_id") == F.col("rep")).select("rep", "copies", "signature")
-    classes = cut_lineage(classes.dropDuplicates(["rep"]), "classes")
+    classes = cut_lineage(classes.dropDuplicates(["rep", "signature"]), "classes")
     groups = components(candidate_edges(classes.select("rep", "signature")))
     texts = df.select(F.col(id_col).cast("long").alias("rep"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    texts = texts.join(classes.select("rep", "copies").join(groups, F.col("rep") == F.col("node"), "left_semi"), "rep")
+    counts = classes.groupBy("rep").agg(F.max("copies").alias("copies"))
+    texts = texts.join(counts.join(groups, F.col("rep") == F.col("node"), "left_semi"), "rep").distinct()
     found = cut_lineage(verified(texts, groups), "verified")
     roots = found.groupBy("rep").agg(F.sum("links").alias("links"), F.min("root").alias("root"))
     if not found.where("many").isEmpty():

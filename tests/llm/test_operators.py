@@ -145,6 +145,11 @@ def test_license_phrases_and_templates(spark, odd, none):
     assert licenses.op1_licenses(none).count() == 0
 
 
+def test_long_text_with_many_beginnings():
+    found = licenses.Scanner().scan("the word " * 200_000 + "the apache license")
+    assert [(f.label, f.start, f.length) for f in found] == [("apache", 400_001, 2)]
+
+
 def test_automaton_regions():
     a = licenses.Automaton("one [[two]] {{2}} three")
     assert [a.match(t.split(), 0) for t in ("one three", "one two three", "one x three", "one two x y three z", "one x y z three", "two three")] == [2, 3, 3, 5, 0, 0]
@@ -272,6 +277,14 @@ def test_join_with_odd_input(odd, none):
     assert ngram_join.ngram_join(none).count() == 0
 
 
+def test_join_with_repeated_ids_that_have_partners(spark):
+    """A repeated row adds no links to others; texts of one id keep the links of each."""
+    one, two, three = words(80, 21), words(80, 22), words(80, 23)
+    rows = [(1, one), (1, one), (2, one + " x"), (3, two), (3, three), (4, two + " x"), (5, three + " x")]
+    got = texts_by_row(ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "class_id", "n_links")
+    assert got == [(1, 1, 2), (1, 1, 2), (2, 1, 2), (3, 3, 2), (3, 3, 2), (4, 3, 1), (5, 3, 1)]
+
+
 def test_bayesian_bounds():
     for n, least in ngram_join.LEAST:
         assert 0 < least < 0.8 * n  # a pair at the threshold stays
