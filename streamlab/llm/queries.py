@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from streamlab.llm.filter_audit import ORACLE as AUDIT_ORACLE
+from streamlab.llm.filter_audit import op13_audit
 from streamlab.llm.fingerprints import op6_fingerprints
+from streamlab.llm.hard_negatives import ORACLE as NEGATIVES_ORACLE
+from streamlab.llm.hard_negatives import op11_negatives
 from streamlab.llm.html_text import op2_html
 from streamlab.llm.licenses import op1_licenses
 from streamlab.llm.multi_index import op7_neighbours
@@ -16,16 +20,17 @@ from streamlab.llm.packing import op5_pack
 from streamlab.llm.quality import op8_quality
 from streamlab.llm.substrings import ORACLE as REPEATS_ORACLE
 from streamlab.llm.substrings import op4_repeats
+from streamlab.llm.token_counts import op12_counts
 from streamlab.llm.toxicity import op10_toxicity
 from streamlab.llm.word_bpe import op3_bpe
 
-VOCABULARY = "word_bpe_49k.json"
+VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -72,10 +77,31 @@ def op10_toxicity_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_negatives(_read(spark, sf_dir, "embeddings"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_counts(_read(spark, sf_dir, "documents"), vocabulary_path(BYTE_VOCABULARY))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_license_scan, op2_html_density, op3_bpe_round_trip, op4_repeated_substrings, op5_packing, op6_one_permutation_fingerprints, op7_inverted_multi_index, op8_quality_bradley_terry, op9_ngram_join, op10_toxicity_string_kernel)
+    own = (
+        op1_license_scan, op2_html_density, op3_bpe_round_trip, op4_repeated_substrings, op5_packing,
+        op6_one_permutation_fingerprints, op7_inverted_multi_index, op8_quality_bradley_terry, op9_ngram_join,
+        op10_toxicity_string_kernel, op11_hard_negatives, op12_token_counts, op13_filter_audit,
+    )
     return {fn.__name__: fn for fn in own}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op4_repeated_substrings": REPEATS_ORACLE, "op9_ngram_join": NGRAM_ORACLE}
+    return {
+        "op4_repeated_substrings": REPEATS_ORACLE,
+        "op9_ngram_join": NGRAM_ORACLE,
+        "op11_hard_negatives": NEGATIVES_ORACLE,
+        "op13_filter_audit": AUDIT_ORACLE,
+    }
