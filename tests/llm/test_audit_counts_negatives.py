@@ -129,21 +129,59 @@ def test_counts_equal_the_library(spark, path, monkeypatch):
     assert {r["n_tokens"] for r in token_counts.token_counts(nulls, path).collect()} == {0}
 
 
+def test_numpy_cuts_like_the_library(path):
+    own = token_counts.Rules(token_counts.read_rules(path))
+    texts = [t for t in odd_texts() if t and own.is_plain(t)]
+    rng = random.Random(8)
+    texts += ["".join(rng.choices(" \n'stmdrevlSA1²é!", k=rng.randrange(1, 12))) for _ in range(5_000)]
+    assert len(texts) > 5_000
+    pieces = token_counts.cut(texts)
+    for i, text in enumerate(texts):
+        got = [pieces.different[k] for k in pieces.at[pieces.firsts[i] : pieces.firsts[i + 1]]]
+        assert got == [text[a:b] for _, (a, b) in own.library.pre_tokenizer.pre_tokenize_str(text)]
+
+
+def test_equal_hashes_of_different_pieces_change_nothing(path, monkeypatch):
+    rules = token_counts.read_rules(path)
+    texts = ["ab ba abba", "", "some words of a text"]
+    expected = token_counts.Lengths(rules).of_texts(texts).tolist()
+    monkeypatch.setattr(token_counts, "WEIGHTS", np.ones(token_counts.HASHED, np.uint64))
+    assert token_counts.cut(texts) is None
+    assert token_counts.Lengths(rules).of_texts(texts).tolist() == expected
+
+
 def test_both_tiers_answer_and_the_cache_is_bounded(path, monkeypatch):
     rules = token_counts.read_rules(path)
-    table = token_counts.frequent_table([" the", "漢字", "x"], rules)
+    table = token_counts.frequent_table([" the", "漢字", "x"], rules).table()
     lengths = token_counts.Lengths(rules, table)
-    assert dict(lengths) == {" the": 1, "漢字": len(lengths.library.encode("漢字").ids), "x": 1}
+    assert table == {" the": 1, "漢字": lengths.rules.tokens("漢字"), "x": 1}
     monkeypatch.setattr(token_counts, "CACHE_PIECES", 3)
     assert lengths.of_text("x the the x") == 4 and lengths.encoded == 1
     lengths.of_text("one two three four five six")
-    assert len(lengths.cache) <= 3 and len(lengths) == 3
-
-
-def test_frequent_pieces_are_those_of_all_texts(spark, path):
-    rows = [(i, "often " * 50 + f"rare{i}", "en", 1, 2, 3, "d", 4, 5) for i in range(200)]
-    found = token_counts.frequent_pieces(spark.createDataFrame(rows, DOCS).repartition(7), most=1)
-    assert found == [" often"]
+    assert lengths.of_text(" six") == 1 and lengths.encoded == 7
+    assert len(lengths.young) <= 3 and len(lengths.old) <= 3 and lengths.frequent == table
+
+
+def test_frequent_pieces_are_those_of_all_texts(spark, path, monkeypatch):
+    monkeypatch.setattr(token_counts, "LEVELS", (3, 1))
+    rows = [(i, "often " * 50 + f"rare{i} ", "en", 1, 2, 3, "d", 4, 5) for i in range(200)] + [(1, "now and again؀", "en", 1, 2, 3, "d", 4, 5)] * 40
+    rules = spark.sparkContext.broadcast(token_counts.read_rules(path))
+    frame = spark.createDataFrame(rows, DOCS).repartition(7)
+    assert token_counts.frequent_pieces(frame, rules, most=1) == [" often"]
+    assert " again" in token_counts.frequent_pieces(frame, rules, most=900)
+    assert token_counts.frequent_pieces(frame.limit(0), rules) == []
+
+
+def test_summaries_keep_what_is_frequent():
+    rng = random.Random(4)
+    stream = ["a"] * 400 + ["b"] * 300 + [f"r{i}" for i in range(900)]
+    rng.shuffle(stream)
+    counts = Counter()
+    for lo in range(0, len(stream), 50):
+        counts.update(stream[lo : lo + 50])
+        counts = token_counts.thin_out(counts, 8)
+        assert len(counts) <= 8
+    assert [p for p, _ in counts.most_common(2)] == ["a", "b"]
 
 
 # -- filter audit
