@@ -6,7 +6,8 @@ Nothing is shuffled per pre-token: the frequent ones come from mergeable summari
 task, and a text is counted in the task that reads it. The summaries cover all texts, and decide only
 which pre-tokens are in the table, never a count.
 
-A task cuts a chunk of texts into pre-tokens with numpy and looks up each different one once.
+A task cuts a chunk of texts into pre-tokens with numpy, looks up each different one once, and encodes
+those that are in neither tier together, in merge rounds.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamlab.llm.arrow import ranges, text_chunks
+from streamlab.llm.word_bpe import _byte_characters, merge_rounds
 
 #: Pre-tokens of the broadcast table, and of a summary while it counts: bounds for the broadcast (under 1 MB) and for a task.
 FREQUENT, COUNTERS = 20_000, 100_000
@@ -44,7 +47,7 @@ PIECE = regex.compile(PATTERN)
 SETTLED_CHARS = "\x00-\x1b\x20-ԯḀ-ỿ‐-‧‰-⁞₠-₿ぁ-ゖァ-ヺ一-龥가-힣"
 SETTLED = re.compile(f"[{SETTLED_CHARS}]*\\Z")
 LETTER, NUMBER, SPACE, OTHER = range(4)
-#: Characters that are hashed by position; longer pre-tokens are hashed as strings.
+#: Characters that are hashed by position; longer pre-tokens are hashed as strings and encoded by the library.
 HASHED = 64
 
 
@@ -119,6 +122,22 @@ def cut(texts: list[str]) -> Pieces | None:
     return Pieces([joined[a:b] for a, b in spans], at, firsts)
 
 
+class Merges:
+    """The vocabulary's merges as sorted pair keys, for ``merge_rounds``; a byte is the same token anywhere."""
+
+    def __init__(self, spec: dict):
+        vocab = spec["model"]["vocab"]
+        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
+        self.inner = self.final = np.array([vocab[c] for c in _byte_characters()], np.int32)
+        self.merged = np.array([vocab[a + b] for a, b in merges], np.int32)
+        keys = self.pair_keys(np.array([vocab[a] for a, _ in merges]), np.array([vocab[b] for _, b in merges]))
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.ranks = keys[order], order.astype(np.int32)
+
+    def pair_keys(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
+
+
 class Rules:
     """The library, and how a text falls into pre-tokens."""
 
@@ -128,11 +147,23 @@ class Rules:
         self.library = Tokenizer.from_str(rules)
         self.library.no_truncation()
         self.library.no_padding()
-        special = sorted(t["content"] for t in json.loads(rules)["added_tokens"])
+        spec = json.loads(rules)
+        special = sorted(t["content"] for t in spec["added_tokens"])
         self.special = re.compile("|".join(map(re.escape, special)) if special else r"(?!)")
-
-    def tokens(self, piece: str) -> int:
-        return len(self.library.encode(piece, add_special_tokens=False).ids)
+        self.merges = Merges(spec)
+
+    def tokens(self, pieces: list[str]) -> list[int]:
+        """Numbers of tokens of pre-tokens, all encoded together."""
+        coded = [piece.encode() if len(piece) <= HASHED else b"" for piece in pieces]
+        sizes = np.array([len(c) for c in coded], np.int64)
+        some = np.flatnonzero(sizes)
+        n = np.zeros(len(pieces), np.int64)
+        if len(some):
+            _, piece = merge_rounds(np.frombuffer(b"".join(coded), np.uint8), sizes[some], self.merges)
+            n[some] = np.bincount(piece, minlength=len(some))
+        for i in np.flatnonzero(sizes == 0).tolist():
+            n[i] = len(self.library.encode(pieces[i], add_special_tokens=False).ids)
+        return n.tolist()
 
     def is_plain(self, text: str) -> bool:
         return len(text) <= LONG_CHARS and SETTLED.match(text) is not None and not self.special.search(text)
@@ -154,27 +185,43 @@ class Lengths:
         self.old: dict[str, int] = {}
         self.held = self.encoded = 0
 
-    def of_piece(self, piece: str) -> int:
+    def known(self, piece: str) -> int:
+        """Length in either tier; -1 if in none."""
         n = self.frequent.get(piece)
         if n is None:
             n = self.young.get(piece)
-        return self._behind(piece) if n is None else n
+        if n is None and piece in self.old:
+            n = self.old[piece]
+            self.remember(piece, n)
+        return -1 if n is None else n
 
-    def _behind(self, piece: str) -> int:
-        n = self.old.get(piece)
-        if n is None:
-            n = self.rules.tokens(piece)
-            self.encoded += 1
+    def remember(self, piece: str, n: int) -> None:
         if len(self.young) >= CACHE_PIECES or self.held >= CACHE_CHARS:
             self.old, self.young, self.held = self.young, {}, 0
         self.young[piece] = n
         self.held += len(piece)
+
+    def of_pieces(self, pieces: list[str]) -> np.ndarray:
+        """``pieces`` are all different."""
+        n = np.fromiter(map(self.known, pieces), np.int64, len(pieces))
+        missing = np.flatnonzero(n < 0)
+        if len(missing):
+            new = [pieces[i] for i in missing.tolist()]
+            n[missing] = tokens = self.rules.tokens(new)
+            self.encoded += len(new)
+            for piece, k in zip(new, tokens):
+                self.remember(piece, k)
         return n
 
     def of_text(self, text: str) -> int:
         """One text, whatever is in it."""
         parts = self.rules.special.split(text)
-        return len(parts) - 1 + sum(sum(map(self.of_piece, self.rules.pieces(part))) for part in parts)
+        n = len(parts) - 1
+        for part in parts:
+            pieces = self.rules.pieces(part)
+            while some := Counter(islice(pieces, LONG_CHARS)):
+                n += int(self.of_pieces(list(some)) @ np.array(list(some.values()), np.int64))
+        return n
 
     def of_texts(self, texts: list[str]) -> np.ndarray:
         n = np.zeros(len(texts), np.int64)
@@ -183,7 +230,7 @@ class Lengths:
         if pieces is None:
             plain = []
         else:
-            lengths = np.fromiter(map(self.of_piece, pieces.different), np.int64, len(pieces.different))
+            lengths = self.of_pieces(pieces.different)
             n[plain] = np.diff(np.append(0, np.cumsum(lengths[pieces.at]))[pieces.firsts])
         for i in sorted(set(range(len(texts))) - set(plain)):
             n[i] = self.of_text(texts[i])
@@ -285,7 +332,7 @@ def frequent_pieces(docs: DataFrame, rules: Broadcast, text_col: str = "text", m
 def frequent_table(pieces: list[str], rules: str) -> Frequent:
     own = Rules(rules)
     ends = np.cumsum([len(p) for p in pieces], dtype=np.int64)
-    return Frequent("".join(pieces), ends, np.array([own.tokens(p) for p in pieces], np.int16))
+    return Frequent("".join(pieces), ends, np.array(own.tokens(pieces), np.int16))
 
 
 def token_counts(
