@@ -324,6 +324,40 @@ def test_fingerprints(odd, none, spark):
     assert one["near_next"] == 1.0 and one["edited_sha256"] == hashlib.sha256(b"abcdefab").hexdigest()
 
 
+def plain_fingerprint(text):
+    """Bins, donors and bits in a loop."""
+    xxhash = pytest.importorskip("xxhash")
+    split = [w for w in re.split(r"[ \t\n\x0b\f\r]+", text or "") if w]
+    hashes = []
+    for i in range(max(len(split) - 4, 1)):
+        seed = 42
+        for word in split[i : i + 5]:
+            seed = xxhash.xxh64_intdigest(word.encode(), seed)
+        hashes.append(seed - (seed >> 63 << 64))
+    least: dict[int, int] = {}
+    for h in sorted(hashes):
+        least.setdefault((h >> 57) + 64, h)
+    out = []
+    for b in range(128):
+        donors = [x for x in range(128) if x != b]
+        random.Random(11 * 128 + b).shuffle(donors)
+        filled = next(x for x in [b, *donors] if x in least)
+        out.append(least[filled] & 255)
+    return bytes(out).hex().upper()
+
+
+def test_fingerprints_equal_a_plain_loop(spark):
+    texts = ["", None, "one", "a b c d e", "a b c d e f", *(words(n, n) for n in (7, 12, 40, 200, 1500)), "x y " * 300]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r["i"]: r["f"] for r in fingerprints.with_fingerprint(frame, "t", "f").collect()}
+    assert got == {i: plain_fingerprint(t) for i, t in enumerate(texts)}
+
+
+def test_fingerprints_of_the_smallest_id(spark):
+    rows = [(-(1 << 63), "a b c"), (None, "d e f"), (5, "g h i")]
+    assert fingerprints.op6_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).count() == 3
+
+
 def test_fingerprints_estimate_jaccard(spark):
     rows = []
     for i in range(40):
