@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from streamlab.functions import geo
 from streamlab.functions import rides as rx
-from streamlab.operators.rides import end_rides, predicate_scope, with_event_time
+from streamlab.operators.predicates import check_predicates, distinct_predicates, one_of, predicate_scope
+from streamlab.operators.rides import end_rides, with_event_time
 from streamlab.plans.hotkeys import PART_ROWS, split_by_position
 from streamlab.plans.intervals import bucket_join, interval_point_join
 from streamlab.plans.scans import Carry, drop_parts, part_window, with_carries
@@ -24,7 +25,7 @@ def _millis(interval: str) -> Column:
     return F.unix_millis(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {interval}"))
 
 
-def _next_time(
+def next_time(
     controls: DataFrame, after: Column, part_rows: int, name: str = "_until"
 ) -> DataFrame:
     """For each control the first control time (ms) later than ``after`` (ms); null if none."""
@@ -69,7 +70,7 @@ def taxi_reports(
         asked = queries.withColumn("_until", F.lit(None).cast("long"))
     else:
         expiry = F.unix_millis("ts") + _millis(query_ttl)
-        asked = _next_time(queries, expiry, part_rows)
+        asked = next_time(queries, expiry, part_rows)
     active = asked.filter("lon <> 0").select(
         "queryId", F.col("ts").alias("_asked"), "lon", "lat", "_until"
     )
@@ -154,11 +155,18 @@ def ongoing_rides(
 # --- user predicates -----------------------------------------------------------------------------
 
 
-def _holds(predicates: list[str]) -> Column:
-    chosen = F.when(F.lit(False), F.lit(False))
-    for text in predicates:
-        chosen = chosen.when(F.col("predicate") == F.lit(text), F.expr(text))
-    return chosen.otherwise(F.lit(False))
+def decide_candidates(candidates: DataFrame) -> DataFrame:
+    """(kind, at, controlId, rideId, text) of candidates (kind, at, controlId, predicate, ride): questions
+    as they are, and the rides for which the predicate holds. ``watermark`` in a predicate is ``at``."""
+    texts = distinct_predicates(candidates)
+    echo = candidates.filter("kind = 'QUERY'").select(
+        "kind", "at", "controlId", F.lit(None).cast("long").alias("rideId"), F.col("predicate").alias("text")
+    )
+    asked = candidates.filter("kind <> 'QUERY'").select("kind", "at", "controlId", "predicate", "ride.*")
+    scope = predicate_scope(asked, F.unix_millis("at"))
+    check_predicates(scope, texts)
+    found = scope.filter(one_of(texts, F.col("predicate"))).select("kind", "at", "controlId", "rideId", rx.ride_text().alias("text"))
+    return echo.unionByName(found)
 
 
 def taxi_query(
@@ -174,27 +182,9 @@ def taxi_query(
     the control time (PBE) or the row's event time (PE). The distinct predicate texts come to the
     driver, because they become part of the plan.
     """
-    texts = [r[0] for r in controls.select("predicate").distinct().sort("predicate").collect()]
     asked = controls.select("controlId", F.col("ts").alias("controlTime"), "predicate")
-    echo = asked.select(
-        F.lit("QUERY").alias("kind"),
-        F.col("controlTime").alias("at"),
-        "controlId",
-        F.lit(None).cast("long").alias("rideId"),
-        F.col("predicate").alias("text"),
-    )
     timed = with_event_time(rides).select(*RIDE_COLUMNS, "eventTime")
 
-    def matches(pairs: DataFrame, kind: str, at: Column) -> DataFrame:
-        scope = predicate_scope(pairs, F.unix_millis(at))
-        return scope.filter(_holds(texts)).select(
-            F.lit(kind).alias("kind"),
-            at.alias("at"),
-            "controlId",
-            "rideId",
-            rx.ride_text().alias("text"),
-        )
-
     known = interval_point_join(
         ride_validity(timed, part_rows),
         asked,
@@ -202,7 +192,7 @@ def taxi_query(
         F.col("_until"),
         F.unix_millis("controlTime"),
     )
-    in_force = _next_time(controls, F.unix_millis("ts"), part_rows).select(
+    in_force = next_time(controls, F.unix_millis("ts"), part_rows).select(
         "controlId", F.col("ts").alias("controlTime"), "predicate", "_until"
     )
     # A row at exactly the control time is part of what the control already sees.
@@ -214,6 +204,22 @@ def taxi_query(
         F.unix_millis("eventTime"),
         bucket_ms,
     )
+    texts = distinct_predicates(controls)
+    check_predicates(predicate_scope(timed, F.unix_millis("eventTime")), texts)
+    echo = asked.select(
+        F.lit("QUERY").alias("kind"),
+        F.col("controlTime").alias("at"),
+        "controlId",
+        F.lit(None).cast("long").alias("rideId"),
+        F.col("predicate").alias("text"),
+    )
+
+    def matches(pairs: DataFrame, kind: str, at: Column) -> DataFrame:
+        scope = predicate_scope(pairs, F.unix_millis(at))
+        return scope.filter(one_of(texts, F.col("predicate"))).select(
+            F.lit(kind).alias("kind"), at.alias("at"), "controlId", "rideId", rx.ride_text().alias("text")
+        )
+
     return echo.unionByName(matches(known, "PBE", F.col("controlTime"))).unionByName(
         matches(later, "PE", F.col("eventTime"))
     )

@@ -3,17 +3,14 @@ unless the text says otherwise."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamlab.functions import geo
 from streamlab.functions import rides as rx
-from streamlab.functions.sql import register_functions
+from streamlab.operators.predicates import check_predicates, predicate_scope
 from streamlab.plans.hotkeys import PART, PART_ROWS, split_by_position
 from streamlab.plans.scans import Carry, drop_parts, part_window, with_carries
-from streamlab.schemas import RIDE_COLUMNS
 
 
 def with_event_time(rides: DataFrame, delay: str | None = None) -> DataFrame:
@@ -219,37 +216,12 @@ def latest_ride(rides: DataFrame) -> DataFrame:
     return timed.groupBy("taxiId").agg(newest.alias("r")).select("r.*")
 
 
-#: Words that a predicate must not use.
-CHANGING = set(
-    "rand random randn uuid shuffle monotonically_increasing_id spark_partition_id input_file_name current_timestamp "
-    "current_date current_time localtimestamp now select from explode java_method reflect try_reflect raise_error".split()
-)
-
 # --- user predicates -----------------------------------------------------------------------------
 
 
-def predicate_scope(rides: DataFrame, watermark_ms: Column) -> DataFrame:
-    """Rides with the names a predicate may use: the columns, ``ride`` (a struct of them), the
-    distance to a point as ``rideDistance(ride, lon, lat)`` and ``watermark`` (epoch ms)."""
-    register_functions(rides.sparkSession)
-    ride = F.struct(*RIDE_COLUMNS)
-    return rides.withColumn("ride", ride).withColumn("watermark", watermark_ms)
-
-
-def check_predicate(scope: DataFrame, predicate: str) -> None:
-    """Refuse what is not one repeatable condition on a ride: a predicate must be BOOLEAN, and its text
-    must not call functions whose value changes from run to run or holds a query of its own."""
-    used = {w.lower() for w in re.findall(r"[A-Za-z_]\w*", re.sub(r"'(?:[^'\\]|\\.)*'", "", predicate))}
-    if refused := sorted(used & CHANGING):
-        raise ValueError(f"a predicate must not use {', '.join(refused)}: {predicate}")
-    kind = scope.select(F.expr(predicate).alias("_holds")).schema["_holds"].dataType
-    if kind.simpleString() not in ("boolean", "void"):
-        raise ValueError(f"a predicate must be BOOLEAN, not {kind.simpleString()}: {predicate}")
-
-
 def match_predicate(rides: DataFrame, predicate: str) -> DataFrame:
     """Rides for which a SQL predicate holds; ``watermark`` is the row's own event time."""
     timed = with_event_time(rides)
     scope = predicate_scope(timed, F.unix_millis("eventTime"))
-    check_predicate(scope.limit(0), predicate)
+    check_predicates(scope, [predicate])
     return scope.filter(F.expr(predicate)).drop("ride", "watermark")

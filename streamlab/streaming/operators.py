@@ -15,15 +15,23 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from streamlab.functions import geo
 from streamlab.functions.rides import erraticness_label
-from streamlab.operators import travel
-from streamlab.operators.rides import end_rides, with_event_time
+from streamlab.operators import nearest, travel
+from streamlab.operators.rides import with_event_time
+from streamlab.schemas import RIDE_COLUMNS
 from streamlab.streaming import processors
 
 # Processors travel to the executors by value, so that workers need no copy of this package.
 cloudpickle.register_pickle_by_value(processors)
 
-#: Control rows are repeated once per bucket; rides of a taxi live in one bucket.
-BUCKETS = 64
+#: Buckets of nearest-taxi queries. Rides pass every bucket, so there should be no more than the queries need.
+QUERY_BUCKETS = 4
+
+
+def _width(df: DataFrame, buckets: int | None) -> int:
+    """Buckets that keyed state is spread over. Control rows are repeated once per bucket; rows of a taxi
+    live in one. By default as many as the shuffle has partitions; a query that starts again from its
+    checkpoint must be given the number that it began with."""
+    return buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _apply(
@@ -172,10 +180,11 @@ def travel_time_predictions(rides: DataFrame, delay: str = "60 seconds") -> Data
 
 
 def _with_controls(
-    rows: DataFrame, controls: DataFrame, bucket: Column, delay: str, buckets: int
+    rows: DataFrame, controls: DataFrame, bucket: Column, delay: str, buckets: int | None
 ) -> DataFrame:
     """Rows in their bucket and every control row in all buckets, under one watermark: controls can
     move time on but never hold it back."""
+    buckets = _width(rows, buckets)
     placed = rows.withColumn("_bucket", F.pmod(F.xxhash64(bucket), F.lit(buckets)).cast("int"))
     repeated = controls.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     both = placed.unionByName(repeated, allowMissingColumns=True)
@@ -190,7 +199,7 @@ def match_sequence_rules(
     shape: str = "shape",
     order: str = "seq",
     delay: str = "60 seconds",
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Items and rules as streams; a rule (with its own ``ts``) applies to the items after it."""
     rows = items.select(
@@ -213,7 +222,7 @@ def match_sequence_rules(
 
 
 def ongoing_rides(
-    rides: DataFrame, controls: DataFrame, delay: str = "60 seconds", buckets: int = BUCKETS
+    rides: DataFrame, controls: DataFrame, delay: str = "60 seconds", buckets: int | None = None
 ) -> DataFrame:
     timed = with_event_time(rides)
     rows = timed.select(
@@ -237,36 +246,55 @@ def nearest_taxi(
     rides: DataFrame,
     queries: DataFrame,
     query_ttl: str | None = "15 minutes",
-    report_ttl: str = "8 hours",
+    report_ttl: str | None = "8 hours",
     delay: str = "60 seconds",
-    buckets: int = BUCKETS,
+    buckets: int = QUERY_BUCKETS,
 ) -> DataFrame:
-    """New nearest taxis per query. Reports are made per taxi bucket and compared per query."""
-    rows = end_rides(with_event_time(rides)).select(
-        F.col("eventTime").alias("_time"),
-        (F.col("rideId") + 1).alias("tie"),
-        "taxiId",
-        "rideId",
-        F.col("endLon").alias("lon"),
-        F.col("endLat").alias("lat"),
+    """New nearest taxis per query, as ``nearest.nearest_taxi_improvements`` has them.
+
+    Queries are dealt to buckets and keep their best there; rides and the times of all queries pass
+    every bucket. Only improvements come out.
+    """
+    ends = nearest.located_ends(rides).select(
+        F.col("eventTime").alias("_time"), F.col("rideId").alias("tie"), "taxiId", "lon", "lat", "cosLat"
     )
     asked = queries.select(
-        F.col("ts").alias("_time"),
-        F.lit(-(1 << 62)).cast("long").alias("tie"),
-        "queryId",
-        "lon",
-        "lat",
+        F.col("ts").alias("_time"), F.lit(-(1 << 62)).cast("long").alias("tie"), "queryId", "lon", "lat"
     )
-    both = _with_controls(rows, asked, F.col("taxiId"), delay, buckets)
-    ttl = None if query_ttl is None else _micros(query_ttl)
-    c = F.col
-    reports = _apply(both, ["_bucket"], processors.TaxiReports(ttl), "reportTime").select(
-        "queryId",
-        "reportTime",
-        "us",
-        c("rideId").alias("tie"),
-        "taxiId",
-        geo.distance(c("queryLon"), c("queryLat"), c("endLon"), c("endLat")).cast("float").alias("km"),
+    every = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))
+    own = F.pmod(F.xxhash64("queryId"), F.lit(buckets)).cast("int")
+    both = ends.withColumn("_bucket", every).unionByName(
+        asked.withColumn("_bucket", every).withColumn("mine", F.col("_bucket") == own), allowMissingColumns=True
     )
-    best = _apply(reports, ["queryId"], processors.Improvements(_micros(report_ttl)))
+    both = both.withWatermark("_time", delay).withColumn("us", F.unix_micros("_time"))
+    ttls = [None if ttl is None else _micros(ttl) for ttl in (query_ttl, report_ttl)]
+    best = _apply(both, ["_bucket"], processors.NearestTaxi(*ttls, geo.DEGREE_KM))
     return best.select("queryId", "taxiId", "km", _from_us("us").alias("eventTime"))
+
+
+def taxi_query_candidates(
+    rides: DataFrame, controls: DataFrame, delay: str = "60 seconds", buckets: int | None = None
+) -> DataFrame:
+    """(kind, at, controlId, predicate, ride): every question, and the rides that it is put to.
+
+    Rides and questions wait for the watermark, so the order in which they arrive does not matter.
+    ``control.decide_candidates`` says which of them hold.
+    """
+    timed = with_event_time(rides).select(*RIDE_COLUMNS, "eventTime")
+    rows = timed.select(
+        F.col("eventTime").alias("_time"),
+        F.unix_micros("eventTime").alias("atUs"),
+        (~F.col("isStart")).cast("long").alias("tie"),
+        "rideId",
+        F.coalesce(F.col("taxiId").cast("string"), F.lit("")).alias("taxi"),
+        F.to_json(F.struct(*timed.columns), {"timestampFormat": _STAMP}).alias("payload"),
+    )
+    asked = controls.select(
+        F.col("ts").alias("_time"), F.unix_micros("ts").alias("atUs"), F.lit(9).cast("long").alias("tie"), "controlId", "predicate"
+    )
+    both = _with_controls(rows, asked, F.col("taxi"), delay, buckets)
+    # A question sees all rows of its millisecond.
+    asked_us = F.floor(F.col("us") / 1000) * 1000 + 999
+    both = both.withColumn("us", F.when(F.col("controlId").isNotNull(), asked_us).otherwise(F.col("us")))
+    found = _apply(both, ["_bucket"], processors.TaxiQueries())
+    return found.select("kind", _from_us("atUs").alias("at"), "controlId", "predicate", _unpack("payload", timed).alias("ride"))

@@ -10,63 +10,85 @@ seen in event-time order. The results do not depend on arrival order, and equal
 
 from __future__ import annotations
 
+import json
 import math
+from bisect import bisect_right
 from collections.abc import Iterator
-from datetime import datetime, timedelta, timezone
 
+import numpy as np
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
-
-
 class InOrder(StatefulProcessor):
-    """Holds rows back until the watermark reaches them, then passes them on in (us, tie) order."""
+    """Holds rows back until the watermark reaches them, then passes them on in their order.
+
+    Waiting rows are kept in blocks under the time of their first row, so a timer reads the blocks that
+    are due and no others. Only a block that the watermark cuts in two is written again, and it is small.
+    """
 
-    #: DDL of the waiting rows; starts with us and tie.
+    #: DDL of the waiting rows; starts with us.
     fields = "us BIGINT, tie BIGINT, payload STRING"
+    #: Names that rows are sorted by; nulls come first.
+    order = ("us", "tie")
+    #: Rows of a block at most.
+    block_rows = 256
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.names = [part.split()[0] for part in self.fields.split(", ")]
-        self.waiting = handle.getListState("waiting", self.fields)
+        self.blocks = handle.getMapState("blocks", "ms BIGINT, n BIGINT", "rows STRING")
+        self.counts = handle.getMapState("counts", "ms BIGINT", "n BIGINT")
         self.prepare(handle)
 
     def prepare(self, handle: StatefulProcessorHandle) -> None:
         """Create further state."""
 
-    def arrived(self, key: tuple, rows: list[Row]) -> Iterator[Row]:
-        """Rows to emit on arrival."""
-        return iter([])
-
     def released(self, key: tuple, rows: list[Row]) -> Iterator[Row]:
         """Rows to emit for input that is now complete and in order."""
         raise NotImplementedError
 
     def handleInputRows(self, key, rows, timerValues):
-        fresh = [tuple(row[name] for name in self.names) for row in rows]
-        if not fresh:
-            return
-        record = Row(*self.names)
-        yield from self.arrived(key, [record(*values) for values in fresh])
-        self.waiting.appendList(fresh)
-        self.handle.registerTimer(min(values[0] for values in fresh) // 1000)
+        self._wait([tuple(row[name] for name in self.names) for row in rows])
+        return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         watermark = timerValues.getCurrentWatermarkInMs()
-        record = Row(*self.names)
-        ready, later = [], []
-        for values in self.waiting.get():
-            (ready if values[0] // 1000 <= watermark else later).append(tuple(values))
-        if not ready:
+        found = []
+        for ms in self._due(expiredTimerInfo.getExpiryTimeInMs(), watermark):
+            if self.counts.containsKey((ms,)):
+                for n in range(self.counts.getValue((ms,))[0]):
+                    found += json.loads(self.blocks.getValue((ms, n))[0])
+                    self.blocks.removeKey((ms, n))
+                self.counts.removeKey((ms,))
+        if not found:
             return
-        if later:
-            self.waiting.put(later)
-            self.handle.registerTimer(min(values[0] for values in later) // 1000)
-        else:
-            self.waiting.clear()
-        ready.sort(key=lambda values: (values[0], values[1]))
-        yield from self.released(key, [record(*values) for values in ready])
+        places = [self.names.index(name) for name in self.order]
+        found.sort(key=lambda values: [(values[i] is not None, values[i]) for i in places])
+        end = len(found)
+        while end and found[end - 1][0] // 1000 > watermark:
+            end -= 1
+        self._wait(found[end:])
+        record = Row(*self.names)
+        yield from self.released(key, [record(*values) for values in found[:end]])
+
+    def _due(self, fired: int, watermark: int) -> list[int]:
+        """All times of this key that the watermark has passed, so that blocks which overlap are read together."""
+        due = {fired}
+        for ms in self.handle.listTimers():
+            if ms <= watermark:
+                due.add(ms)
+        return sorted(due)
+
+    def _wait(self, rows: list) -> None:
+        rows = sorted(rows, key=lambda values: values[0])
+        for lo in range(0, len(rows), self.block_rows):
+            block = rows[lo : lo + self.block_rows]
+            ms = block[0][0] // 1000
+            n = self.counts.getValue((ms,))[0] if self.counts.containsKey((ms,)) else 0
+            self.blocks.updateValue((ms, n), (json.dumps(block),))
+            self.counts.updateValue((ms,), (n + 1,))
+            if not n:
+                self.handle.registerTimer(ms)
 
 
 class SortedRows(InOrder):
@@ -123,11 +145,11 @@ class DrivingSegments(InOrder):
     def prepare(self, handle):
         self.open = handle.getValueState(
             "open",
-            "stopped BOOLEAN, n BIGINT, startUs BIGINT, top DOUBLE, total DOUBLE, squares DOUBLE",
+            "stopped BOOLEAN, n BIGINT, startUs BIGINT, top DOUBLE, known BIGINT, mean DOUBLE, m2 DOUBLE",
         )
 
     def released(self, key, rows):
-        empty = (0, 0, 0.0, 0.0, 0.0)
+        empty = (0, 0, 0.0, 0, 0.0, 0.0)
         stopped, *run = tuple(self.open.get()) if self.open.exists() else (False, *empty)
         i = 0
         while i < len(rows):
@@ -135,27 +157,30 @@ class DrivingSegments(InOrder):
             while j < len(rows) and rows[j].us == rows[i].us:
                 j += 1
             if any(row.speed == 0 for row in rows[i:j]):
-                n, start, top, total, squares = run
+                n, start, top, known, _, m2 = run
                 if n > 0 and (stopped or not self.require_leading_stop):
-                    spread = max(squares / n - (total / n) ** 2, 0.0)
                     yield Row(
                         carId=key[0], startUs=start, length=n, maxSpeed=int(top),
-                        erraticness=math.sqrt(spread),
+                        erraticness=math.sqrt(m2 / known) if known else None,
                     )
                 stopped, run = True, list(empty)
             else:
                 for row in rows[i:j]:
-                    n, start, top, total, squares = run
-                    run = [
-                        n + 1,
-                        start if n else row.us,
-                        max(top, row.speed) if n else row.speed,
-                        total + row.throttle,
-                        squares + row.throttle * row.throttle,
-                    ]
+                    run = self._add(run, row) if row.speed is not None else run
             i = j
         self.open.update((stopped, *run))
 
+    @staticmethod
+    def _add(run, row):
+        """Totals with one more row; a null throttle counts for nothing (variance by Welford's update)."""
+        n, start, top, known, mean, m2 = run
+        if row.throttle is not None:
+            known += 1
+            step = row.throttle - mean
+            mean += step / known
+            m2 += step * (row.throttle - mean)
+        return [n + 1, start if n else row.us, max(top, row.speed) if n else row.speed, known, mean, m2]
+
 
 class TravelTimes(InOrder):
     """Predictions for START rows from the END rows before them, per direction bucket."""
@@ -184,10 +209,12 @@ class AsOf(InOrder):
     """Left rows with the newest right value at or before their time.
 
     Right rows have tie 0 and a value, left rows tie 1. With ``early`` a left row is also answered
-    on arrival from what is known by then, and answered again only if that was not final.
+    on arrival from what is known by then, and answered again only if that was not final. The first
+    answer waits with its row, so equal rows do not share one. Right rows are kept as versions as long
+    as the watermark has not passed them, and one older.
     """
 
-    fields = "us BIGINT, tie BIGINT, payload STRING, value STRING"
+    fields = "us BIGINT, tie BIGINT, payload STRING, value STRING, answered BOOLEAN"
     output = "payload STRING, value STRING, final BOOLEAN"
 
     def __init__(self, early: bool = False) -> None:
@@ -195,35 +222,37 @@ class AsOf(InOrder):
 
     def prepare(self, handle):
         self.newest = handle.getValueState("newest", "value STRING")
-        self.answers = handle.getMapState("answers", "payload STRING", "value STRING")
+        self.versions = handle.getMapState("versions", "us BIGINT", "value STRING")
 
     def _current(self):
         return self.newest.get()[0] if self.newest.exists() else None
 
-    def arrived(self, key, rows):
-        if not self.early:
-            return
-        known = [(r.us, r.value) for r in rows if r.tie == 0]
-        known += [(v[0], v[3]) for v in self.waiting.get() if v[1] == 0]
-        for row in rows:
-            if row.tie == 1:
-                before = [pair for pair in known if pair[0] <= row.us]
-                value = max(before)[1] if before else self._current()
-                self.answers.updateValue((row.payload,), (value,))
-                yield Row(payload=row.payload, value=value, final=False)
+    def handleInputRows(self, key, rows, timerValues):
+        fresh = [(r.us, r.tie, r.payload, r.value, False) for r in rows]
+        if self.early:
+            for us, tie, _, value, _ in fresh:
+                if tie == 0:
+                    known = self.versions.getValue((us,))[0] if self.versions.containsKey((us,)) else None
+                    self.versions.updateValue((us,), (max(known or "", value or "") or value,))
+            versions = sorted((k[0], v[0]) for k, v in self.versions.iterator())
+            times, oldest = [us for us, _ in versions], self._current()
+            for i, (us, tie, payload, _, _) in enumerate(fresh):
+                if tie == 1:
+                    at = bisect_right(times, us)
+                    value = versions[at - 1][1] if at else oldest
+                    fresh[i] = (us, tie, payload, value, True)
+                    yield Row(payload=payload, value=value, final=False)
+        self._wait(fresh)
 
     def released(self, key, rows):
         value = self._current()
         for row in sorted(rows, key=lambda r: (r.us, r.tie, r.value or "")):
             if row.tie == 0:
                 value = row.value
-                continue
-            if self.early and self.answers.containsKey((row.payload,)):
-                answered = self.answers.getValue((row.payload,))[0]
-                self.answers.removeKey((row.payload,))
-                if answered == value:
-                    continue
-            yield Row(payload=row.payload, value=value, final=True)
+                if self.early and self.versions.containsKey((row.us,)):
+                    self.versions.removeKey((row.us,))
+            elif not (row.answered and row.value == value):
+                yield Row(payload=row.payload, value=value, final=True)
         if value is not None:
             self.newest.update((value,))
 
@@ -346,70 +375,124 @@ class OngoingRides(InOrder):
                     yield Row(controlId=row.controlId, controlUs=row.us, payload=payload)
 
 
-class TaxiReports(InOrder):
-    """Distances of END rides to the active queries of one bucket (``queryId`` not null: a query)."""
+def improvements(us, km, best=None, ttl_us=None):
+    """Places of the rows that become the best, and the best at the end, of rows in time order.
+
+    ``best`` is (km, us) or None; it is forgotten ``ttl_us`` after it was set, and the next row then
+    counts whatever its distance.
+    """
+    places, i = [], 0
+    while i < len(us):
+        if best is not None:
+            end = len(us) if ttl_us is None else max(int(np.searchsorted(us, best[1] + ttl_us, "right")), i)
+            nearer = km[i:end] < best[0]
+            i = i + int(nearer.argmax()) if nearer.any() else end
+            if i >= len(us):
+                break
+        best = (float(km[i]), int(us[i]))
+        places.append(i)
+        i += 1
+    return places, best
+
+
+def flat_km(lon, lat, to_lon, to_lat, to_cos, degree_km):
+    """Distances of one point (single floats) to many, as ``geo.distance`` has them."""
+    dy = (np.float32(lat) - to_lat).astype(np.float64)
+    dx = (np.float32(lon) - to_lon).astype(np.float64) * to_cos
+    return (degree_km * np.sqrt(dy * dy + dx * dx)).astype(np.float32)
+
+
+class NearestTaxi(InOrder):
+    """New nearest taxis of the queries of one bucket. Every ride passes every bucket; what comes out is
+    only the improvements. A query row that is not ``mine`` belongs to another bucket, and still drops
+    queries that have grown old here."""
 
     fields = (
-        "us BIGINT, tie BIGINT, taxiId BIGINT, rideId BIGINT, lon FLOAT, lat FLOAT, queryId BIGINT"
-    )
-    output = (
-        "queryId BIGINT, queryLon FLOAT, queryLat FLOAT, taxiId BIGINT, rideId BIGINT, "
-        "endLon FLOAT, endLat FLOAT, us BIGINT, reportTime TIMESTAMP"
+        "us BIGINT, tie BIGINT, taxiId BIGINT, lon FLOAT, lat FLOAT, cosLat DOUBLE, queryId BIGINT, mine BOOLEAN"
     )
+    output = "queryId BIGINT, taxiId BIGINT, km FLOAT, us BIGINT"
 
-    def __init__(self, query_ttl_us: int | None) -> None:
-        self.query_ttl_us = query_ttl_us
+    def __init__(self, query_ttl_us: int | None, report_ttl_us: int | None, degree_km: float) -> None:
+        self.query_ttl_us, self.report_ttl_us, self.degree_km = query_ttl_us, report_ttl_us, degree_km
 
     def prepare(self, handle):
-        self.queries = handle.getMapState("queries", "queryId BIGINT", "us BIGINT, lon FLOAT, lat FLOAT")
+        self.queries = handle.getMapState(
+            "queries", "queryId BIGINT", "us BIGINT, lon FLOAT, lat FLOAT, km FLOAT, bestUs BIGINT"
+        )
 
     def released(self, key, rows):
         active = {k[0]: tuple(v) for k, v in self.queries.iterator()}
-        for row in rows:
-            if row.queryId is None:
-                for query_id, (_, lon, lat) in active.items():
-                    yield Row(
-                        queryId=query_id, queryLon=lon, queryLat=lat, taxiId=row.taxiId,
-                        rideId=row.rideId, endLon=row.lon, endLat=row.lat, us=row.us,
-                        reportTime=_EPOCH + timedelta(microseconds=row.us),
-                    )
-                continue
-            if self.query_ttl_us is not None:
-                for query_id in [
-                    q for q, v in active.items() if row.us - v[0] > self.query_ttl_us
-                ]:
-                    del active[query_id]
-                    self.queries.removeKey((query_id,))
-            if row.lon != 0:
-                active[row.queryId] = (row.us, row.lon, row.lat)
-                self.queries.updateValue((row.queryId,), active[row.queryId])
-
-
-class Improvements(InOrder):
-    """Reports closer than all earlier ones of their query; the best is forgotten ``ttl_us`` after it
-    was set."""
-
-    fields = "us BIGINT, tie BIGINT, taxiId BIGINT, km FLOAT"
-    output = "queryId BIGINT, taxiId BIGINT, km FLOAT, us BIGINT"
+        before = dict(active)
+        i = 0
+        while i < len(rows):
+            j = i
+            while j < len(rows) and rows[j].queryId is None:
+                j += 1
+            yield from self._rides(active, rows[i:j])
+            if j < len(rows):
+                row = rows[j]
+                if self.query_ttl_us is not None:
+                    active = {q: v for q, v in active.items() if row.us - v[0] <= self.query_ttl_us}
+                if row.mine and row.lon != 0:
+                    active[row.queryId] = (row.us, row.lon, row.lat, None, None)
+            i = j + 1
+        for q in before.keys() - active.keys():
+            self.queries.removeKey((q,))
+        for q, v in active.items():
+            if before.get(q) != v:
+                self.queries.updateValue((q,), v)
+
+    def _rides(self, active, rides):
+        if not rides or not active:
+            return
+        us = np.array([r.us for r in rides], np.int64)
+        lon, lat = (np.array([r[c] for r in rides], np.float32) for c in ("lon", "lat"))
+        cos = np.array([r.cosLat for r in rides], np.float64)
+        for q, (asked, q_lon, q_lat, km, best_us) in active.items():
+            seen = flat_km(q_lon, q_lat, lon, lat, cos, self.degree_km)
+            places, best = improvements(us, seen, None if best_us is None else (km, best_us), self.report_ttl_us)
+            for i in places:
+                yield Row(queryId=q, taxiId=rides[i].taxiId, km=float(seen[i]), us=int(us[i]))
+            if places:
+                active[q] = (asked, q_lon, q_lat, *best)
+
+
+class TaxiQueries(InOrder):
+    """User predicates: which ride may answer which question (``controlId`` not null), for one bucket of taxis.
+
+    A question sees the latest row of every taxi (PBE), and is then put to every later row (PE) until a
+    later question takes its place. Questions of one millisecond are in force together.
+    """
 
-    def __init__(self, ttl_us: int) -> None:
-        self.ttl_us = ttl_us
+    fields = "us BIGINT, atUs BIGINT, tie BIGINT, rideId BIGINT, taxi STRING, payload STRING, controlId BIGINT, predicate STRING"
+    order = ("us", "tie", "rideId", "controlId")
+    output = "kind STRING, atUs BIGINT, controlId BIGINT, predicate STRING, payload STRING"
 
     def prepare(self, handle):
-        self.best = handle.getValueState("best", "km FLOAT, us BIGINT")
+        self.latest = handle.getMapState("latest", "taxi STRING", "payload STRING")
+        self.in_force = handle.getValueState("inForce", "ms BIGINT, asked STRING")
 
     def released(self, key, rows):
-        best = tuple(self.best.get()) if self.best.exists() else None
+        ms, asked = tuple(self.in_force.get()) if self.in_force.exists() else (None, "[]")
+        asked, fresh = json.loads(asked), {}
         for row in rows:
-            if best is None or row.km < best[0] or row.us > best[1] + self.ttl_us:
-                best = (row.km, row.us)
-                yield Row(queryId=key[0], taxiId=row.taxiId, km=row.km, us=row.us)
-        if best is not None:
-            self.best.update(best)
-            self.handle.registerTimer((best[1] + self.ttl_us) // 1000)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
-        if self.best.exists():
-            if (self.best.get()[1] + self.ttl_us) // 1000 < timerValues.getCurrentWatermarkInMs():
-                self.best.clear()
+            if row.controlId is None:
+                fresh[row.taxi] = row.payload
+                for control, predicate in asked:
+                    yield Row(kind="PE", atUs=row.atUs, controlId=control, predicate=predicate, payload=row.payload)
+                continue
+            asked = (asked if ms == row.us // 1000 else []) + [(row.controlId, row.predicate)]
+            ms = row.us // 1000
+            self._store(fresh)
+            if key[0] == 0:
+                yield Row(kind="QUERY", atUs=row.atUs, controlId=row.controlId, predicate=row.predicate, payload=None)
+            for (payload,) in self.latest.values():
+                yield Row(kind="PBE", atUs=row.atUs, controlId=row.controlId, predicate=row.predicate, payload=payload)
+        self._store(fresh)
+        if ms is not None:
+            self.in_force.update((ms, json.dumps(asked)))
+
+    def _store(self, fresh):
+        for taxi, payload in fresh.items():
+            self.latest.updateValue((taxi,), (payload,))
+        fresh.clear()

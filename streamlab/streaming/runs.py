@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from streamlab.operators import control
-from streamlab.operators.rides import latest_ride, with_event_time
 from streamlab.plans.lineage import scratch_path
-from streamlab.schemas import PREDICATE_CONTROL, RIDE
 from streamlab.sources.sinks import batch_writer
+from streamlab.streaming import operators
 
 
 def start_query(
@@ -51,52 +49,24 @@ def run_taxi_query(
     rides: DataFrame,
     controls: DataFrame,
     out: str,
-    state: str,
     checkpoint: str,
+    delay: str = "60 seconds",
+    buckets: int | None = None,
     once: bool = False,
 ) -> StreamingQuery:
-    """User predicates over a ride stream (see ``control.taxi_query``).
+    """User predicates over a ride stream (see ``control.taxi_query``), with the same rows.
 
-    A micro-batch runs the batch form over its rows plus what earlier batches left: the latest ride
-    of each taxi and the control in force, kept as one table per batch under ``state``. Rides and
-    controls should come in event-time order of batches.
+    Rides and questions may come up to ``delay`` late and in any order. Which rows a question is put to
+    is decided in state; the questions themselves are evaluated per micro-batch, whose answers go to a
+    folder of its own under ``out``.
     """
-    spark = rides.sparkSession
-    names = [f.split()[0] for f in RIDE.split(", ")]
-    asked = [f.split()[0] for f in PREDICATE_CONTROL.split(", ")]
-    tagged = rides.select(F.struct(*names).alias("ride")).unionByName(
-        controls.select(F.struct(*asked).alias("control")), allowMissingColumns=True
-    )
+    found = operators.taxi_query_candidates(rides, controls, delay, buckets)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        known_rides = _state(spark, f"{state}/rides", batch_id, RIDE)
-        known_controls = _state(spark, f"{state}/controls", batch_id, PREDICATE_CONTROL)
-        new_rides = batch.filter("ride IS NOT NULL").select("ride.*")
-        new_controls = batch.filter("control IS NOT NULL").select("control.*")
-        every_ride = known_rides.withColumn("_new", F.lit(False)).unionByName(
-            new_rides.withColumn("_new", F.lit(True))
-        )
-        every_control = known_controls.unionByName(new_controls)
-        found = control.taxi_query(every_ride.drop("_new"), every_control)
-        # What earlier batches answered is not answered again.
-        fresh_controls = new_controls.select("controlId").distinct()
-        answers = found.filter("kind <> 'PE'").join(fresh_controls, "controlId", "left_semi")
-        fresh_rides = with_event_time(new_rides).select("rideId", F.col("eventTime").alias("at"))
-        later = found.filter("kind = 'PE'").join(fresh_rides.distinct(), ["rideId", "at"], "left_semi")
-        answers.unionByName(later).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        latest_ride(every_ride.drop("_new")).select(*names).write.mode("overwrite").parquet(
-            f"{state}/rides/{batch_id}"
-        )
-        newest = F.max_by(F.struct(*asked), F.struct("ts", "controlId")).alias("c")
-        every_control.groupBy().agg(newest).filter("c IS NOT NULL").select("c.*").write.mode(
-            "overwrite"
-        ).parquet(f"{state}/controls/{batch_id}")
+        batch.persist()
+        try:
+            control.decide_candidates(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
-    return start_query(tagged, step, checkpoint, once=once)
-
-
-def _state(spark: SparkSession, path: str, batch_id: int, ddl: str) -> DataFrame:
-    """The table that the batch before left; empty for the first batch."""
-    if batch_id == 0:
-        return spark.createDataFrame([], ddl)
-    return spark.read.schema(ddl).parquet(f"{path}/{batch_id - 1}")
+    return start_query(found, step, checkpoint, once=once)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from streamlab.functions import geo, register_functions
 from streamlab.functions import rides as rx
 from streamlab.functions import text as tx
-from streamlab.operators import control, graph, joins, mail, rides, rules, segments, travel
+from streamlab.operators import control, graph, joins, mail, nearest, rides, rules, segments, travel
 from streamlab.sources import etl, readers, sinks
 from streamlab.workloads.registry import query
 from streamlab.workloads.tables import (
@@ -576,7 +576,7 @@ def taxi_reports(t: Tables) -> DataFrame:
     WHERE rn = 1"""
 )
 def nearest_taxi(t: Tables) -> DataFrame:
-    found = control.nearest_taxi(control.taxi_reports(t.rides, t.taxi_queries))
+    found = nearest.nearest_taxi(t.rides, t.taxi_queries)
     return found.withColumn("km", F.round(F.col("km").cast("double"), 4))
 
 
@@ -588,7 +588,7 @@ _IMPROVING = """ SELECT "queryId", "taxiId", round(km::DOUBLE, 4) AS km, "eventT
 
 @query(_REPORTS + _IMPROVING.format("reports"))
 def nearest_taxi_improvements(t: Tables) -> DataFrame:
-    found = control.nearest_taxi_improvements(control.taxi_reports(t.rides, t.taxi_queries))
+    found = nearest.nearest_taxi_improvements(t.rides, t.taxi_queries)
     return found.withColumn("km", F.round(F.col("km").cast("double"), 4))
 
 
@@ -599,8 +599,29 @@ def nearest_taxi_improvements(t: Tables) -> DataFrame:
     + _IMPROVING.format("live")
 )
 def nearest_taxi_expiring(t: Tables) -> DataFrame:
-    reports = control.taxi_reports(t.rides, t.taxi_queries, query_ttl="15 minutes")
-    found = control.nearest_taxi_improvements(reports)
+    found = nearest.nearest_taxi_improvements(t.rides, t.taxi_queries, "15 minutes")
+    return found.withColumn("km", F.round(F.col("km").cast("double"), 4))
+
+
+@query(
+    f"""WITH RECURSIVE {RIDES_SQL}, {QUERIES_SQL},
+    spans AS (SELECT q.*, (SELECT min(c.ts) FROM v_queries c WHERE c.ts > q.ts + INTERVAL 15 MINUTE) AS until FROM v_queries q),
+    reports AS (SELECT q."queryId", r."taxiId", r."eventTime", ({EVENT_DISTANCE.format("q.lon", "q.lat")})::FLOAT AS km,
+      row_number() OVER (PARTITION BY q."queryId" ORDER BY r."eventTime", r."rideId") AS k
+      FROM v_rides r JOIN spans q ON r."eventTime" >= q.ts AND (q.until IS NULL OR r."eventTime" < q.until)
+      WHERE NOT "isStart"),
+    chain AS (
+      SELECT * FROM reports WHERE k = 1
+      UNION ALL
+      SELECT r.* FROM (
+        SELECT c."queryId", min(r.k) AS k FROM chain c JOIN reports r ON r."queryId" = c."queryId" AND r.k > c.k
+          AND (r.km < c.km OR r."eventTime" > c."eventTime" + INTERVAL 8 HOUR)
+        GROUP BY c."queryId") n
+      JOIN reports r ON r."queryId" = n."queryId" AND r.k = n.k)
+    SELECT "queryId", "taxiId", round(km::DOUBLE, 4) AS km, "eventTime" FROM chain"""
+)
+def nearest_taxi_cleanup(t: Tables) -> DataFrame:
+    found = nearest.nearest_taxi_improvements(t.rides, t.taxi_queries, "15 minutes", "8 hours")
     return found.withColumn("km", F.round(F.col("km").cast("double"), 4))
 
 

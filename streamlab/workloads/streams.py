@@ -7,13 +7,13 @@ row in the far future, from a file of its own, lets time pass; its results are f
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlab.operators import joins, rides
 from streamlab.plans.lineage import scratch_path
 from streamlab.streaming import operators as so
-from streamlab.streaming.runs import run_available
+from streamlab.streaming.runs import run_available, run_taxi_query
 from streamlab.workloads import batch, tables
 from streamlab.workloads.registry import oracle_of, query
 from streamlab.workloads.tables import Tables
@@ -190,10 +190,68 @@ def stream_nearest_taxi(t: Tables) -> DataFrame:
     queries = tables.queries_from_nations(_stream(t, "nation"))
     found = run_available(
         so.nearest_taxi(
-            tables.rides_from_events(events), queries, "15 minutes", "3650 days", DELAY, buckets=8
+            tables.rides_from_events(events), queries, "15 minutes", None, DELAY
         ),
         "nearest",
     )
     return found.filter(F.col("taxiId") != FLUSH_USER).select(
         "queryId", "taxiId", F.round(F.col("km").cast("double"), 4).alias("km"), "eventTime"
     )
+
+
+@query(oracle_of("nearest_taxi_cleanup"))
+def stream_nearest_taxi_cleanup(t: Tables) -> DataFrame:
+    events = _events(t, flush_id=FLUSH_ID + 1)
+    queries = tables.queries_from_nations(_stream(t, "nation"))
+    found = run_available(so.nearest_taxi(tables.rides_from_events(events), queries, delay=DELAY), "cleanup")
+    return found.filter(F.col("taxiId") != FLUSH_USER).select(
+        "queryId", "taxiId", F.round(F.col("km").cast("double"), 4).alias("km"), "eventTime"
+    )
+
+
+def _files(t: Tables, label: str, *parts: DataFrame) -> DataFrame:
+    """A stream that reads the parts one after the other, a file at a time."""
+    path = scratch_path(t.spark, label)
+    for part in parts:
+        part.write.mode("append").parquet(path)
+    return t.spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _flush_row(t: Tables, like: DataFrame, **values: Column) -> DataFrame:
+    columns = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in like.schema.fields]
+    return t.spark.range(1).select(*columns)
+
+
+@query(oracle_of("taxi_query"))
+def stream_taxi_query(t: Tables) -> DataFrame:
+    """Rides out of order in four files; the questions come two micro-batches after the first of them."""
+    given = tables.rides_from_events(t["events"].withColumn("ts", F.col("ts").cast("timestamp")))
+    far = F.lit("2100-01-01 00:00:00")
+    last = _flush_row(t, given, isStart=F.lit(True), startTime=far, rideId=F.lit(FLUSH_ID), taxiId=F.lit(FLUSH_USER))
+    shuffled = [given.where(F.pmod(F.xxhash64("rideId", "isStart"), F.lit(4)) == k).coalesce(1) for k in range(4)]
+    controls = tables.predicates_from_regions(t["region"])
+    asked = _files(t, "questions", controls.limit(0).coalesce(1), controls.limit(0).coalesce(1), controls.coalesce(1))
+    out, checkpoint = scratch_path(t.spark, "answers"), scratch_path(t.spark, "answers-checkpoint")
+    run_taxi_query(_files(t, "rides", *shuffled, last), asked, out, checkpoint, "90 days", once=True).awaitTermination()
+    answers = t.spark.read.option("basePath", out).parquet(out)
+    # The flush row alone is newer than any question can be.
+    return answers.filter(F.col("at") < far.cast("timestamp")).select("kind", "at", "controlId", "rideId")
+
+
+@query(oracle_of("asof_join"))
+def stream_asof_join_provisional(t: Tables) -> DataFrame:
+    """Answers on arrival, corrected when the watermark passes; the newest answer of each row."""
+    events = t["events"].withColumn("ts", F.col("ts").cast("timestamp"))
+    buys = events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    signups = events.filter("event_type = 'signup'").select("user_id", "ts", F.col("event_id").alias("signupId"))
+    last = _flush_row(t, buys, event_id=F.lit(FLUSH_ID), user_id=F.lit(FLUSH_USER), ts=F.lit("2100-01-01 00:00:00"))
+    halves = [buys.where(F.col("event_id") % 2 == k).coalesce(1) for k in (0, 1)]
+    # Half of the sign-ups come after the rows that they answer.
+    known = [signups.where(F.pmod(F.xxhash64("signupId"), F.lit(2)) == k).coalesce(1) for k in (0, 1)]
+    joined = so.asof_join(
+        _files(t, "buys", *halves, last), _files(t, "signups", *known), "user_id", "ts", "signupId",
+        emit="provisional+final", delay="90 days",
+    )
+    found = run_available(joined, "asof-early").filter(F.col("event_id") != FLUSH_ID)
+    newest = F.max_by("signupId", F.struct("batch", "final")).cast("long").alias("signupId")
+    return found.groupBy("event_id", "user_id", "ts").agg(newest)

@@ -484,3 +484,88 @@ def test_edges_files(spark, make, tmp_path):
     assert rows(graph.transition_weights(edges)) == [("a", "b", 1.0), ("b", "a", 1.0)]
     sinks.write_ranks(graph.pagerank(edges, iterations=1, init=0.5), str(tmp_path / "ranks"))
     assert spark.read.csv(str(tmp_path / "ranks"), sep="\t").count() == 2
+
+
+# --- nearest taxi without pairs ------------------------------------------------------------------
+
+
+def plain_improvements(ends, asked, query_ttl, report_ttl):
+    """ends: (ms, ride, taxi, km per query); asked: (query, ms); in a loop over everything."""
+    out = []
+    for query, begin in asked:
+        until = min((m for _, m in asked if query_ttl is not None and m > begin + query_ttl), default=None)
+        best = None
+        for ms, _, taxi, km in sorted(ends):
+            if ms < begin or (until is not None and ms >= until):
+                continue
+            if best is None or km[query] < best[0] or (report_ttl is not None and ms > best[1] + report_ttl):
+                best = (km[query], ms)
+                out.append((query, taxi, km[query], ms))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("grid", [0, 1_000])
+def test_nearest_taxi_is_a_loop_over_all(spark, make, monkeypatch, grid):
+    """Against a loop, with ties, hot slices, both expiries, and through the grid and without it."""
+    import random
+
+    from streamlab.operators import nearest
+
+    monkeypatch.setattr(nearest, "LEAST_FOR_GRID", grid)
+    monkeypatch.setattr(nearest, "BLOCK", 3)
+    rng = random.Random(17)
+    places = [(PENN[0] + rng.randrange(9) / 50, PENN[1] + rng.randrange(9) / 50) for _ in range(30)]
+    given = [
+        ride(i, False, at_ms(rng.randrange(40 * 3_600) * 1000), PENN, rng.choice(places), taxi=i % 50) for i in range(400)
+    ]
+    odd = [
+        ride(900, False, at_ms(5_000_000), PENN, (float("nan"), 40.7), taxi=1), ride(901, True, at_ms(5_000_000), PENN, MOMA),
+        (902, False, None, None, None, None, None, 40.7, 1, 1, 1), (903, False, at_ms(0), at_ms(6_000_000), *PENN, -73.9, 40.7, 1, None, 1),
+    ]
+    rides_in = make.rides(*given, *odd)
+    asked = [(q, at_ms(q * 9 * 3_600_000), *places[q]) for q in range(5)]
+    queries = make.frame([*asked, (99, at_ms(3_000), 0.0, 0.0)], schemas.TAXI_QUERY)
+    ticks = [(q, q * 9 * 3_600_000) for q in range(5)]
+    km = {
+        r["rideId"]: r
+        for r in nearest.located_ends(rides_in).select(
+            "rideId", "taxiId", F.unix_millis("eventTime").alias("ms"),
+            *[geo.distance(F.lit(a).cast("float"), F.lit(b).cast("float"), F.col("lon"), F.col("lat")).cast("float").alias(f"q{q}") for q, _, a, b in asked],
+        ).collect()
+    }
+    assert 900 not in km and 903 in km
+    ends = [(r["ms"], i, r["taxiId"], {q: r[f"q{q}"] for q in range(5)}) for i, r in km.items() if r["ms"] is not None]
+    hour = 3_600_000
+    for query_ttl, report_ttl in ((None, None), ("10 hours", None), (None, "3 hours"), ("10 hours", "2 hours")):
+        got = nearest.nearest_taxi_improvements(rides_in, queries, query_ttl, report_ttl, part_rows=40)
+        found = sorted(
+            (r["queryId"], r["taxiId"], r["km"], r["ms"]) for r in got.select("*", F.unix_millis("eventTime").alias("ms")).collect()
+        )
+        ttls = [None if x is None else int(x.split()[0]) * hour for x in (query_ttl, report_ttl)]
+        assert found == plain_improvements(ends, ticks, *ttls)
+    best = {r["queryId"]: (r["taxiId"], r["km"]) for r in nearest.nearest_taxi(rides_in, queries, part_rows=40).collect()}
+    last = {q: (taxi, k) for q, taxi, k, ms in sorted(plain_improvements(ends, ticks, None, None), key=lambda r: (r[0], r[3]))}
+    assert best == last
+    assert nearest.nearest_taxi_improvements(rides_in.limit(0), queries, "1 hour", "1 hour").collect() == []
+    assert nearest.nearest_taxi(rides_in, queries.limit(0)).collect() == []
+
+
+def test_many_predicates_plan_as_one(spark, make):
+    import time
+
+    from streamlab.operators import predicates
+
+    texts = [f"rideId % {i + 2} = 0" for i in range(1_000)]
+    given = make.rides(*[ride(i, True, t(i), taxi=i) for i in range(1, 41)])
+    scope = predicates.predicate_scope(given, F.lit(0)).withColumn("predicate", F.concat(F.lit("rideId % "), F.col("rideId") % 7 + 2, F.lit(" = 0")))
+    begun = time.time()
+    predicates.check_predicates(scope, texts)
+    got = scope.filter(predicates.one_of(texts, F.col("predicate"))).select("rideId").collect()
+    assert time.time() - begun < 60
+    assert sorted(r[0] for r in got) == [i for i in range(1, 41) if i % (i % 7 + 2) == 0]
+    for refused in ("rand() < 0.5", "current_timestamp() > startTime", "rideId IN (SELECT 1)", "max(rideId) > 1", "rideId", "reflect('java.lang.Math', 'random') IS NULL"):
+        with pytest.raises(ValueError, match="predicate must|not a condition"):
+            predicates.check_predicates(scope, [*texts[:3], refused])
+    predicates.check_predicates(scope, ["extract(hour from startTime) = 3", "ride.startTime BETWEEN '2000-01-01' AND '2001-01-01'"])
+    with pytest.raises(ValueError, match="different predicates"):
+        predicates.distinct_predicates(spark.range(5).selectExpr("string(id) predicate"), most=4)

@@ -210,18 +210,33 @@ def test_nearest_taxi(make, stream):
     assert rows(got, "taxiId")[:4] == [(1,), (3,), (5,), (6,)]
 
 
+def taxi_answers(spark, rides_in, controls_in, tmp_path, name, **options):
+    out = str(tmp_path / name)
+    run_taxi_query(rides_in, controls_in, out, f"{out}-checkpoint", once=True, **options).awaitTermination()
+    return spark.read.option("basePath", out).parquet(out)
+
+
 def test_taxi_query(spark, make, stream, tmp_path):
-    asked = [[(1, t(3), "isStart")], [(2, t(16), "NOT ride.isStart")]]
-    query = run_taxi_query(
-        ride_stream(stream), stream(schemas.PREDICATE_CONTROL, *asked), str(tmp_path / "out"),
-        str(tmp_path / "state"), str(tmp_path / "checkpoint"), once=True,
-    )
-    query.awaitTermination()
-    got = spark.read.option("basePath", str(tmp_path / "out")).parquet(str(tmp_path / "out"))
-    echoed = rows(got.filter("kind = 'QUERY'"), "controlId", "text")
-    assert echoed == [(1, "isStart"), (2, "NOT ride.isStart")]
-    later = rows(got.filter("kind = 'PE' AND rideId = 3"), "controlId", "rideId")
-    assert later == [(1, 3), (2, 3)]
+    """Questions that come two batches late, and rides out of order, give the rows of the batch form."""
+    asked = [(1, t(3), "isStart"), (2, t(16), "NOT ride.isStart"), (3, t(16), "taxiId = 1"), (4, t(160), "true")]
+    expected = control.taxi_query(all_rides(make), make.frame(asked, schemas.PREDICATE_CONTROL))
+    cols = ["kind", "at", "controlId", F.coalesce("rideId", F.lit(0)), "text"]
+    for name, batches in {"late": [[], [], asked[2:], asked[:2]], "early": [asked]}.items():
+        got = taxi_answers(
+            spark, ride_stream(stream), stream(schemas.PREDICATE_CONTROL, *batches), tmp_path, name, delay=DELAY, buckets=3
+        )
+        assert rows(got.filter("rideId IS NULL OR rideId > 0"), *cols) == rows(expected, *cols)
+    assert {"PE", "PBE", "QUERY"} == {r["kind"] for r in expected.collect()}
+
+
+def test_taxi_query_cases(spark, make, stream, tmp_path):
+    """A START that is known when the question comes; an END near a place that comes later."""
+    given = [ride(1, True, t(0), PENN, MOMA, 1), ride(1, False, t(5), PENN, MOMA, 1, began=t(0))]
+    near = f"rideDistance(ride, CAST({MOMA[0]} AS FLOAT), CAST({MOMA[1]} AS FLOAT)) < 1.0"
+    got = taxi_answers(
+        spark, stream(schemas.RIDE, given, [FLUSH]), stream(schemas.PREDICATE_CONTROL, [(1, t(1), near)]), tmp_path, "near", delay="1 hour"
+    )
+    assert rows(got.filter("rideId = 1"), "kind", "at") == [("PE", t(5).replace(tzinfo=None))]
 
 
 def test_restart_continues(spark, make, tmp_path):
@@ -284,3 +299,48 @@ def test_sql_on_streams(spark, make, stream):
     readers.register_fares(spark, stream(schemas.FARE, *tips), "StreamFares", "1 hour")
     got = run_available(spark.sql(rides.HOURLY_TIPS_HAVING_SQL.format(fares="StreamFares", over=50)))
     assert rows(got, "driverId", "earned") == [(1, 55.0)]
+
+
+def test_backlog_costs_linear_time(spark, stream):
+    """Rows of one key wait in blocks: a watermark that moves in small steps reads only what is due."""
+    import time
+
+    ddl = "id BIGINT, k STRING, ts TIMESTAMP"
+
+    def seconds(n):
+        given = [(i, "hot", T0 + timedelta(milliseconds=37 * (i * 7919 % n))) for i in range(n)]
+        # After the backlog, every file moves time on by an eighth of it.
+        steps = [[(n + s, "other", T0 + timedelta(hours=1, milliseconds=37 * n * s // 8))] for s in range(1, 9)]
+        frame = stream(ddl, given, *steps, [(-1, "other", FAR)])
+        begun = time.time()
+        got = run_available(so.event_time_sort(frame, "k", "ts", delay="1 hour")).filter("k = 'hot'")
+        checked = got.agg(F.count("*"), F.max("seq"), F.sum((F.unix_millis("ts") - int(T0.timestamp() * 1000)) / 37 - F.col("seq") + 1)).first()
+        assert tuple(checked) == (n, n, 0.0)
+        return time.time() - begun
+
+    small, large = seconds(20_000), seconds(100_000)
+    assert large < 5 * small + 20
+
+
+def test_asof_answers_belong_to_rows(make, stream):
+    """Equal rows do not share a provisional answer, and versions behind the watermark are gone."""
+    ms = lambda n: T0 + timedelta(milliseconds=n)
+    trades = [[(ms(1000), 0, "same"), (ms(1000), 0, "same")], [(ms(2000), 0, "late")], [(FAR, -1, "flush")]]
+    customers = [[(ms(0), 0, "i0")], [(ms(900), 0, "i900"), (ms(1500), 0, "i1500")]]
+    joined = so.asof_join(
+        stream(schemas.TRADE, *trades), stream(schemas.CUSTOMER, *customers), "customerId", "ts", "customerInfo", None,
+        "provisional+final", delay="1 hour",
+    )
+    got = run_available(joined).filter("customerId = 0")
+    assert rows(got.filter("NOT final"), "tradeInfo", "customerInfo") == [("late", "i1500"), ("same", "i0"), ("same", "i0")]
+    assert rows(got.filter("final"), "tradeInfo", "customerInfo") == [("same", "i900"), ("same", "i900")]
+
+
+def test_null_throttle_does_not_end_the_stream(make, stream):
+    car = lambda i, s, v, th: (str(i), "c", T0 + timedelta(seconds=s), 0.0, 0.0, 0.0, v, th, 0.0)
+    events = [car(0, 0, 5.0, None), car(1, 5, 6.0, 1e6), car(2, 6, 6.0, 1e6 + 1), car(3, 7, None, 3.0), car(4, 10, 0.0, None),
+              car(5, 15, 3.0, None), car(6, 20, 0.0, 1.0)]
+    flush = ("x", "flush", FAR, 0.0, 0.0, 0.0, 1.0, 1.0, 0.0)
+    got = run_available(so.driving_segments(stream(schemas.CAR_EVENT, events, [flush]), delay="10 minutes"))
+    cols = ["carId", "startTime", "length", "maxSpeed", F.round("erraticness", 9), "label"]
+    assert rows(got, *cols) == rows(segments.driving_segments(make.frame(events, schemas.CAR_EVENT)), *cols) != []
