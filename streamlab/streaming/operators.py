@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from streamlab.functions import geo
 from streamlab.functions.rides import erraticness_label
-from streamlab.operators import nearest, travel
+from streamlab.operators import nearest, patterns, travel
 from streamlab.operators.rides import with_event_time
 from streamlab.schemas import RIDE_COLUMNS
 from streamlab.streaming import processors
@@ -179,6 +179,29 @@ def travel_time_predictions(rides: DataFrame, delay: str = "60 seconds") -> Data
     return _apply(rows, ["destCell"], processors.TravelTimes())
 
 
+def match_pattern(
+    df: DataFrame,
+    keys: list[str],
+    ts: str,
+    steps: list[patterns.Step],
+    within: str | None = None,
+    tie: Column | None = None,
+    delay: str = "60 seconds",
+) -> DataFrame:
+    """Matches and timeouts as ``patterns.match_pattern`` has them, by the same automaton."""
+    automaton = patterns.compile_steps(steps)
+    fits = patterns.fitting_steps(steps).cast("int")
+    order = F.lit(0) if tie is None else tie
+    rows = _timed(df.withColumn("_fits", fits), ts, delay).select(
+        *keys, "us", order.cast("long").alias("tie"), "payload", F.col("_fits").alias("fits"), "_time"
+    )
+    within_us = None if within is None else patterns.micros(within)
+    found = _apply(rows, keys, processors.Attempts(automaton.table.tolist(), automaton.first, within_us))
+    return found.select(_unpack("payload", df).alias("r"), F.col("kind").alias("outcome"), _from_us("endUs").alias("matchedAt"), "rowsBetween").select(
+        "r.*", "outcome", "matchedAt", "rowsBetween"
+    )
+
+
 def _with_controls(
     rows: DataFrame, controls: DataFrame, bucket: Column, delay: str, buckets: int | None
 ) -> DataFrame:

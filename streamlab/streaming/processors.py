@@ -496,3 +496,69 @@ class TaxiQueries(InOrder):
         for taxi, payload in fresh.items():
             self.latest.updateValue((taxi,), (payload,))
         fresh.clear()
+
+
+class Attempts(InOrder):
+    """Sequence patterns: open attempts by state of the automaton (``table``, see ``operators.patterns``)."""
+
+    fields = "us BIGINT, tie BIGINT, payload STRING, fits INT"
+    output = "payload STRING, kind STRING, endUs BIGINT, rowsBetween BIGINT"
+
+    def __init__(self, table: list[list[int]], first: int, within_us: int | None) -> None:
+        self.table, self.first, self.within_us = table, first, within_us
+
+    def prepare(self, handle):
+        self.open = handle.getValueState("open", "place BIGINT, attempts STRING")
+
+    def _load(self):
+        place, text = tuple(self.open.get()) if self.open.exists() else (0, "{}")
+        return place, {int(state): begun for state, begun in json.loads(text).items()}
+
+    def _keep(self, place, attempts):
+        self.open.update((place, json.dumps(attempts)))
+        if self.within_us is not None and attempts:
+            self.handle.registerTimer((min(b[0][0] for b in attempts.values()) + self.within_us) // 1000 + 1)
+
+    def _over(self, attempts, is_over):
+        """Take out the attempts whose time is over; those of a state stand in the order of their begin."""
+        for state, begun in list(attempts.items()):
+            n = 0
+            while n < len(begun) and is_over(begun[n][0] + self.within_us):
+                yield Row(payload=begun[n][2], kind="timeout", endUs=None, rowsBetween=None)
+                n += 1
+            attempts[state] = begun[n:]
+            if not attempts[state]:
+                del attempts[state]
+
+    def released(self, key, rows):
+        place, attempts = self._load()
+        accept = len(self.table)
+        for row in rows:
+            if self.within_us is not None:
+                yield from self._over(attempts, lambda end, now=row.us: end < now)
+            moved = {}
+            for state, begun in attempts.items():
+                after = self.table[state][row.fits]
+                if after == accept:
+                    for _, at, payload in begun:
+                        yield Row(payload=payload, kind="match", endUs=row.us, rowsBetween=place - at - 1)
+                elif after:
+                    moved[after] = sorted(moved.get(after, []) + begun) if after in moved else begun
+            if row.fits & 1:
+                if self.first == accept:
+                    yield Row(payload=row.payload, kind="match", endUs=row.us, rowsBetween=-1)
+                else:
+                    moved.setdefault(self.first, []).append([row.us, place, row.payload])
+            attempts = moved
+            place += 1
+        self._keep(place, attempts)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+        if self.within_us is not None and self.open.exists():
+            watermark = timerValues.getCurrentWatermarkInMs()
+            place, attempts = self._load()
+            found = list(self._over(attempts, lambda end: end // 1000 < watermark))
+            if found:
+                self._keep(place, attempts)
+                yield from found

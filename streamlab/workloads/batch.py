@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from streamlab.functions import geo, register_functions
 from streamlab.functions import rides as rx
 from streamlab.functions import text as tx
-from streamlab.operators import control, graph, joins, mail, nearest, rides, rules, segments, travel
+from streamlab.operators import control, graph, joins, mail, nearest, patterns, rides, rules, segments, travel
 from streamlab.sources import etl, readers, sinks
 from streamlab.workloads.registry import query
 from streamlab.workloads.tables import (
@@ -554,6 +554,45 @@ def travel_time_predictions(t: Tables) -> DataFrame:
     return travel.travel_time_predictions(t.rides)
 
 
+# --- sequence patterns ---------------------------------------------------------------------------
+
+#: A stop, driving rows, and the stop that ends them.
+DRIVE = [
+    patterns.Step("stop", F.col("speed") == 0),
+    patterns.Step("drive", F.col("speed") != 0, repeated=True),
+    patterns.Step("end", F.col("speed") == 0),
+]
+#: A ride that begins and, as the next thing, ends.
+WHOLE_RIDE = [patterns.Step("start", F.col("isStart")), patterns.Step("end", ~F.col("isStart"))]
+
+
+@query(
+    f"""WITH {CARS_SQL}, n AS (SELECT *, row_number() OVER w AS k, sum((speed = 0)::INT) OVER w AS stops FROM v_car
+      WINDOW w AS (PARTITION BY "carId" ORDER BY ts, id::BIGINT ROWS UNBOUNDED PRECEDING)),
+    stop AS (SELECT *, lead(k) OVER s AS "nextStop", lead(ts) OVER s AS "matchedAt" FROM n WHERE speed = 0
+      WINDOW s AS (PARTITION BY "carId" ORDER BY k))
+    SELECT id, "carId", ts, "matchedAt", ("nextStop" - k - 1)::BIGINT AS "rowsBetween" FROM stop WHERE "nextStop" > k + 1"""
+)
+def pattern_driving_segments(t: Tables) -> DataFrame:
+    found = patterns.match_pattern(t.cars, ["carId"], "ts", DRIVE, ties=[F.col("id").cast("long")])
+    return found.select("id", "carId", "ts", "matchedAt", "rowsBetween")
+
+
+@query(
+    f"""WITH {RIDES_SQL}, n AS (SELECT *, lead("eventTime") OVER w AS nt, lead("isStart") OVER w AS ns FROM v_rides
+      WINDOW w AS (PARTITION BY "rideId" ORDER BY "eventTime", NOT "isStart", "taxiId"))
+    SELECT "rideId", "taxiId", "eventTime",
+      CASE WHEN nt IS NULL OR nt > "eventTime" + INTERVAL 2 HOUR THEN 'timeout' ELSE 'match' END AS outcome
+    FROM n WHERE "isStart" AND (nt IS NULL OR nt > "eventTime" + INTERVAL 2 HOUR OR NOT ns)"""
+)
+def pattern_long_rides(t: Tables) -> DataFrame:
+    timed = rides.with_event_time(t.rides)
+    found = patterns.match_pattern(
+        timed, ["rideId"], "eventTime", WHOLE_RIDE, "120 minutes", [~F.col("isStart"), F.col("taxiId")]
+    )
+    return found.select("rideId", "taxiId", "eventTime", "outcome")
+
+
 # --- questions while rides flow ------------------------------------------------------------------
 
 _REPORTS = f"""WITH {RIDES_SQL}, {QUERIES_SQL},

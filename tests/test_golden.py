@@ -569,3 +569,85 @@ def test_many_predicates_plan_as_one(spark, make):
     predicates.check_predicates(scope, ["extract(hour from startTime) = 3", "ride.startTime BETWEEN '2000-01-01' AND '2001-01-01'"])
     with pytest.raises(ValueError, match="different predicates"):
         predicates.distinct_predicates(spark.range(5).selectExpr("string(id) predicate"), most=4)
+
+
+# --- sequence patterns ---------------------------------------------------------------------------
+
+
+def plain_attempts(rows_in, steps, within):
+    """rows_in: (us, letters) in order; steps: (letter, strict, repeated). Every attempt followed on its own."""
+    out, last = [], len(steps) - 1
+    for i, (begin, letters) in enumerate(rows_in):
+        if steps[0][0] not in letters:
+            continue
+        if last == 0:
+            out.append((i, "match", begin, -1))
+            continue
+        at, end = {0}, None
+        for j in range(i + 1, len(rows_in)):
+            us, fits = rows_in[j]
+            if within is not None and us > begin + within:
+                break
+            after = set()
+            for k in at:
+                letter, strict, _ = steps[k + 1]
+                if steps[k][2] and steps[k][0] in fits:
+                    after.add(k)
+                if letter in fits:
+                    after.add(k + 1)
+                elif not strict:
+                    after.add(k)
+            at = after
+            if last in at or not at:
+                end = j
+                break
+        if end is not None and last in at:
+            out.append((i, "match", rows_in[end][0], end - i - 1))
+        elif end is None and within is not None:
+            out.append((i, "timeout", None, None))
+    return out
+
+
+PATTERNS = {
+    "one": [("a", True, False)],
+    "next": [("a", True, False), ("b", True, False)],
+    "run": [("a", True, False), ("b", True, True), ("a", True, False)],
+    "later": [("a", True, False), ("c", False, False), ("b", False, True), ("a", True, False)],
+    "runs": [("b", True, True), ("a", True, True), ("c", True, False)],
+}
+
+
+@pytest.mark.parametrize("part_rows", [7, 1_000_000])
+def test_patterns_are_attempts_one_by_one(spark, monkeypatch, part_rows):
+    import random
+
+    from streamlab.operators import patterns
+
+    monkeypatch.setattr(patterns, "CHUNK", 5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    rng = random.Random(part_rows)
+    keys = {"hot": 120, None: 40, "x": 9, "y": 1}
+    data = {k: [(rng.randrange(30 * n), "".join(c for c in "abc" if rng.random() < 0.5)) for _ in range(n)] for k, n in keys.items()}
+    listed, number = [], 0
+    for k, events in data.items():
+        for i, (at, letters) in enumerate(sorted(events)):
+            listed.append((k, at_ms(at), i, letters, number))
+            events[i] = (at, letters)
+            number += 1
+        data[k] = sorted(events)
+    frame = spark.createDataFrame([*listed, ("x", None, 0, "a", -1)], "k STRING, at TIMESTAMP, i INT, s STRING, id INT").repartition(3)
+    try:
+        for name, steps in PATTERNS.items():
+            given = [patterns.Step(c, F.col("s").contains(c), strict, more) for c, strict, more in steps]
+            for within in (None, "2 seconds"):
+                got = patterns.match_pattern(frame, ["k"], "at", given, within, [F.col("i")], part_rows)
+                found = sorted((r["k"] or "", r["i"], r["outcome"], r["end"], r["rowsBetween"]) for r in got.withColumn("end", F.unix_millis("matchedAt")).collect())
+                expected = sorted(
+                    (k or "", *x) for k, events in data.items() for x in plain_attempts(events, steps, None if within is None else 2_000)
+                )
+                assert found == expected, (name, within)
+        assert patterns.match_pattern(frame.limit(0), ["k"], "at", given, "2 seconds").collect() == []
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    with pytest.raises(ValueError, match="steps"):
+        patterns.compile_steps([])

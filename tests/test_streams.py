@@ -344,3 +344,29 @@ def test_null_throttle_does_not_end_the_stream(make, stream):
     got = run_available(so.driving_segments(stream(schemas.CAR_EVENT, events, [flush]), delay="10 minutes"))
     cols = ["carId", "startTime", "length", "maxSpeed", F.round("erraticness", 9), "label"]
     assert rows(got, *cols) == rows(segments.driving_segments(make.frame(events, schemas.CAR_EVENT)), *cols) != []
+
+
+def test_patterns(spark, make, stream):
+    """The streaming form against the batch form, with rows out of order and an END that comes late."""
+    from streamlab.operators.patterns import Step, match_pattern
+
+    whole = [Step("start", F.col("isStart")), Step("end", ~F.col("isStart"))]
+    late = [ride(7, True, t(0), taxi=7)], [ride(7, False, t(180), taxi=7, began=t(0)), ride(8, True, t(5), taxi=8)]
+    timed = rides.with_event_time(stream(schemas.RIDE, *RIDES, *late, [FLUSH]))
+    got = run_available(so.match_pattern(timed, ["rideId"], "eventTime", whole, "120 minutes", delay=DELAY))
+    given = rides.with_event_time(make.rides(*[r for batch in (*RIDES, *late) for r in batch]))
+    expected = match_pattern(given, ["rideId"], "eventTime", whole, "120 minutes")
+    cols = ["rideId", "outcome", F.coalesce("rowsBetween", F.lit(-9)), F.coalesce(F.unix_millis("matchedAt"), F.lit(-9))]
+    assert rows(got.filter("rideId > 0"), *cols) == rows(expected, *cols)
+    # An END within the limit, one after it, and none at all.
+    assert {(1, "match"), (7, "timeout"), (8, "timeout")} <= set(rows(got, "rideId", "outcome"))
+    ddl = "k STRING, ts TIMESTAMP, s STRING, i BIGINT"
+    letters = [("k", t(i / 60), c, i) for i, c in enumerate("abbaabcbbba bccaabbbacab" * 3)]
+    steps = [Step("a", F.col("s") == "a"), Step("c", F.col("s") == "c", strict=False), Step("b", F.col("s").isin("b", "a"), repeated=True),
+             Step("e", F.col("s").isin("a", " "))]
+    for within in (None, "6 seconds"):
+        frame = stream(ddl, letters[30:50], letters[:30], letters[50:], [("flush", FAR, "x", -1)])
+        got = run_available(so.match_pattern(frame, ["k"], "ts", steps, within, delay="1 hour"))
+        expected = match_pattern(spark.createDataFrame(letters, ddl), ["k"], "ts", steps, within)
+        cols = ["i", "outcome", F.coalesce("rowsBetween", F.lit(-9)), F.coalesce(F.unix_millis("matchedAt"), F.lit(-9))]
+        assert rows(got, *cols) == rows(expected, *cols) != []
