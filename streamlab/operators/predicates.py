@@ -31,10 +31,16 @@ ALLOWED = set(
 )
 
 
+REGISTERED = "spark.streamlab.functionsRegistered"
+
+
 def predicate_scope(rides: DataFrame, watermark_ms: Column) -> DataFrame:
     """Rides with the names a predicate may use: the columns, ``ride`` (a struct of them), the
     distance to a point as ``rideDistance(ride, lon, lat)`` and ``watermark`` (epoch ms)."""
-    register_functions(rides.sparkSession)
+    spark = rides.sparkSession
+    if spark.conf.get(REGISTERED, "") != "true":  # once per session
+        register_functions(spark)
+        spark.conf.set(REGISTERED, "true")
     ride = F.struct(*RIDE_COLUMNS)
     return rides.withColumn("ride", ride).withColumn("watermark", watermark_ms)
 

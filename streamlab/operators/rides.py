@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from streamlab.functions import geo
 from streamlab.functions import rides as rx
 from streamlab.operators.predicates import check_predicates, predicate_scope
-from streamlab.plans.hotkeys import PART, PART_ROWS, split_by_position
+from streamlab.plans.hotkeys import PART, PART_ROWS, hot_keys, split_by_position, with_hot
 from streamlab.plans.scans import Carry, drop_parts, part_window, with_carries
 
 
@@ -169,15 +169,46 @@ def rolling_count(
     within_ms: int = 600_000,
     slice_ms: int = 3_600_000,
     name: str = "cnt",
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Rows of the same key in the last ``within_ms`` (inclusive, ties counted), for every row.
 
-    Time is cut into slices so that a busy key spreads over tasks. A row near the end of a slice is
-    also sent to the next one as context, and dropped there after counting. Batch only; the
-    streaming form is a stateful processor.
+    Time is cut into slices; a row near the end of a slice is also sent to the next one as context, and
+    dropped there after counting. For a key above ``part_rows`` rows the count is a difference of two
+    running counts: rows up to now, less rows before now - ``within_ms``. Both are looked up in a scan of the
+    key's instants that is split over tasks, so neither a busy hour nor a burst sits in one task.
+    Rows without a time count among themselves. Batch only; the streaming form is a stateful processor.
     """
     if slice_ms < within_ms:
         raise ValueError("slice_ms must not be shorter than within_ms")
+    back = within_ms * 1000
+    hot = hot_keys(df, [key], part_rows)
+    timed = df.withColumn("_us", F.unix_micros(ts))
+    if not hot.take(1):  # the usual case, which needs no second plan
+        return _sliced_count(timed, key, ts, within_ms, slice_ms, name).drop("_us")
+    rows = with_hot(timed, hot, [key])
+    plain = _sliced_count(rows.where("_parts IS NULL"), key, ts, within_ms, slice_ms, name)
+    busy = rows.where("_parts IS NOT NULL")
+    at = F.explode(F.array(F.struct(F.col("_us").alias("at"), F.lit(1).alias("n")), F.struct((F.col("_us") - back).alias("at"), F.lit(0).alias("n"))))
+    instants = busy.select(key, at.alias("i")).groupBy(key, "i.at").agg(F.sum("i.n").alias("_n"))
+    parts = split_by_position(instants, [key], F.col("at"), part_rows)
+    upto = part_window([key], F.col("at")).rowsBetween(Window.unboundedPreceding, 0)
+    local = parts.withColumn("_upto", F.sum("_n").over(upto))
+    scanned = with_carries(local, parts, [key], {"_before": Carry(F.sum("_n"), "sum")})
+    upto_now = F.col("_upto") + F.coalesce("_before", F.lit(0))
+    counts = scanned.select(F.col(key).alias("_of"), F.col("at").alias("_at"), upto_now.alias("_now"), (upto_now - F.col("_n")).alias("_gone"))
+
+    def look_up(found: DataFrame, at: Column, value: str) -> DataFrame:
+        picked = counts.select("_of", "_at", value)
+        same = F.col(key).eqNullSafe(F.col("_of")) & at.eqNullSafe(F.col("_at"))
+        return found.join(picked, same).drop("_of", "_at")
+
+    counted = look_up(look_up(busy, F.col("_us"), "_now"), F.col("_us") - back, "_gone")
+    counted = counted.withColumn(name, F.when(F.col("_us").isNull(), F.col("_now")).otherwise(F.col("_now") - F.col("_gone")))
+    return plain.unionByName(counted.drop("_now", "_gone")).drop("_us", "_parts")
+
+
+def _sliced_count(timed: DataFrame, key: str, ts: str, within_ms: int, slice_ms: int, name: str) -> DataFrame:
     ms = F.unix_millis(ts)
     own = F.floor(ms / slice_ms)
     frame = (
@@ -186,26 +217,25 @@ def rolling_count(
         .rangeBetween(-within_ms * 1000, Window.currentRow)
     )
     return (
-        df.withColumn("_us", F.unix_micros(ts))
-        .withColumn("_own", own)
+        timed.withColumn("_own", own)
         .withColumn(
             PART,
             F.explode(F.array_distinct(F.array(own, F.floor((ms + within_ms + 1) / slice_ms)))),
         )
         .withColumn(name, F.count(F.lit(1)).over(frame))
-        .filter(F.col(PART) == F.col("_own"))
-        .drop("_us", "_own", PART)
+        .filter(F.col(PART).eqNullSafe(F.col("_own")))
+        .drop("_own", PART)
     )
 
 
 def ending_rides_rolling_count(
-    rides: DataFrame, cell: int | None = None, slice_ms: int = 3_600_000
+    rides: DataFrame, cell: int | None = None, slice_ms: int = 3_600_000, part_rows: int = PART_ROWS
 ) -> DataFrame:
     """For each END row, the ENDs in its cell within the last 10 minutes."""
     ends = end_rides(with_event_time(rides)).withColumn("cell", rx.dest_cell())
     if cell is not None:
         ends = ends.filter(F.col("cell") == cell)
-    counted = rolling_count(ends, "cell", "eventTime", slice_ms=slice_ms)
+    counted = rolling_count(ends, "cell", "eventTime", slice_ms=slice_ms, part_rows=part_rows)
     return counted.select(F.col("cell").cast("string").alias("cell"), "eventTime", "cnt")
 
 

@@ -71,7 +71,7 @@ def split_by_position(
     hot = hot_keys(df, keys, part_rows, position)
     # Rows without a position stay in the first part, where their order puts them.
     share = (position - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double")
-    part = F.least(F.floor(share * F.col("_parts")), F.col("_parts") - 1)
+    part = F.when(share.isNotNull(), F.least(F.floor(share * F.col("_parts")), F.col("_parts") - 1))
     return (
         with_hot(df, hot, keys)
         .withColumn(HOT, F.col("_parts").isNotNull())

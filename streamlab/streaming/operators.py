@@ -179,6 +179,22 @@ def travel_time_predictions(rides: DataFrame, delay: str = "60 seconds") -> Data
     return _apply(rows, ["destCell"], processors.TravelTimes())
 
 
+def average_changes(df: DataFrame, key: str, value: Column) -> DataFrame:
+    """(key, change, n, average, version): the average of whole numbers per key as deletes and inserts, once per micro-batch
+    in which it changes. Null values count for nothing, a null key is a key. ``replay`` gives the table."""
+    rows = df.select(F.to_json(F.struct(key)).alias("_key"), value.cast("long").alias("value"))
+    changes = processors.AverageChanges()
+    found = rows.groupBy("_key").transformWithState(changes, changes.output, "append", "None")
+    keyed = F.from_json("key", df.select(key).schema)
+    return found.select(keyed[key].alias(key), "change", "n", "average", "version")
+
+
+def replay(log: DataFrame, keys: list[str]) -> DataFrame:
+    """The table after all changes: each insert that no delete of the same version took back."""
+    count = F.sum(F.when(F.col("change") == "insert", 1).otherwise(-1))
+    return log.groupBy(*keys, "n", "average", "version").agg(count.alias("_left")).where("_left > 0").drop("_left", "version")
+
+
 def match_pattern(
     df: DataFrame,
     keys: list[str],

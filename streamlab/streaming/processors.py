@@ -562,3 +562,24 @@ class Attempts(InOrder):
             if found:
                 self._keep(place, attempts)
                 yield from found
+
+
+class AverageChanges(StatefulProcessor):
+    """A change log of averages: when rows change a key's average, the old row is deleted and the new one
+    inserted. Replaying the log in order gives the current table."""
+
+    output = "key STRING, change STRING, n BIGINT, average DOUBLE, version BIGINT"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.totals = handle.getValueState("totals", "n BIGINT, total BIGINT, version BIGINT")
+
+    def handleInputRows(self, key, rows, timerValues):
+        n, total, version = tuple(self.totals.get()) if self.totals.exists() else (0, 0, 0)
+        fresh = [row.value for row in rows if row.value is not None]
+        if not fresh:
+            return
+        if n:
+            yield Row(key=key[0], change="delete", n=n, average=total / n, version=version)
+        n, total, version = n + len(fresh), total + sum(fresh), version + 1
+        self.totals.update((n, total, version))
+        yield Row(key=key[0], change="insert", n=n, average=total / n, version=version)

@@ -31,7 +31,7 @@ def oracle_of(name: str) -> str | None:
 
 
 def _load() -> None:
-    from streamlab.workloads import batch, streams  # noqa: F401
+    from streamlab.workloads import batch, files, streams  # noqa: F401
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -274,3 +274,13 @@ def stream_pattern_long_rides(t: Tables) -> DataFrame:
         so.match_pattern(timed, ["rideId"], "eventTime", batch.WHOLE_RIDE, "120 minutes", tie, DELAY), "pattern-rides"
     )
     return found.filter(F.col("taxiId") != FLUSH_USER).select("rideId", "taxiId", "eventTime", "outcome")
+
+
+@query(oracle_of("avg_duration_by_passengers"))
+def stream_avg_duration_changes(t: Tables) -> DataFrame:
+    """The change log over four files of rides, replayed."""
+    given = tables.rides_from_events(t["events"].withColumn("ts", F.col("ts").cast("timestamp")))
+    parts = [given.where(F.pmod(F.xxhash64("rideId"), F.lit(4)) == k).coalesce(1) for k in range(4)]
+    ends = rides.end_rides(_files(t, "rides", *parts))
+    log = run_available(so.average_changes(ends, "passengerCnt", F.unix_millis("endTime") - F.unix_millis("startTime")), "changes")
+    return so.replay(log, ["passengerCnt"]).select("passengerCnt", F.round("average", 3).alias("avgDurationMs"))

@@ -193,3 +193,25 @@ def test_numbering(make):
     df = make.frame([(rng.randrange(10), i) for i in range(60)], "b INT, v INT")
     got = rows(number_rows(df, F.col("b"), [F.col("v")], "n"), "n", "b", "v")
     assert [(n, b, v) for n, (b, v) in enumerate(sorted((b, v) for _, b, v in got), 1)] == got
+
+
+def test_rolling_count_of_one_cell_and_one_hour(spark):
+    """All rows in one key and one hour, bursts, nulls: the split scan and the plain window agree with a loop."""
+    import random
+    from datetime import datetime, timedelta, timezone
+
+    rng = random.Random(9)
+    begin = datetime(2020, 1, 1, tzinfo=timezone.utc)
+    times = [rng.randrange(3_600_000) for _ in range(500)] + [1_000_000] * 60 + [1_600_000] * 5 + [400_000] * 3
+    listed = [(i, "hot", begin + timedelta(milliseconds=ms)) for i, ms in enumerate(times)]
+    listed += [(1_000 + i, None, begin + timedelta(milliseconds=ms)) for i, ms in enumerate(times[:90])]
+    listed += [(2_000, "few", begin), (2_001, "few", begin + timedelta(minutes=10)), (2_002, "hot", None), (2_003, "hot", None)]
+    frame = spark.createDataFrame(listed, "id INT, k STRING, at TIMESTAMP").repartition(4)
+    expected = {
+        i: sum(1 for _, k2, at2 in listed if k2 == k and ((at is None and at2 is None) or (at and at2 and timedelta(0) <= at - at2 <= timedelta(minutes=10))))
+        for i, k, at in listed
+    }
+    for part_rows in (20, 1_000_000):
+        got = rides.rolling_count(frame, "k", "at", part_rows=part_rows)
+        assert got.columns == ["id", "k", "at", "cnt"]
+        assert {r["id"]: r["cnt"] for r in got.collect()} == expected

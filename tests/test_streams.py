@@ -370,3 +370,12 @@ def test_patterns(spark, make, stream):
         expected = match_pattern(spark.createDataFrame(letters, ddl), ["k"], "ts", steps, within)
         cols = ["i", "outcome", F.coalesce("rowsBetween", F.lit(-9)), F.coalesce(F.unix_millis("matchedAt"), F.lit(-9))]
         assert rows(got, *cols) == rows(expected, *cols) != []
+
+
+def test_change_log_replays(spark, make, stream):
+    durations = F.unix_millis("endTime") - F.unix_millis("startTime")
+    batches = [[ride(i, False, t(60 + 7 * i), taxi=i) for i in range(k, 20, 4)] for k in range(4)]
+    log = run_available(so.average_changes(stream(schemas.RIDE, *batches, [ride(99, False, None)]), "passengerCnt", durations))
+    assert rows(log, "version", "change") == sorted([(v, "insert") for v in (1, 2, 3, 4)] + [(v, "delete") for v in (1, 2, 3)])
+    expected = rides.avg_duration_by_passengers(make.rides(*[r for b in batches for r in b]))
+    assert rows(so.replay(log, ["passengerCnt"]), "passengerCnt", "average") == rows(expected)
