@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from streamlab.plans.lineage import cut_lineage
 
@@ -108,10 +109,15 @@ def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     v = F.col(vector_col)
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     return df.where(F.col(id_col).isNotNull() & v.isNotNull() & F.coalesce(fine, F.lit(False))).select(
-        F.col(id_col).cast("long").alias("id"), v.cast("array<float>").alias("vector")
+        F.col(id_col).cast("long").alias("id"), v.cast(vector_type(df, vector_col)).alias("vector")
     )
 
 
+def vector_type(df: DataFrame, vector_col: str) -> str:
+    """Single floats stay as they are; other numbers are compared in double precision."""
+    return "array<float>" if isinstance(df.schema[vector_col].dataType.elementType, FloatType) else "array<double>"
+
+
 def neighbours(df: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for rows whose id is divisible by ``every``, the ``k`` nearest found.
 
@@ -120,7 +126,7 @@ def neighbours(df: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_i
     each, the ``k`` + 1 smallest ids stand for all, which is all that any query can want. A repeated id
     with one vector counts once. An empty table has no rows. Other columns are left out.
     """
-    rows = usable(df, id_col, vector_col)
+    rows, kind = usable(df, id_col, vector_col), vector_type(df, vector_col)
     first = rows.agg(F.min_by(F.size("vector"), "id")).first()[0]
     if first is None:
         return rows.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
@@ -139,7 +145,7 @@ def neighbours(df: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_i
                 cells = own.cells(_matrix(batch.column("vector")))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells.astype(np.int32))], ["vector", "ids", "cell"])
 
-    entries = cut_lineage(distinct.mapInArrow(place, "vector array<float>, ids array<long>, cell int"), "entries")
+    entries = cut_lineage(distinct.mapInArrow(place, f"vector {kind}, ids array<long>, cell int"), "entries")
     counts = np.zeros(len(index.left) * len(index.right), np.int64)
     for r in entries.groupBy("cell").count().collect():  # one row per cell
         counts[r["cell"]] = r["count"]
@@ -170,7 +176,7 @@ def neighbours(df: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_i
                 )
 
     slices = max(1, -(-queries.count() // SLICE))
-    sought = queries.select("vector", "query").mapInArrow(walk, "block int, part int, query long, vector array<float>, cells binary")
+    sought = queries.select("vector", "query").mapInArrow(walk, f"block int, part int, query long, vector {kind}, cells binary")
     sought = sought.withColumn("slice", F.pmod(F.xxhash64("query"), F.lit(slices)).cast("int"))
     spread = F.element_at(F.array(*(F.lit(p) for p in parts)), F.col("block") + 1)
     held = entries.withColumn("block", (F.col("cell") % BLOCKS).cast("int")).select(

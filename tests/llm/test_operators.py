@@ -376,6 +376,16 @@ def test_fingerprints_estimate_jaccard(spark):
 # -- neighbours
 
 
+def test_double_vectors_have_double_scores(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(60, 6))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = multi_index.neighbours(df, k=3).collect()
+    assert len(found) == 9
+    for r in found:
+        assert abs(r["score"] - float(x[r["query_id"]] @ x[r["vec_id"]])) < 1e-12
+
+
 def test_neighbours_against_brute_force(spark):
     rng = np.random.default_rng(2)
     x = np.concatenate([rng.normal(size=(700, 16)) + 4 * rng.normal(size=(1, 16)) for _ in range(2)]).astype(np.float32)

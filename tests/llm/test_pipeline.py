@@ -44,3 +44,13 @@ def test_stages(spark, tmp_path):
     assert set(kept[4]) == set(kept[3])
     direct = corpus_pipeline.run(spark, str(tmp_path))
     assert direct.agg({"length": "sum"}).first()[0] == d.agg({"length": "sum"}).first()[0]
+
+
+def test_scores_leave_the_documents_columns_alone(spark, tmp_path):
+    docs, labels = labelled_docs(spark)
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    given = docs.selectExpr("doc_id", "text", "42.0D AS _score", "'x' AS _score_", "1 AS score")
+    for stage in (corpus_pipeline.quality, corpus_pipeline.toxicity):
+        kept = stage(spark, given, str(tmp_path))
+        assert kept.columns == given.columns
+        assert {tuple(r) for r in kept.select("_score", "_score_", "score").distinct().collect()} == {(42.0, "x", 1)}
