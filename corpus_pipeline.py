@@ -24,16 +24,32 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def _free_name(docs: DataFrame) -> str:
+    """A column name that the documents do not have."""
+    name = "_score"
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier passes. Labels of one id in four stay unseen, as in its own query."""
+    """Documents that the quality classifier passes. Labels of one id in four stay unseen, as in its own query.
+
+    A null text is empty and scored as such; rows that repeat an id are scored one by one. All columns stay.
+    """
     model = train_quality(docs, _labels(spark, sf_dir), bucket(4) != 2)
-    return with_quality(docs, model, score_col="_score").where(F.col("_score") >= CUT).select(*docs.columns)
+    score = _free_name(docs)
+    return with_quality(docs, model, score_col=score).where(F.col(score) >= CUT).select(*docs.columns)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not toxic. Labels of one id in three stay unseen, as in its own query."""
+    """Documents that are not toxic. Labels of one id in three stay unseen, as in its own query.
+
+    A null text is empty and not toxic; rows that repeat an id are scored one by one. All columns stay.
+    """
     machine = train_toxicity(docs, _labels(spark, sf_dir), bucket(3) != 1)
-    return with_toxicity(docs, machine, score_col="_score").where(F.col("_score") < CUT).select(*docs.columns)
+    score = _free_name(docs)
+    return with_toxicity(docs, machine, score_col=score).where(F.col(score) < CUT).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +70,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in full sequences."""
+    """Pieces of documents in full sequences. A null text is empty: its piece is the end mark alone."""
     return pack_documents(docs, vocabulary_path())
 
 
