@@ -556,14 +556,15 @@ def travel_time_predictions(t: Tables) -> DataFrame:
 
 # --- sequence patterns ---------------------------------------------------------------------------
 
-#: A stop, driving rows, and the stop that ends them.
-DRIVE = [
-    patterns.Step("stop", F.col("speed") == 0),
-    patterns.Step("drive", F.col("speed") != 0, repeated=True),
-    patterns.Step("end", F.col("speed") == 0),
-]
-#: A ride that begins and, as the next thing, ends.
-WHOLE_RIDE = [patterns.Step("start", F.col("isStart")), patterns.Step("end", ~F.col("isStart"))]
+def drive() -> list[patterns.Step]:
+    """A stop, driving rows, and the stop that ends them."""
+    stops = F.col("speed") == 0
+    return [patterns.Step("stop", stops), patterns.Step("drive", F.col("speed") != 0, repeated=True), patterns.Step("end", stops)]
+
+
+def whole_ride() -> list[patterns.Step]:
+    """A ride that begins and, as the next thing, ends."""
+    return [patterns.Step("start", F.col("isStart")), patterns.Step("end", ~F.col("isStart"))]
 
 
 @query(
@@ -574,7 +575,7 @@ WHOLE_RIDE = [patterns.Step("start", F.col("isStart")), patterns.Step("end", ~F.
     SELECT id, "carId", ts, "matchedAt", ("nextStop" - k - 1)::BIGINT AS "rowsBetween" FROM stop WHERE "nextStop" > k + 1"""
 )
 def pattern_driving_segments(t: Tables) -> DataFrame:
-    found = patterns.match_pattern(t.cars, ["carId"], "ts", DRIVE, ties=[F.col("id").cast("long")])
+    found = patterns.match_pattern(t.cars, ["carId"], "ts", drive(), ties=[F.col("id").cast("long")])
     return found.select("id", "carId", "ts", "matchedAt", "rowsBetween")
 
 
@@ -588,7 +589,7 @@ def pattern_driving_segments(t: Tables) -> DataFrame:
 def pattern_long_rides(t: Tables) -> DataFrame:
     timed = rides.with_event_time(t.rides)
     found = patterns.match_pattern(
-        timed, ["rideId"], "eventTime", WHOLE_RIDE, "120 minutes", [~F.col("isStart"), F.col("taxiId")]
+        timed, ["rideId"], "eventTime", whole_ride(), "120 minutes", [~F.col("isStart"), F.col("taxiId")]
     )
     return found.select("rideId", "taxiId", "eventTime", "outcome")
 

@@ -261,7 +261,7 @@ def stream_asof_join_provisional(t: Tables) -> DataFrame:
 def stream_pattern_driving_segments(t: Tables) -> DataFrame:
     cars = tables.cars_from_events(_events(t))
     found = run_available(
-        so.match_pattern(cars, ["carId"], "ts", batch.DRIVE, tie=F.col("id").cast("long"), delay=DELAY), "pattern"
+        so.match_pattern(cars, ["carId"], "ts", batch.drive(), tie=F.col("id").cast("long"), delay=DELAY), "pattern"
     )
     return found.select("id", "carId", "ts", "matchedAt", "rowsBetween")
 
@@ -271,7 +271,7 @@ def stream_pattern_long_rides(t: Tables) -> DataFrame:
     timed = rides.with_event_time(tables.rides_from_events(_events(t)))
     tie = (~F.col("isStart")).cast("long") * (1 << 32) + F.col("taxiId")
     found = run_available(
-        so.match_pattern(timed, ["rideId"], "eventTime", batch.WHOLE_RIDE, "120 minutes", tie, DELAY), "pattern-rides"
+        so.match_pattern(timed, ["rideId"], "eventTime", batch.whole_ride(), "120 minutes", tie, DELAY), "pattern-rides"
     )
     return found.filter(F.col("taxiId") != FLUSH_USER).select("rideId", "taxiId", "eventTime", "outcome")
 
