@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -172,6 +173,65 @@ def test_main_text(wrap):
     assert html_text.main_text(PAGE % (wrap % body)) == expected
 
 
+ARTICLE = (
+    "<article><h1>T</h1><p>%s</p><section id=discussion><p>%s</p></section><h2 id=related-work>Related work</h2><p>%s</p></article>"
+    % ("word " * 80, "more " * 30, "x y z " * 20)
+)
+
+
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        '<div class="content has-sidebar">%s<div class="sidebar"><p>beside</p></div></div>',
+        '<div class="page with-ads">%s<div class="ad">beside</div></div>',
+        '<main><div class="tags-and-body">%s</div></main>',
+        "<form id=form1>%s</form>",
+        '<div style="display:none">%s</div>',
+        '<div class="sidebar">%s</div>',
+        "%s<section class=comments><article class=comment-body><p>" + "beside " * 400 + "</p></article></section>",
+    ],
+)
+def test_hints_never_take_the_article(wrap):
+    """A wrapper that is named after something else keeps its article; what stands beside it goes."""
+    text = html_text.main_text(f"<body><nav><a href=x>m</a></nav>{wrap % ARTICLE}<footer>beside</footer></body>")
+    assert text.split("\n") == ["T", "word " * 79 + "word", "more " * 29 + "more", "Related work", "x y z " * 19 + "x y z"]
+
+
+def test_all_articles_stay():
+    text = html_text.main_text(f"<body>{ARTICLE}<article><p>short</p></article><aside><article><p>card</p></article></aside></body>")
+    assert text.split("\n")[0] == "T" and text.split("\n")[-1] == "short"
+
+
+def test_density_decides(monkeypatch):
+    """A page of plain elements: the densest subtree, not the one with the most elements."""
+    menu = "".join(f"<li><a href=/{i}>menu item {i}</a></li>" for i in range(30))
+    body = "".join(f"<p>{'text of the article ' * 10}</p>" for _ in range(5))
+    page = f"<body><div><ul>{menu}</ul></div><div><div>{body}</div></div><div><span>small print</span> <a href=x>imprint</a></div></body>"
+    expected = "\n".join([("text of the article " * 10).strip()] * 5)
+    assert html_text.main_text(page) == expected
+    monkeypatch.setattr(html_text, "density", lambda chars, *_: float(chars > 0))
+    assert html_text.main_text(page) != expected
+
+
+def test_densities_by_definition():
+    """Every node's counts against a walk of its subtree, and the density against the published formula."""
+    page = html_text.Page('<body><div><p>one <a href=x><b><i><u><s>two</s></u></i></b></a></p><nav>no</nav></div><p>three<br>four</p></body>')
+    body = page.measure()
+    div, p = next(n for n in page.nodes if n.tag == "div"), next(n for n in page.nodes if n.tag == "p")
+    assert (p.chars, p.tags, p.link_chars, p.link_tags) == (6, 6, 3, 1)
+    assert (div.chars, div.tags) == (6, 7) and (body.chars, body.tags, body.link_chars) == (15, 10, 3)
+    base = np.log(6 / 3 * 3 + 3 / 15 * 6 + np.e)
+    assert p.density == pytest.approx(6 / 6 * np.log(6 / 3 * 6 / 1) / max(np.log(base), 1))
+    assert div.sum == p.density and next(n for n in page.nodes if n.tag == "nav").density == 0
+
+
+@pytest.mark.parametrize("nest", ["<div>", "<b>", "<p><b>x", "<li><ul>"])
+def test_deep_pages_take_linear_time(nest):
+    begin = time.perf_counter()
+    assert html_text.main_text(nest * 100_000 + "deep").endswith("deep")
+    assert time.perf_counter() - begin < 30
+
+
 def test_pages_with_odd_input(spark):
     schema = "page_id long, url string, html string, text string, _html string"
     html = [None, "", "   ", "plain text only", "<p>unclosed", "<<<>>", "<div" * 50, "<p>" * 3000 + "deep", "<script>never closed", "&#x41;&nbsp;&bogus; b"]
