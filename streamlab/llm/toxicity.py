@@ -5,7 +5,11 @@ or four letters of a word in order counts with DECAY to the power of the stretch
 with another ending, with letters put in, or with signs between its letters stays close to the insult.
 Landmarks are words of the labelled sentences. Nystroem features are linear in the kernel, so once the
 machine is trained its weights fold into one table over subsequences, and scoring a word is a sum.
-A sentence is as toxic as its words' margins say; a document as its sentences.
+
+The margin of a sentence is that of its worst word. Labels are known by document only, so the machine is
+trained on sentences as multiple instances: a clean document's sentences must all lie below the margin, of a
+toxic one its worst sentence must lie above. The first machine learns from the words that mark toxic
+documents; later ones from the witnesses that the one before finds. A document is scored by its sentences.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ CACHE_WORDS = 400_000
 #: Letters whose subsequences are held at a time; memory only.
 LETTERS_AT_ONCE = 50_000
 DECAY, STRETCH = 0.7, 6
+#: Of the most telling word's gain, where no word beats chance.
+LEAST_SHARE = 2 / 3
 PENALTY = 3e-5
 BITS = 18
 SIZE = 1 << BITS
@@ -41,7 +47,11 @@ STEMS = (4, 5, 6)
 #: Single letters in a row (i d i o t) are one word.
 SPELLED = re.compile(r"(?<!\S)(?:[^\W\d_]\s){2,}[^\W\d_](?!\S)")
 NOT_LETTER = re.compile(r"[\W\d_]+")
-#: Margins at which a document's words are counted.
+#: A sentence ends with its line or with a word that this finds.
+SENTENCE_END = re.compile(r"[.!?|\u2026\u3002\uff01\uff1f][\"'\u2019\u201d)\]]*$")
+#: Times that witnesses are sought anew; margins at which a toxic document's worst sentence is one, and any other word of it.
+ROUNDS, WITNESS, SURE = 2, 0.3, 0.5
+#: Margins at which a document's sentences are counted.
 LEVELS = np.array([-0.5, 0.0, 0.5, 1.0])
 N_DOC = 2 + 2 * len(LEVELS)
 
@@ -112,7 +122,7 @@ class StringMachine(NamedTuple):
 
 
 class Scorer:
-    """Features of documents from their words' margins; margins of words met before are kept."""
+    """Margins of documents' sentences and features of documents from them; margins of words met before are kept."""
 
     def __init__(self, machine: StringMachine):
         self.machine = machine
@@ -121,32 +131,69 @@ class Scorer:
     def forget(self) -> None:
         self.index = _Words()
         self.margins = np.zeros(0, np.float32)
+        self.ends = np.zeros(0, bool)
 
-    def features(self, texts: list[str]) -> np.ndarray:
+    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Word numbers, the text of each word, the sentence of each word, and the first word of each sentence."""
         if len(self.index) > CACHE_WORDS:
             self.forget()
-        look, found = self.index.__getitem__, []
+        look, found, lines, at = self.index.__getitem__, [], [], 0
         sizes = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
-            words = sentence_words(text)
-            sizes[i] = len(words)
-            found.append(np.fromiter(map(look, words), np.int64, len(words)))
+            for words in sentence_lines(text):
+                lines.append(at)
+                found.append(np.fromiter(map(look, words), np.int64, len(words)))
+                at += len(words)
+                sizes[i] += len(words)
         if self.index.new:
-            new, self.index.new = list(map(letters, self.index.new)), []
-            self.margins = np.concatenate((self.margins, self.machine.margins(new)))
-        margin = self.margins[np.concatenate(found)] if found else self.margins
-        doc = np.repeat(np.arange(len(texts)), sizes)
+            new, self.index.new = self.index.new, []
+            self.margins = np.concatenate((self.margins, self.machine.margins(list(map(letters, new)))))
+            self.ends = np.concatenate((self.ends, np.fromiter((bool(SENTENCE_END.search(w)) for w in new), bool, len(new))))
+        ids = np.concatenate(found) if found else np.zeros(0, np.int64)
+        begins = np.zeros(len(ids), bool)
+        begins[lines] = True
+        begins[1:] |= self.ends[ids[:-1]]
+        return ids, np.repeat(np.arange(len(texts)), sizes), np.cumsum(begins) - 1, np.flatnonzero(begins)
+
+    def features(self, texts: list[str]) -> np.ndarray:
+        ids, doc, _, starts = self.read(texts)
+        sizes = np.bincount(doc, minlength=len(texts))
+        worst = np.maximum.reduceat(self.margins[ids], starts) if len(ids) else np.zeros(0, np.float32)
+        owner = doc[starts]
         out = np.zeros((len(texts), N_DOC))
-        top = np.full(len(texts), -2.0)
-        np.maximum.at(top, doc[margin > -1.5], margin[margin > -1.5])
-        out[:, 0] = np.clip(top, -2, 2)
+        top = np.full(len(texts), -1.0)
+        np.maximum.at(top, owner, worst)
+        out[:, 0] = np.minimum(top, 1.2)
         out[:, 1] = np.log1p(sizes)
         for k, level in enumerate(LEVELS):
-            count = np.bincount(doc[margin > level], minlength=len(texts))
+            count = np.bincount(owner[worst > level], minlength=len(texts))
             out[:, 2 + 2 * k] = np.log1p(count)
             out[:, 3 + 2 * k] = np.log1p(100 * count / np.maximum(sizes, 1))
         return out
 
+    def witnesses(self, texts: list[str], labels: list[int]) -> list[tuple[str, int, float]]:
+        """(word, label, margin), a word once a document.
+
+        Of a clean document the worst word of each sentence; of a toxic one that of its worst sentence and all that are
+        as surely toxic.
+        """
+        ids, doc, sentence, starts = self.read(texts)
+        if not len(ids):
+            return []
+        margin = self.margins[ids]
+        worst = np.maximum.reduceat(margin, starts)
+        hit = np.flatnonzero(margin == worst[sentence])
+        first = hit[np.unique(sentence[hit], return_index=True)[1]]  # of equal words the first
+        top = np.full(len(texts), -np.inf)
+        np.maximum.at(top, doc, margin)
+        toxic = np.array(labels)[doc] == 1
+        leading = np.zeros(len(ids), bool)
+        leading[first] = (~toxic | (worst[sentence] == top[doc]) & (margin > WITNESS))[first]
+        chosen = np.flatnonzero(leading | toxic & (margin > SURE))
+        names = list(self.index)
+        found = {(int(doc[i]), letters(names[ids[i]])): float(margin[i]) for i in chosen}
+        return [(word, labels[d], m) for (d, word), m in found.items() if word]
+
 
 class _Words(dict):
     def __init__(self):
@@ -159,11 +206,11 @@ class _Words(dict):
         return number
 
 
-def sentence_words(text: str) -> list[str]:
-    """White-space delimited words; letters that stand alone in a row are joined."""
+def sentence_lines(text: str) -> list[list[str]]:
+    """White-space delimited words of each line that has any; letters that stand alone in a row are joined."""
     if SPELLED.search(text):
-        text = SPELLED.sub(lambda m: m.group().replace(" ", "").replace("\n", "").replace("\t", ""), text)
-    return text.split()
+        text = SPELLED.sub(lambda m: "".join(m.group().split()), text)
+    return [words for line in text.split("\n") if (words := line.split())]
 
 
 def _fit_words(toxic: list[tuple[str, float]], clean: list[tuple[str, float]], seed: int = 5) -> tuple[np.ndarray, float]:
@@ -235,9 +282,10 @@ def _fit_documents(features: np.ndarray, labels: np.ndarray, prior: float) -> tu
 def train_toxicity(df: DataFrame, labels: DataFrame, keep: Column, per_class: int = SAMPLE_PER_CLASS) -> StringMachine:
     """Fit on labelled documents for whose label rows ``keep`` holds.
 
-    Every sentence of a labelled document carries its label. Spark counts the documents of each class
-    that have a word or stem; those that speak most for the toxic class, weighed by how many documents they
-    mark, train the machine against words of clean sentences.
+    Spark counts the documents of each class that have a word or its stem. Words that the toxic class explains better than
+    chance (by the logarithm of the number of words, or as well as two thirds of the best word) train the first machine against words of clean documents. Then
+    the sentences of all sampled documents are scored, and their witnesses train the next one.
+    Without labels of both classes no text is toxic.
     """
     sample, counts = labelled(df, labels, "toxic", keep, per_class)
     total = sum(counts.values())
@@ -246,13 +294,15 @@ def train_toxicity(df: DataFrame, labels: DataFrame, keep: Column, per_class: in
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, _, _ in text_chunks(batches, "text"):
             for text, label in zip(rows.column("text").to_pylist(), rows.column("label").to_pylist()):
-                words = {letters(w) for w in sentence_words(text or "")} - {""}
+                words = {letters(w) for line in sentence_lines(text or "") for w in line} - {""}
                 own = sorted(words | {w[:k] for w in words for k in STEMS if len(w) > k})
                 if own:
                     yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array([label] * len(own), pa.int32())], ["word", "label"])
 
-    # An exact copy of a document says nothing new.
+    # An exact copy of a document says nothing new. The sample is read several times.
+    sample = cut_lineage(sample, "toxicity-sample")
     once = sample.groupBy(F.xxhash64("text").alias("copy"), "label").agg(F.min("text").alias("text")).select("text", "label")
+    once = cut_lineage(once, "toxicity-texts")
     tally = once.mapInArrow(words_of, "word string, label int").groupBy("word").agg(
         F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("bad"),
         F.sum(F.when(F.col("label") == 0, 1).otherwise(0)).alias("good"),
@@ -260,16 +310,27 @@ def train_toxicity(df: DataFrame, labels: DataFrame, keep: Column, per_class: in
     tally = cut_lineage(tally, "word-tally")
     n = {r["label"]: r["count"] for r in once.groupBy("label").count().collect()}
     bad, good = n.get(1, 0), n.get(0, 0)
+    base, share = (bad + 1) / (bad + good + 2), F.col("bad") / (F.col("bad") + F.col("good"))
+    # Likelihood of the labels of a word's documents, against that of the class's share.
+    rest = F.when(F.col("good") > 0, F.col("good") * F.log((1 - share) / (1 - base))).otherwise(0.0)
+    gain = F.when(share > base, F.col("bad") * F.log(share / base) + rest).otherwise(0.0)
+    marking = tally.withColumn("x", gain)
+    size, most = marking.agg(F.count("*"), F.max("x")).first()
+    # Chance alone reaches the logarithm of the number of words; of few documents no word may say that much.
+    least = min(float(np.log(max(2, size))), LEAST_SHARE * (most or 0.0))
+    marking = marking.where((F.col("x") > 0) & (F.col("x") >= least))
+    toxic = [(r["word"], r["x"]) for r in marking.orderBy(F.desc("x"), "word").limit(WORDS_PER_CLASS).collect()]
     odds = F.log((F.col("bad") + 0.1) / (bad + 1)) - F.log((F.col("good") + 0.1) / (good + 1))
-    least = max(2, round(0.02 * bad))
-    toxic = tally.where((F.col("bad") >= least) & (odds > 2.5)).select("word", (F.col("bad") * odds).alias("x"))
-    toxic = [(r["word"], r["x"]) for r in toxic.orderBy(F.desc("x"), "word").limit(WORDS_PER_CLASS).collect()]
-    clean = tally.where((F.col("good") > 0) & (odds < 0)).select("word", F.log1p("good").alias("x"))
+    clean = tally.where((F.col("good") > 0) & (odds < 1)).select("word", F.log1p("good").alias("x"))
     often = clean.orderBy(F.desc("x"), "word").limit(WORDS_PER_CLASS // 3)
-    other = clean.orderBy(F.xxhash64("word"), "word").limit(WORDS_PER_CLASS)
-    clean = [(r["word"], r["x"]) for r in often.union(other).distinct().orderBy("word").collect()]
-    table, bias = _fit_words(toxic, clean)
-    machine = StringMachine(table, bias, np.zeros(N_DOC), np.zeros(N_DOC), 0.0)
+    other = clean.orderBy(F.xxhash64("word"), "word").limit(2 * WORDS_PER_CLASS // 3)
+    clean = {r["word"]: r["x"] for r in often.union(other).distinct().collect()}
+    machine = StringMachine(*_fit_words(toxic, sorted(clean.items())), np.zeros(N_DOC), np.zeros(N_DOC), 0.0)
+    for _ in range(ROUNDS if toxic else 0):
+        toxic, hard = _witness_words(once, machine)
+        if not toxic:
+            break
+        machine = machine._replace(**dict(zip(("table", "bias"), _fit_words(toxic, sorted((clean | hard).items())))))
     shared = df.sparkSession.sparkContext.broadcast(tuple(machine))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,6 +345,26 @@ def train_toxicity(df: DataFrame, labels: DataFrame, keep: Column, per_class: in
     return machine._replace(**dict(zip(("doc_mean", "doc_weights", "doc_bias"), _fit_documents(x, np.array([r["label"] for r in seen]), prior))))
 
 
+def _witness_words(texts: DataFrame, machine: StringMachine) -> tuple[list[tuple[str, float]], dict[str, float]]:
+    """Words of the toxic witnesses and of the worst clean sentences, at most ``WORDS_PER_CLASS`` each, by documents."""
+    shared = texts.sparkSession.sparkContext.broadcast(tuple(machine))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(StringMachine(*shared.value))
+        for rows, _, _ in text_chunks(batches, "text"):
+            found = scorer.witnesses([t or "" for t in rows.column("text").to_pylist()], rows.column("label").to_pylist())
+            if found:
+                word, label, margin = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(word, pa.string()), pa.array(label, pa.int32()), pa.array(margin, pa.float64())], ["word", "label", "margin"])
+
+    seen = texts.mapInArrow(run, "word string, label int, margin double")
+    seen = seen.groupBy("label", "word").agg(F.count("*").cast("double").alias("n"), F.max("margin").alias("margin"))
+    seen = cut_lineage(seen, "witnesses")
+    toxic = seen.where("label = 1").orderBy(F.desc("n"), "word").limit(WORDS_PER_CLASS).collect()
+    hard = seen.where("label = 0").orderBy(F.desc("margin"), "word").limit(WORDS_PER_CLASS).collect()
+    return [(r["word"], r["n"]) for r in toxic], {r["word"]: r["n"] for r in hard}
+
+
 def with_toxicity(df: DataFrame, machine: StringMachine, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """All columns and rows, and the score of each whole text; a column of that name is replaced.
 

@@ -7,6 +7,7 @@ import random
 import re
 import time
 import zlib
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -525,19 +526,50 @@ def test_toxicity_on_held_out_and_hidden_insults(spark, odd, none):
     assert tuple(nothing) == (0, 400)
 
 
-def test_string_kernel_by_enumeration():
-    """The folded sum equals the kernel that enumerates every reading of both words."""
-    from itertools import combinations
+def phi(w):
+    """Every reading of a word, enumerated."""
+    w, out = f"\x01{w}\x02", {}
+    for k in (3, 4):
+        for at in combinations(range(len(w)), k):
+            if at[-1] - at[0] < toxicity.STRETCH:
+                key = "".join(w[i] for i in at)
+                out[key] = out.get(key, 0) + toxicity.DECAY ** (at[-1] - at[0] + 1)
+    return out
+
 
-    def phi(w):
-        w, out = f"\x01{w}\x02", {}
-        for k in (3, 4):
-            for at in combinations(range(len(w)), k):
-                if at[-1] - at[0] < toxicity.STRETCH:
-                    key = "".join(w[i] for i in at)
-                    out[key] = out.get(key, 0) + toxicity.DECAY ** (at[-1] - at[0] + 1)
-        return out
+def test_machine_is_the_exact_kernel_machine():
+    """With every word a landmark, margins satisfy the optimality conditions of the machine on the plain kernel."""
+    bad, good = ["idiot", "idiots", "moron", "scum"], ["radio", "patriot", "more", "on", "scam", "study", "ideal"]
+    table, bias = toxicity._fit_words([(w, 1.0 + k) for k, w in enumerate(bad)], [(w, 1.0) for w in good])
+    found = toxicity.StringMachine(table, bias, None, None, 0.0).margins(bad + good).astype(float)
+    maps = [phi(w) for w in bad + good]
+    norms = [sum(v * v for v in m.values()) ** 0.5 for m in maps]
+    kernel = np.array([[sum(v * n.get(k, 0) for k, v in m.items()) for n in maps] for m in maps]) / np.outer(norms, norms)
+    sign = np.array([1.0] * len(bad) + [-1.0] * len(good))
+    share = np.concatenate((np.arange(1, 5) / 10, np.full(len(good), 1 / len(good)))) / 2
+    slack = np.maximum(0, 1 - sign * found)
+    assert abs((share * sign * slack).sum()) < 1e-4
+    # Margins stand near 1, so slacks are small differences; the equation is compared before the division by the penalty.
+    target = np.linalg.lstsq(np.hstack([kernel, np.ones((len(sign), 1))]), found, rcond=None)[0]
+    assert np.allclose(kernel @ target[:-1] + target[-1], found, atol=1e-3)
+    assert np.allclose(target[:-1] * toxicity.PENALTY, share * sign * slack, atol=2e-5)
+
+
+def test_sentences_and_their_witnesses():
+    table, bias = toxicity._fit_words([("idiot", 1.0)], [("clean", 1.0), ("words", 1.0), ("here", 1.0)])
+    scorer = toxicity.Scorer(toxicity.StringMachine(table, bias, None, None, 0.0))
+    texts = ["clean words here. you id-iot! clean\nwords here", "", "here words. clean", " \n ", "words " * 3, "i d i o t clean"]
+    _, doc, sentence, starts = scorer.read(texts)
+    assert [int(x) for x in np.bincount(doc[starts], minlength=6)] == [4, 0, 2, 0, 1, 1] and sentence[-1] + 1 == len(starts)
+    found = scorer.witnesses(texts, [1, 1, 0, 0, 1, 0])
+    assert [(w, y) for w, y, m in found if y] == [("idiot", 1)]  # the clean words of a toxic document say nothing
+    assert sorted(w for w, y, m in found if not y) == ["clean", "idiot", "words"]
+    together, alone = scorer.features(texts), [scorer.features([t])[0] for t in texts]
+    assert np.array_equal(together, np.array(alone))
 
+
+def test_string_kernel_by_enumeration():
+    """The folded sum equals the kernel that enumerates every reading of both words."""
     a, b = phi("stupid"), phi("stxupidly")
     expected = sum(v * b.get(k, 0) for k, v in a.items())
     table = np.zeros(toxicity.SIZE, np.float32)
