@@ -558,7 +558,7 @@ def test_machine_is_the_exact_kernel_machine():
 def test_sentences_and_their_witnesses():
     table, bias = toxicity._fit_words([("idiot", 1.0)], [("clean", 1.0), ("words", 1.0), ("here", 1.0)])
     scorer = toxicity.Scorer(toxicity.StringMachine(table, bias, None, None, 0.0))
-    texts = ["clean words here. you id-iot! clean\nwords here", "", "here words. clean", " \n ", "words " * 3, "i d i o t clean"]
+    texts = ["clean words here. you id-iot! clean\nwords here", "", "words words. clean", " \n ", "words " * 3, "i d i o t clean"]
     _, doc, sentence, starts = scorer.read(texts)
     assert [int(x) for x in np.bincount(doc[starts], minlength=6)] == [4, 0, 2, 0, 1, 1] and sentence[-1] + 1 == len(starts)
     found = scorer.witnesses(texts, [1, 1, 0, 0, 1, 0])
