@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from streamlab.operators import graph, mail, rides
 from streamlab.plans.lineage import scratch_path
-from streamlab.sources import readers, sinks
+from streamlab.sources import bulk, readers, sinks
 from streamlab.sources.sinks import batch_writer
 from streamlab.streaming import operators as so
 from streamlab.streaming.runs import run_available, start_query
@@ -50,6 +50,16 @@ def control_files(t: Tables) -> DataFrame:
     return run_available(asked, "controls").select("minutes", "ts")
 
 
+@query(oracle_of("line_protocol"))
+def point_files(t: Tables) -> DataFrame:
+    """Points through the sink that takes bulks."""
+    path = scratch_path(t.spark, "points")
+    bulk.register_bulk_text(t.spark)
+    points = batch.line_protocol(t).select("value")
+    points.write.format("bulk_text").option("bulk", bulk.POINTS_BULK).mode("append").save(path)
+    return t.spark.read.text(path)
+
+
 def _in_order(events: DataFrame, parts: int) -> list[DataFrame]:
     """Consecutive ranges of event time."""
     at = F.unix_micros("ts")
