@@ -325,16 +325,17 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     A byte goes if a string of 100 bytes that covers it also starts earlier: in a document with a smaller id,
     or further up in its own. ``kept`` are the bytes that stay, ``text`` the whole characters among them, ``spans``
-    what was cut. A null text is empty. Rows without an id come after all others. Rows that repeat an id
-    and a text are one document and get the same result; rows with one id and other texts are ordered
-    by a hash of the text.
+    what was cut. A null text is empty. Rows without an id come after all ids below 2^62, in an order given by a
+    hash of their text, and are a document for each text. Rows that repeat an id (or have none) and a text are
+    one document and get the same result; rows with one id and other texts are ordered by a hash of the text.
     """
     total = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     n_buckets = max(LEAST_BUCKETS, -(-total // BUCKET_BYTES))
     text = F.coalesce(F.col(text_col), F.lit(""))
     # Both joins take the same columns, so the texts are shuffled once.
     texts = df.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("id"),
+        # Rows without an id have keys of their own by text: no key gathers the places of all of them.
+        F.coalesce(F.col(id_col).cast("long"), F.lit(1 << 62).bitwiseOR(F.shiftrightunsigned(F.xxhash64(text), 2))).alias("id"),
         F.xxhash64(text).alias("tag"),
         text.alias("text"),
         F.struct(*(F.col(c) for c in df.columns if c != text_col)).alias("other"),

@@ -280,6 +280,21 @@ def test_repeats_equal_brute_force(spark):
         assert got[i]["n_removed"] == len(t.encode()) - len(expected[i]) == sum(s["end"] - s["start"] for s in got[i]["spans"])
 
 
+def test_rows_without_id_are_documents_by_text(spark):
+    """Different texts without an id see each other's passages, in one order; equal ones share a result."""
+    passage = words(40, 77)
+    texts = [f"{words(20, 700 + k)} {passage} {words(20, 800 + k)}" for k in range(40)]
+    df = spark.createDataFrame([(None, t) for t in texts + texts[:3]] + [(9, "x " + passage)], "doc_id long, text string").repartition(4)
+    got = substrings.remove_repeats(df.withColumn("copy", F.col("text"))).collect()
+    kept = {r["other"]["copy"]: bytes(r["kept"]) for r in got}
+    assert len(got) == 44 and all(bytes(r["kept"]) == kept[r["other"]["copy"]] for r in got)
+    assert kept["x " + passage].decode() == "x " + passage
+    # The passage stands in the document with an id; what is before and after it stays.
+    for k, t in enumerate(texts):
+        left = kept[t].decode()
+        assert passage not in left and left.startswith(words(20, 700 + k)) and left.endswith(words(20, 800 + k))
+
+
 def test_repeats_with_odd_input(odd, none):
     rows = texts_by_row(substrings.op4_repeats(odd), "doc_id", "n_bytes", "n_removed")
     assert len(rows) == len(odd_texts())
