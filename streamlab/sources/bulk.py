@@ -56,12 +56,13 @@ class _Bulks:
     def __init__(self, path: str, bulk: int, overwrite: bool):
         self.path, self.bulk, self.overwrite = path, bulk, overwrite
         self.job = uuid.uuid4().hex
+        # Made here and not by tasks: one that is still running when its job is given up finds no folder.
+        files, root = _open(path)
+        files.create_dir(f"{root}/{STAGED}/{self.job}", recursive=True)
 
     def send(self, batches: Iterator[pa.RecordBatch]) -> Sent:
         files, root = _open(self.path)
-        folder = f"{root}/{STAGED}/{self.job}"
-        files.create_dir(folder, recursive=True)
-        name = f"{folder}/{uuid.uuid4().hex}.txt"
+        name = f"{root}/{STAGED}/{self.job}/{uuid.uuid4().hex}.txt"
         rows = bulks = 0
         waiting: list[str] = []
         with files.open_output_stream(name) as out:
@@ -93,7 +94,6 @@ class _Bulks:
         for n, message in enumerate(messages):
             if message is not None and message.rows:
                 files.move(message.staged, f"{folder}/{prefix}{n:05d}.txt")
-        _delete(files, f"{root}/{STAGED}/{self.job}")
 
     def discard(self) -> None:
         files, root = _open(self.path)
@@ -108,6 +108,7 @@ class BulkWriter(_Bulks, DataSourceArrowWriter):
 
     def commit(self, messages):
         self.publish(messages, _open(self.path)[1], f"part-{self.job}-", self.overwrite)
+        self.discard()
 
     def abort(self, messages):
         self.discard()
@@ -120,7 +121,9 @@ class BulkStreamWriter(_Bulks, DataSourceStreamArrowWriter):
         return self.send(iterator)
 
     def commit(self, messages, batchId):
-        self.publish(messages, f"{_open(self.path)[1]}/batch={batchId}", "part-", True)
+        files, root = _open(self.path)
+        self.publish(messages, f"{root}/batch={batchId}", "part-", True)
+        files.delete_dir_contents(f"{root}/{STAGED}/{self.job}")  # the next micro-batch stages there
 
     def abort(self, messages, batchId):
         self.discard()
