@@ -92,6 +92,23 @@ def event_time_sort(
     return found.select(_unpack("payload", df).alias("r"), "seq").select("r.*", "seq")
 
 
+def event_time_sort_with_late(
+    df: DataFrame, key: str, ts: str, tie: Column | None = None, delay: str = "30 seconds"
+) -> DataFrame:
+    """All rows with ``seq``, ``late`` and ``behindMs``: ``event_time_sort``, and the rows that it drops.
+
+    A row is late if its time is not after the watermark of the micro-batches before it; it comes out in the
+    micro-batch in which it arrives, ``behindMs`` behind that watermark, without a place. A row without a time
+    is late and has no ``behindMs``. ``runs.start_with_late`` writes the two kinds to outputs of their own.
+    """
+    order = F.lit(0) if tie is None else tie
+    # Without the watermarked column Spark does not drop late rows, and the time still moves the timers.
+    rows = _timed(df, ts, delay).select(key, "us", order.cast("long").alias("tie"), "payload")
+    found = _apply(rows, [key], processors.SortedRowsAndLate())
+    marks = ["seq", "late", "behindMs"]
+    return found.select(_unpack("payload", df).alias("r"), *marks).select("r.*", *marks)
+
+
 def rolling_count(
     df: DataFrame, key: str, ts: str, within: str = "10 minutes", delay: str = "60 seconds"
 ) -> DataFrame:

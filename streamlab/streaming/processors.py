@@ -107,6 +107,30 @@ class SortedRows(InOrder):
         self.count.update((seq,))
 
 
+class SortedRowsAndLate(SortedRows):
+    """Rows in order as ``SortedRows`` has them; a row at or behind the watermark comes out at once, without a
+    place and with how far behind it is. A row without a time has neither."""
+
+    output = "payload STRING, seq BIGINT, late BOOLEAN, behindMs BIGINT"
+
+    def handleInputRows(self, key, rows, timerValues):
+        # 0 until the first micro-batch is over: nothing is late before.
+        watermark = timerValues.getCurrentWatermarkInMs()
+        waiting = []
+        for row in rows:
+            if row.us is None:
+                yield Row(payload=row.payload, seq=None, late=True, behindMs=None)
+            elif watermark > 0 and row.us <= watermark * 1000:
+                yield Row(payload=row.payload, seq=None, late=True, behindMs=watermark - row.us // 1000)
+            else:
+                waiting.append(tuple(row[name] for name in self.names))
+        self._wait(waiting)
+
+    def released(self, key, rows):
+        for row in super().released(key, rows):
+            yield Row(payload=row.payload, seq=row.seq, late=False, behindMs=None)
+
+
 class RollingCount(InOrder):
     """Every row with the number of rows of its key in the last ``within_us``, ties included."""
 

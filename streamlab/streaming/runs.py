@@ -45,6 +45,24 @@ def run_available(df: DataFrame, label: str = "run", output_mode: str = "append"
     return spark.read.schema(schema).option("basePath", out).parquet(f"{out}/*")
 
 
+def start_with_late(
+    df: DataFrame, out: str, late_out: str, checkpoint: str, once: bool = False, fmt: str = "parquet"
+) -> StreamingQuery:
+    """Start a stream that marks its late rows (column ``late``): they go to ``late_out`` and the others to
+    ``out``, without the mark. Each micro-batch has a folder of its own in both, so a retry replaces it."""
+    write, write_late = batch_writer(out, fmt), batch_writer(late_out, fmt)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            write(batch.where("NOT late").drop("late", "behindMs"), batch_id)
+            write_late(batch.where("late").drop("late", "seq"), batch_id)
+        finally:
+            batch.unpersist()
+
+    return start_query(df, step, checkpoint, once=once)
+
+
 def run_taxi_query(
     rides: DataFrame,
     controls: DataFrame,

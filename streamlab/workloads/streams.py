@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from streamlab.operators import joins, rides
 from streamlab.plans.lineage import scratch_path
 from streamlab.streaming import operators as so
-from streamlab.streaming.runs import run_available, run_taxi_query
+from streamlab.streaming.runs import run_available, run_taxi_query, start_with_late
 from streamlab.workloads import batch, tables
 from streamlab.workloads.registry import oracle_of, query
 from streamlab.workloads.tables import Tables
@@ -284,3 +284,39 @@ def stream_avg_duration_changes(t: Tables) -> DataFrame:
     ends = rides.end_rides(_files(t, "rides", *parts))
     log = run_available(so.average_changes(ends, "passengerCnt", F.unix_millis("endTime") - F.unix_millis("startTime")), "changes")
     return so.replay(log, ["passengerCnt"]).select("passengerCnt", F.round("average", 3).alias("avgDurationMs"))
+
+
+#: Cars arrive in this many parts of as many days; every tenth row comes one part later than its time.
+ARRIVALS, ARRIVAL_DAYS, LATE_DELAY_HOURS = 4, 8, 60
+
+
+@query(
+    f"""WITH {tables.CARS_SQL},
+    p AS (SELECT *, coalesce(greatest(least(date_diff('day', DATE '{tables.BASE[:10]}', ts::DATE) // {ARRIVAL_DAYS}, {ARRIVALS - 1}), 0)
+            + (id::BIGINT % 10 = 0)::INT, 0) AS part FROM v_car),
+    w AS (SELECT a.part, max(b.ts) - INTERVAL {LATE_DELAY_HOURS} HOUR AS mark
+          FROM (SELECT DISTINCT part FROM p) a LEFT JOIN p b ON b.part < a.part GROUP BY 1),
+    m AS (SELECT p.*, ts IS NULL OR coalesce(epoch_us(ts) <= epoch_us(mark) // 1000 * 1000, false) AS late, epoch_us(mark) // 1000 AS mark
+          FROM p JOIN w USING (part))
+    SELECT id, "carId", ts, late, CASE WHEN late THEN mark - epoch_us(ts) // 1000 END AS "behindMs",
+      CASE WHEN NOT late THEN row_number() OVER (PARTITION BY "carId", late ORDER BY ts, id::BIGINT) END AS seq FROM m"""
+)
+def stream_late_rows(t: Tables) -> DataFrame:
+    """Sorted rows and late rows. The stream is stopped and started again for each part that arrives."""
+    cars = tables.cars_from_events(t["events"].withColumn("ts", F.col("ts").cast("timestamp")))
+    days = F.floor(F.date_diff("ts", F.lit(tables.BASE[:10])) / ARRIVAL_DAYS)
+    stray = (F.col("id").cast("long") % 10 == 0).cast("int")
+    part = F.coalesce(F.greatest(F.least(days, F.lit(ARRIVALS - 1)), F.lit(0)) + stray, F.lit(0))
+    far = F.lit("2100-01-01 00:00:00")
+    last = _flush_row(t, cars, id=F.lit(FLUSH_ID), carId=F.lit(FLUSH_USER), ts=far)
+    places = [scratch_path(t.spark, label) for label in ("cars", "sorted", "late", "late-checkpoint")]
+    given, out, late_out, checkpoint = places
+    for rows in [*(cars.where(part == k) for k in range(ARRIVALS + 1)), last]:
+        rows.write.mode("append").parquet(given)
+        arriving = t.spark.readStream.schema(cars.schema).parquet(given)
+        found = so.event_time_sort_with_late(arriving, "carId", "ts", F.col("id").cast("long"), f"{LATE_DELAY_HOURS} hours")
+        start_with_late(found, out, late_out, checkpoint, once=True).awaitTermination()
+    marked = t.spark.read.option("basePath", out).parquet(out).withColumns({"late": F.lit(False), "behindMs": F.lit(None).cast("long")})
+    late = t.spark.read.option("basePath", late_out).parquet(late_out).withColumns({"late": F.lit(True), "seq": F.lit(None).cast("long")})
+    both = marked.unionByName(late).filter(F.col("ts") < far.cast("timestamp"))
+    return both.select("id", "carId", "ts", "late", "behindMs", "seq")

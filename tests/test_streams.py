@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from streamlab import schemas
 from streamlab.operators import control, joins, rides, rules, segments, travel
 from streamlab.streaming import operators as so
-from streamlab.streaming.runs import run_available, run_taxi_query
+from streamlab.streaming.runs import run_available, run_taxi_query, start_with_late
 
 FAR = datetime(2100, 1, 1, tzinfo=timezone.utc)
 FLUSH = ride(-1, True, FAR, taxi=-1)
@@ -379,3 +379,33 @@ def test_change_log_replays(spark, make, stream):
     assert rows(log, "version", "change") == sorted([(v, "insert") for v in (1, 2, 3, 4)] + [(v, "delete") for v in (1, 2, 3)])
     expected = rides.avg_duration_by_passengers(make.rides(*[r for b in batches for r in b]))
     assert rows(so.replay(log, ["passengerCnt"]), "passengerCnt", "average") == rows(expected)
+
+
+def test_late_rows_come_out_on_their_own(spark, stream, tmp_path):
+    """Rows at or behind the watermark, rows of a car never seen and rows without a time; nothing is lost."""
+    cars = stream(
+        "car STRING, ts TIMESTAMP, n INT",
+        [("a", t(0), 1), ("a", t(30), 2), ("b", t(31), 3)],
+        # The watermark is at 21 minutes: 20 and 21 are late, 22 is not, and a car may begin late.
+        [("a", t(20), 4), ("a", t(21), 5), ("a", t(22), 6), ("c", t(5), 7), ("c", None, 8)],
+        [("a", t(29), 9), ("b", t(50), 10)],
+        [("b", FAR, 99)],
+    )
+    found = so.event_time_sort_with_late(cars, "car", "ts", F.col("n"), "10 minutes")
+    out, late_out, checkpoint = (str(tmp_path / name) for name in ("out", "late", "checkpoint"))
+    start_with_late(found, out, late_out, checkpoint, once=True).awaitTermination()
+    late = spark.read.parquet(f"{late_out}/*")
+    assert {(r["n"], r["behindMs"]) for r in late.collect()} == {(4, 60_000), (5, 0), (7, 960_000), (8, None)}
+    on_time = spark.read.parquet(f"{out}/*")
+    assert on_time.columns == ["car", "ts", "n", "seq"]
+    assert {(r["n"], r["seq"]) for r in on_time.collect() if r["n"] != 99} == {(1, 1), (6, 2), (9, 3), (2, 4), (3, 1), (10, 2)}
+
+
+def test_no_late_rows_is_the_plain_sort(make, stream):
+    timed = rides.with_event_time(ride_stream(stream))
+    tie = (~F.col("isStart")).cast("int")
+    got = run_available(so.event_time_sort_with_late(timed, "taxiId", "eventTime", tie, DELAY))
+    plain = run_available(so.event_time_sort(rides.with_event_time(ride_stream(stream)), "taxiId", "eventTime", tie, DELAY))
+    cols = ["taxiId", "eventTime", "isStart", "seq"]
+    assert rows(got.where("NOT late"), *cols) == rows(plain, *cols)
+    assert got.where("late").isEmpty()
