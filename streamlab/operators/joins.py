@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamlab.operators.rides import end_rides, start_rides, with_event_time
-from streamlab.plans.hotkeys import PART_ROWS, salted_join, split_by_position
+from streamlab.plans.hotkeys import PART_ROWS, hot_keys_by_sketch, salted_join, split_by_position
 from streamlab.plans.scans import Carry, drop_parts, part_window, with_carries
 
 
@@ -170,7 +170,9 @@ def unmatched_within(
     """
     span = F.expr(f"INTERVAL {within}")
     first_end = ends.groupBy(key).agg(F.min(end_ts).alias("_end"))
-    joined = salted_join(starts, first_end, [key], [start_ts], "left", part_rows)
+    # Keys are ids that mostly occur once: counting them all would shuffle them all.
+    hot = hot_keys_by_sketch(starts, [key], part_rows)
+    joined = salted_join(starts, first_end, [key], [start_ts], "left", part_rows, hot=hot)
     open_rows = joined.filter(
         F.col("_end").isNull() | (F.col("_end") > F.col(start_ts) + span)
     ).drop("_end")

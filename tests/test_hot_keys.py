@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from streamlab import schemas
 from streamlab.functions import rides as rx
 from streamlab.operators import control, joins, rides, rules, segments, travel
-from streamlab.plans.hotkeys import hot_keys, salted_join
+from streamlab.plans.hotkeys import hot_keys, hot_keys_by_sketch, salted_join
 from streamlab.plans.intervals import interval_point_join
 from streamlab.plans.numbering import number_rows
 
@@ -215,3 +215,28 @@ def test_rolling_count_of_one_cell_and_one_hour(spark):
         got = rides.rolling_count(frame, "k", "at", part_rows=part_rows)
         assert got.columns == ["id", "k", "at", "cnt"]
         assert {r["id"]: r["cnt"] for r in got.collect()} == expected
+
+
+def test_sketch_finds_the_hot_keys(spark):
+    """More different keys than all sketches follow, keys of two columns and null keys: the list of the full count."""
+    n = 600_000
+    i = F.col("id")
+    key = F.when(i % 3 == 0, 7).when(i % 50 == 1, None).when(i % 200 == 5, -1).otherwise(i)
+    df = spark.range(n).select(key.alias("k"), F.when(i % 3 == 0, "x").alias("s"))
+    for keys in (["k"], ["k", "s"]):
+        expected = {tuple(r) for r in hot_keys(df, keys, 1500).collect()}
+        assert {tuple(r) for r in hot_keys_by_sketch(df, keys, 1500).collect()} == expected
+        assert len(expected) >= 3
+    assert hot_keys_by_sketch(df.limit(0), ["k"], 1500).isEmpty()
+
+
+def test_timeout_of_a_hot_key(spark):
+    """Repeated starts of one id are split by the sketch's list and keep their rows."""
+    starts = spark.range(5000).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("k"), F.timestamp_seconds("id").alias("at"))
+    ends = spark.sql("SELECT 1L AS k, timestamp_seconds(2000) AS done UNION ALL SELECT 4001L, timestamp_seconds(5000)")
+    whole = joins.unmatched_within(starts, ends, "k", "at", "done", "20 minutes")
+    split = joins.unmatched_within(starts, ends, "k", "at", "done", "20 minutes", part_rows=100)
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, whole.collect()))
+    # Of id 1 (the even rows and row 1) the starts more than 20 minutes before its end are open, and none after them.
+    assert whole.where("k = 1").count() == 401
+    assert whole.where("k <> 1").count() == 2499 - 1
