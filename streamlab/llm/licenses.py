@@ -27,7 +27,45 @@ PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: Templates of notices and license texts and their labels.
+#: Wordings that several templates share.
+_AS_IS = (
+    "this software is provided by {{12}} as is and any express or implied warranties including but not limited to the implied "
+    "warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall {{12}} be liable for "
+    "any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of "
+    "substitute goods or services loss of use data or profits or business interruption however caused and on any theory of "
+    "liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the "
+    "use of this software even if advised of the possibility of such damage"
+)
+_REDISTRIBUTION = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
+    "conditions are met [[1]] redistributions of source code must retain the above copyright notice this list of conditions and "
+    "the following disclaimer [[2]] redistributions in binary form must reproduce the above copyright notice this list of "
+    "conditions and the following disclaimer in the documentation and or other materials provided with the distribution "
+)
+_GRANT = (
+    "[[copyright {{16}}]] permission is hereby granted free of charge to any person obtaining a copy of this software and "
+    "associated documentation files the software to deal in the software without restriction including without limitation the "
+    "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to "
+    "whom the software is furnished to do so "
+)
+_NO_LIABILITY = (
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties "
+    "of merchantability fitness for a particular purpose and noninfringement in no event shall the {{6}} be liable for any claim "
+    "damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the "
+    "software or the use or other dealings in the software"
+)
+_FEE_OR_NOT = "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+_AUTHOR_DISCLAIMS = (
+    "the software is provided as is and {{12}} disclaims all warranties with regard to this software including all implied "
+    "warranties of merchantability and fitness in no event shall {{12}} be liable for any special direct indirect or consequential "
+    "damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or "
+    "other tortious action arising out of or in connection with the use or performance of this software"
+)
+_HOPE = (
+    "{{4}} is distributed in the hope that it will be useful but without any warranty without even the implied warranty of "
+    "merchantability or fitness for a particular purpose see the gnu "
+)
+#: Templates of whole licenses, of notices and of names, and their labels. Fixed values of public wordings.
 TEMPLATES = {
     "apache-2.0": [
         "licensed under the apache license [[, ]]version 2.0",
@@ -35,59 +73,102 @@ TEMPLATES = {
         "licensed under the apache license version 2.0 the license you may not use this file except in "
         "compliance with the license [[you may obtain a copy of the license at {{12}}]] unless required by "
         "applicable law or agreed to in writing software distributed under the license is distributed on an "
-        "as is basis without warranties or conditions of any kind either express or implied",
+        "as is basis without warranties or conditions of any kind either express or implied [[see the license for the "
+        "specific language governing permissions and limitations under the license]]",
     ],
     "mit": [
         "released under the [[terms of the]] mit license",
         "licensed under the [[terms of the]] mit license",
-        "[[the mit license]] [[copyright {{16}}]] permission is hereby granted free of charge to any person "
-        "obtaining a copy of this software and associated documentation files the software to deal in the "
-        "software without restriction including without limitation the rights to use copy modify merge publish "
-        "distribute sublicense and or sell copies of the software and to permit persons to whom the software is "
-        "furnished to do so subject to the following conditions the above copyright notice and this permission "
-        "notice shall be included in all copies or substantial portions of the software the software is provided "
-        "as is without warranty of any kind",
+        "[[the mit license]] [[mit]] " + _GRANT + "subject to the following conditions the above copyright notice and this "
+        "permission notice [[including the next paragraph]] shall be included in all copies or substantial portions of the software "
+        + _NO_LIABILITY,
     ],
+    "mit-0": ["[[mit no attribution]] " + _GRANT + _NO_LIABILITY],
     "gpl-2.0-or-later": [
         "gnu general public license as published by the free software foundation either version 2 of the license "
-        "or [[at your option]] any later version",
+        "or [[at your option]] any later version [[" + _HOPE + "general public license for more details]]",
         "gnu general public license [[, ]]version 2 or [[any]] later",
     ],
     "gpl-3.0-or-later": [
         "gnu general public license as published by the free software foundation either version 3 of the license "
-        "or [[at your option]] any later version",
+        "or [[at your option]] any later version [[" + _HOPE + "general public license for more details]]",
         "gnu general public license [[, ]]version 3 or [[any]] later",
     ],
     "gpl-3.0": ["gnu general public license [[, ]]version 3", "gnu general public license v3"],
     "gpl-2.0": ["gnu general public license [[, ]]version 2", "gnu general public license v2"],
     "lgpl": ["gnu lesser general public license", "gnu library general public license"],
+    "lgpl-2.1-or-later": [
+        "gnu lesser general public license as published by the free software foundation either version 2.1 of the license or "
+        "[[at your option]] any later version [[" + _HOPE + "lesser general public license for more details]]",
+    ],
+    "lgpl-3.0-or-later": [
+        "gnu lesser general public license as published by the free software foundation either version 3 of the license or "
+        "[[at your option]] any later version [[" + _HOPE + "lesser general public license for more details]]",
+    ],
     "agpl": ["gnu affero general public license"],
+    "agpl-3.0-or-later": [
+        "gnu affero general public license as published by the free software foundation either version 3 of the license or "
+        "[[at your option]] any later version [[" + _HOPE + "affero general public license for more details]]",
+    ],
     "cc-by-4.0": ["cc by 4.0", "creative commons attribution 4.0 [[international]] [[public]] license"],
     "cc-by-3.0": ["cc by 3.0", "creative commons attribution 3.0 [[unported]] license"],
     "cc-by-sa-4.0": ["cc by sa 4.0", "creative commons attribution sharealike 4.0 [[international]] [[public]] license"],
     "cc-by-nc-4.0": ["cc by nc 4.0", "creative commons attribution noncommercial 4.0 [[international]] [[public]] license"],
+    "cc-by-nd-4.0": ["cc by nd 4.0", "creative commons attribution noderivatives 4.0 [[international]] [[public]] license"],
     "cc0-1.0": ["cc0 1.0 [[universal]]", "creative commons zero v1.0 universal"],
-    "bsd": [
-        "redistribution and use in source and binary forms with or without modification are permitted provided "
-        "that the following conditions are met [[1]] redistributions of source code must retain the above copyright "
-        "notice this list of conditions and the following disclaimer [[2]] redistributions in binary form must "
-        "reproduce the above copyright notice this list of conditions and the following disclaimer in the "
-        "documentation and or other materials provided with the distribution "
-        "[[3 neither the name of {{24}} may be used to endorse or promote products derived from this software "
-        "without specific prior written permission]]",
-        "bsd [[2]] [[3]] clause license",
-        "[[the]] bsd license",
+    "bsd": ["[[the]] bsd license"],
+    "bsd-2-clause": ["bsd 2 clause [[simplified]] license", _REDISTRIBUTION + _AS_IS],
+    "bsd-3-clause": [
+        "bsd 3 clause [[new or revised]] license",
+        _REDISTRIBUTION + "[[3]] neither the name of {{16}} nor the names of {{6}} may be used to endorse or promote products "
+        "derived from this software without specific prior written permission " + _AS_IS,
     ],
     "isc": [
-        "permission to use copy modify and or distribute this software for any purpose with or without fee is "
-        "hereby granted provided that the above copyright notice and this permission notice appear in all copies",
         "isc license",
+        _FEE_OR_NOT + "provided that the above copyright notice and this permission notice appear in all copies " + _AUTHOR_DISCLAIMS,
+    ],
+    "0bsd": ["bsd zero clause license", _FEE_OR_NOT + _AUTHOR_DISCLAIMS],
+    "zlib": [
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for "
+        "any damages arising from the use of this software permission is granted to anyone to use this software for any purpose "
+        "including commercial applications and to alter it and redistribute it freely subject to the following restrictions [[1]] "
+        "the origin of this software must not be misrepresented you must not claim that you wrote the original software if you use "
+        "this software in a product an acknowledgment in the product documentation would be appreciated but is not required [[2]] "
+        "altered source versions must be plainly marked as such and must not be misrepresented as being the original software [[3]] "
+        "this notice may not be removed or altered from any source distribution",
+    ],
+    "bsl-1.0": [
+        "boost software license [[, ]]version 1.0",
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying "
+        "documentation covered by this license the software to use reproduce display distribute execute and transmit the software and "
+        "to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all "
+        "subject to the following the copyright notices in the software and this entire statement including the above license grant "
+        "this restriction and the following disclaimer must be included in all copies of the software in whole or in part and all "
+        "derivative works of the software unless such copies or derivative works are solely in the form of machine executable object "
+        "code generated by a source language processor the software is provided as is without warranty of any kind express or implied "
+        "including but not limited to the warranties of merchantability fitness for a particular purpose title and non infringement in "
+        "no event shall the copyright holders or anyone distributing the software be liable for any damages or other liability whether "
+        "in contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
     ],
     "mpl-2.0": [
-        "this source code form is subject to the terms of the mozilla public license v 2.0",
+        "this source code form is subject to the terms of the mozilla public license v 2.0 [[if a copy of the mpl was not distributed "
+        "with this file you can obtain one at {{8}}]]",
         "mozilla public license [[, ]]version 2.0",
     ],
-    "unlicense": ["this is free and unencumbered software released into the public domain"],
+    "epl-2.0": ["eclipse public license [[, ]][[version]] [[v]] 2.0"],
+    "unlicense": [
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile "
+        "sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non "
+        "commercial and by any means in jurisdictions that recognize copyright laws the author or authors of this software dedicate "
+        "any and all copyright interest in the software to the public domain we make this dedication for the benefit of the public at "
+        "large and to the detriment of our heirs and successors we intend this dedication to be an overt act of relinquishment in "
+        "perpetuity of all present and future rights to this software under copyright law the software is provided as is without "
+        "warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a "
+        "particular purpose and noninfringement in no event shall the authors be liable for any claim damages or other liability "
+        "whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or "
+        "other dealings in the software",
+    ],
+    "wtfpl": ["do what the fuck you want to public license"],
 }
 
 MARK = re.compile(r"\[\[(.*?)\]\]|\{\{(\d+)\}\}", re.S)
@@ -224,7 +305,7 @@ class Scanner:
 
 
 #: Words that are rare outside of licenses; each phrase has one.
-RARE = {"license", "apache", "cc", "cc0", "mit", "gnu", "bsd", "isc", "mozilla", "creative", "redistribution", "permission", "unencumbered"}
+RARE = {"license", "apache", "cc", "cc0", "mit", "gnu", "bsd", "isc", "mozilla", "creative", "redistribution", "permission", "unencumbered", "boost", "eclipse", "misrepresented"}
 IS_WORD = np.zeros(256, bool)
 IS_WORD[128:] = True
 for _c in range(128):

@@ -152,6 +152,58 @@ def test_long_text_with_many_beginnings():
     assert [(f.label, f.start, f.length) for f in found] == [("apache", 400_001, 2)]
 
 
+def as_regex(template):
+    """The template as a pattern over words, each with a blank behind it."""
+    out, at = "", 0
+    plain = lambda text: "".join(re.escape(w) + " " for w in licenses.words_of(text))
+    for m in licenses.MARK.finditer(template):
+        out += plain(template[at : m.start()])
+        if m[2]:
+            out += r"(?:\S+ ){0,%s}" % m[2]
+        else:
+            out += "(?:" + as_regex(m[1]) + ")?"
+        at = m.end()
+    return out + plain(template[at:])
+
+
+ALL_TEMPLATES = [(label, t) for label, ts in licenses.TEMPLATES.items() for t in ts] + [(label, t) for t, label in licenses.PHRASES.items()]
+
+
+def filled(template, rng, keep):
+    """A text that fits the template: optional words or not, other words in the gaps."""
+    text = re.sub(r"\{\{(\d+)\}\}", lambda m: " ".join(rng.choices(["some", "owner", "2020", "inc"], k=rng.randint(0, int(m[1])))), template)
+    return re.sub(r"\[\[(.*?)\]\]", lambda m: m[1] if keep or rng.random() < 0.5 else " ", text, flags=re.S)
+
+
+def test_labels_equal_patterns_on_filled_and_damaged_templates():
+    """Every template filled in, and with one word lost, changed or added: the labels of plain patterns."""
+    rng = random.Random(3)
+    patterns = [(label, re.compile(r"(?<!\S)" + as_regex(t))) for label, t in ALL_TEMPLATES]
+    scanner, lost = licenses.Scanner(), 0
+    for label, template in ALL_TEMPLATES:
+        for kind in range(6):
+            own = licenses.words_of(filled(template, rng, kind % 2))
+            at = rng.randrange(len(own))
+            if kind >= 2:
+                own[at : at + 1] = [[], ["altered"], [own[at], "added"], [own[at], own[at]]][kind - 2]
+            text = "before this " + " ".join(own) + " and after"
+            joined = "".join(w + " " for w in licenses.words_of(text))
+            expected = {found for found, pattern in patterns if pattern.search(joined)}
+            got = {f.label for f in scanner.scan(text)}
+            assert got == expected, (label, kind, text)
+            assert kind >= 2 or label in got
+            lost += kind >= 2 and label not in got
+    assert lost > len(ALL_TEMPLATES)
+
+
+@pytest.mark.parametrize("label", ["mit", "bsd-2-clause", "bsd-3-clause", "isc", "0bsd", "zlib", "bsl-1.0", "unlicense"])
+def test_whole_licenses_do_not_take_altered_disclaimers(label):
+    whole = " ".join(licenses.words_of(filled(licenses.TEMPLATES[label][-1], random.Random(1), True)))
+    assert label in {f.label for f in licenses.Scanner().scan(whole) if f.length > 60}
+    for cut in (whole.rsplit(" ", 1)[0], whole.replace(" not ", " ", 1).replace("warrant", "guarant", 1)):
+        assert cut != whole and not [f for f in licenses.Scanner().scan(cut) if f.label == label and f.length > 60]
+
+
 def test_automaton_regions():
     a = licenses.Automaton("one [[two]] {{2}} three")
     assert [a.match(t.split(), 0) for t in ("one three", "one two three", "one x three", "one two x y three z", "one x y z three", "two three")] == [2, 3, 3, 5, 0, 0]
