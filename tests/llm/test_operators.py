@@ -573,6 +573,38 @@ def test_quality_on_held_out(spark, odd, none):
     assert tuple(nothing) == (1, 400)
 
 
+def test_threshold_comes_from_all_strengths(spark):
+    """Strengths of all documents in two heaps: the threshold lies in the middle of the gap that the cut is in."""
+    rng = np.random.default_rng(4)
+    low, high = rng.normal(-6, 1, 1300), rng.normal(5, 1, 8700)
+    both = np.concatenate((low, high))
+    df = spark.createDataFrame([(float(x),) for x in both], "strength double")
+    none = quality.fit_bradley_terry(np.zeros((0, quality.N_FEATURES), np.float32), np.zeros(0, np.int64), 0.0)
+    at = lambda df, cut, off=0.0: quality.threshold_of(df, quality.Fitted(none.model._replace(threshold=cut), off))
+    for cut in (-1.5, 0.0, 0.5):
+        assert abs(at(df, cut) - (low.max() + high.min()) / 2) <= quality.BIN
+    # The correction moves the quantile: 10 % of all documents more are below than the cut says, or 5 % fewer.
+    assert abs((both < at(df, 0.0, 0.1)).mean() - 0.23) < 0.005 and abs((both < at(df, 0.0, -0.05)).mean() - 0.08) < 0.005
+    assert at(df, -100.0) < low.min() and at(df, 100.0) > high.max() and at(df, 0.0, -1.0) < low.min() and at(df, 0.0, 1.0) > high.max()
+    assert at(df.limit(0), 0.25) == 0.25
+    assert at(df.repartition(7, "strength"), 0.0, 0.1) == at(df.coalesce(1), 0.0, 0.1)
+
+
+def test_weights_reach_the_plain_minimum():
+    """The pairwise logistic loss of the fitted weights is that of full gradient descent over all pairs."""
+    rng = np.random.default_rng(2)
+    labels = np.repeat([0, 1], 60)
+    features = rng.normal(size=(120, 5)).astype(np.float32) + labels[:, None] * np.array([0.8, 0.4, 0, -0.5, 0], np.float32)
+    model = quality.fit_bradley_terry(features, labels, 0.5).model
+    z = np.clip((features - model.mean) / model.scale, -6, 6).astype(np.float64)
+    diff = (z[labels == 1][:, None] - z[labels == 0][None]).reshape(-1, 5)
+    loss = lambda w: np.log1p(np.exp(-diff @ w)).mean() + quality.DECAY / 2 * (w**2).sum()
+    plain = np.zeros(5)
+    for _ in range(2000):
+        plain -= 0.3 * (quality.DECAY * plain - diff.T @ (1 / (1 + np.exp(diff @ plain))) / len(diff))
+    assert loss(model.weights.astype(np.float64)) < loss(plain) + 0.005 < loss(np.zeros(5)) - 0.1
+
+
 def test_toxicity_on_held_out_and_hidden_insults(spark, odd, none):
     docs, labels = labelled_docs(spark)
     out = {r["doc_id"]: r for r in toxicity.op10_toxicity(docs, labels).collect()}
