@@ -26,6 +26,10 @@ cloudpickle.register_pickle_by_value(processors)
 #: Buckets of nearest-taxi queries. Rides pass every bucket, so there should be no more than the queries need.
 QUERY_BUCKETS = 4
 
+#: Buckets of keys with state of their own. Fixed, because a query that starts again from its checkpoint must find its
+#: keys; many more than a cluster has cores would only add calls to the state store.
+KEY_BUCKETS = 256
+
 
 def _width(df: DataFrame, buckets: int | None) -> int:
     """Buckets that keyed state is spread over. Control rows are repeated once per bucket; rows of a taxi
@@ -37,11 +41,32 @@ def _width(df: DataFrame, buckets: int | None) -> int:
 def _apply(
     df: DataFrame, keys: list[str], processor: StatefulProcessor, event_time: str = ""
 ) -> DataFrame:
+    if isinstance(processor, processors.InOrder):
+        if keys != ["_bucket"]:
+            df = _dealt(df, keys)
+        df = df.select("_bucket", *[c for c in ("_time",) if c in df.columns], _packed(processor.fields).alias("packed"))
+        return df.groupBy("_bucket").transformWithStateInPandas(
+            processor, processor.output, "append", "EventTime", eventTimeColumnName=event_time
+        )
     return df.groupBy(*keys).transformWithState(
         processor, processor.output, "append", "EventTime", eventTimeColumnName=event_time
     )
 
 
+def _dealt(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with their ``key`` as text, and the bucket that holds it."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int")
+    text = F.to_json(F.struct(*keys), {"timestampFormat": _STAMP})
+    return df.withColumn("_bucket", bucket).withColumn("key", text)
+
+
+def _packed(fields: str) -> Column:
+    """The fields of a processor as one text, floats as the doubles that they are."""
+    kinds = [part.split() for part in fields.split(", ")]
+    given = lambda c, kind: F.col(c).cast("double" if kind == "FLOAT" else kind).alias(c)
+    return F.to_json(F.struct(*[given(c, kind) for c, kind in kinds]))
+
+
 def _timed(df: DataFrame, ts: str, delay: str) -> DataFrame:
     """Watermarked ``_time``, ``us`` and the whole row as JSON ``payload``."""
     payload = F.to_json(F.struct(*df.columns), {"timestampFormat": _STAMP})
@@ -148,7 +173,7 @@ def asof_join(
             F.col(value).cast("string").alias("value"),
         )
     )
-    rows = sides.withWatermark("_time", delay).withColumn("us", F.unix_micros("_time"))
+    rows = sides.withWatermark("_time", delay).withColumn("us", F.unix_micros("_time")).withColumn("answered", F.lit(False))
     found = _apply(rows, [by], processors.AsOf(early=emit == "provisional+final"))
     return found.select(
         _unpack("payload", left).alias("r"), F.coalesce("value", F.lit(default)).alias(value), "final"

@@ -4,6 +4,10 @@ Spark groups, shuffles, times and stores; a processor only says what one key doe
 Rows carry event time as epoch microseconds (``us``) and whole records as JSON text, so the same
 processors serve any record type.
 
+``InOrder`` is given buckets of keys: what a micro-batch costs for a key besides its rows (some ten calls
+to the state store) it then costs for a bucket. Rows arrive in frames, as one JSON text each (``packed``,
+made by Spark), because Python pays for every cell of a row.
+
 Most of them build on ``InOrder``: rows wait in state until the watermark reaches them and are then
 seen in event-time order. The results do not depend on arrival order, and equal the batch forms.
 """
@@ -12,18 +16,64 @@ from __future__ import annotations
 
 import json
 import math
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
+from collections import namedtuple
 from collections.abc import Iterator
+from itertools import islice
+from operator import attrgetter, itemgetter
+from zlib import crc32
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+
+#: Arrow types of the columns of an output.
+ARROW = {
+    "STRING": pa.string(), "BIGINT": pa.int64(), "INT": pa.int32(), "DOUBLE": pa.float64(), "FLOAT": pa.float32(),
+    "BOOLEAN": pa.bool_(),
+}
+
+
+class Slots:
+    """A value per key of a bucket, as JSON. Keys are dealt to a few slots, of which only those that are asked
+    for are read, and only those that changed are written by ``save``."""
+
+    number = 16
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str) -> None:
+        self.state = handle.getMapState(name, "slot INT", "held STRING")
+        self.read: dict[int, tuple[str, dict]] = {}
+
+    def of(self, key: str) -> dict:
+        """The values by key of all keys in the slot of this one; changes last."""
+        slot = crc32(key.encode()) % self.number
+        if slot not in self.read:
+            text = self.state.getValue((slot,))[0] if self.state.containsKey((slot,)) else "{}"
+            self.read[slot] = (text, json.loads(text))
+        return self.read[slot][1]
+
+    def save(self) -> None:
+        for slot, (before, values) in self.read.items():
+            text = json.dumps(values)
+            if text == before:
+                continue
+            if values:
+                self.state.updateValue((slot,), (text,))
+            else:
+                self.state.removeKey((slot,))
+        self.read = {}
+
+
 class InOrder(StatefulProcessor):
     """Holds rows back until the watermark reaches them, then passes them on in their order.
 
     Waiting rows are kept in blocks under the time of their first row, so a timer reads the blocks that
-    are due and no others. Only a block that the watermark cuts in two is written again, and it is small.
+    are due and no others. Only rows that the watermark leaves behind are written again. Due blocks are
+    read in the order of their first rows, and rows are passed on in pieces as soon as no later block can
+    hold an earlier one, so memory holds a piece and the blocks that overlap it, however long the backlog.
     """
 
     #: DDL of the waiting rows; starts with us.
@@ -31,11 +81,16 @@ class InOrder(StatefulProcessor):
     #: Names that rows are sorted by; nulls come first.
     order = ("us", "tie")
     #: Rows of a block at most.
-    block_rows = 256
+    block_rows = 1024
+    #: Rows that are sorted into blocks together, and that are passed on together at least.
+    piece_rows = 65_536
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.names = [part.split()[0] for part in self.fields.split(", ")]
+        kinds = [part.split() for part in self.fields.split(", ")]
+        self.record = namedtuple("Waiting", [name for name, _ in kinds])
+        self.floats = [name for name, kind in kinds if kind in ("DOUBLE", "FLOAT")]
+        self.by_order = attrgetter(*self.order)
         self.blocks = handle.getMapState("blocks", "ms BIGINT, n BIGINT", "rows STRING")
         self.counts = handle.getMapState("counts", "ms BIGINT", "n BIGINT")
         self.prepare(handle)
@@ -43,33 +98,62 @@ class InOrder(StatefulProcessor):
     def prepare(self, handle: StatefulProcessorHandle) -> None:
         """Create further state."""
 
-    def released(self, key: tuple, rows: list[Row]) -> Iterator[Row]:
-        """Rows to emit for input that is now complete and in order."""
+    def begin(self, key: tuple) -> None:
+        """Before the first piece of a key."""
+
+    def released(self, key: tuple, rows: list) -> Iterator[Row]:
+        """Rows to emit for input that is now complete and in order; called piece by piece."""
         raise NotImplementedError
 
-    def handleInputRows(self, key, rows, timerValues):
-        self._wait([tuple(row[name] for name in self.names) for row in rows])
+    def settle(self, key: tuple, watermark: int) -> Iterator[Row]:
+        """After the last piece of a key: write what has to last, and emit what is left to emit."""
         return iter([])
 
+    def arrived(self, texts: Iterator[str], watermark: int) -> Iterator[Row]:
+        """Rows to emit for packed rows that arrive; they have to wait."""
+        while piece := list(islice(texts, self.piece_rows)):
+            self._wait(piece)
+        return iter([])
+
+    def handleInputRows(self, key, rows, timerValues):
+        texts = (text for frame in rows for text in frame["packed"])
+        yield from self._frames(self.arrived(texts, timerValues.getCurrentWatermarkInMs()))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         watermark = timerValues.getCurrentWatermarkInMs()
-        found = []
-        for ms in self._due(expiredTimerInfo.getExpiryTimeInMs(), watermark):
-            if self.counts.containsKey((ms,)):
-                for n in range(self.counts.getValue((ms,))[0]):
-                    found += json.loads(self.blocks.getValue((ms, n))[0])
-                    self.blocks.removeKey((ms, n))
-                self.counts.removeKey((ms,))
-        if not found:
+        yield from self._frames(self._expired(key, watermark, expiredTimerInfo.getExpiryTimeInMs()))
+
+    def _frames(self, rows: Iterator[Row]) -> Iterator[pd.DataFrame]:
+        columns = [part.split() for part in self.output.split(", ")]
+        while some := list(islice(rows, 10_000)):
+            # Arrow keeps nulls apart from NaN.
+            arrays = [pa.array(cells, ARROW[kind]) for cells, (_, kind) in zip(zip(*some, strict=True), columns, strict=True)]
+            yield pd.DataFrame({name: pd.Series(pd.arrays.ArrowExtensionArray(array)) for array, (name, _) in zip(arrays, columns, strict=True)})
+
+    def _record(self, values: dict):
+        for name in self.floats:
+            if isinstance(values.get(name), str):  # how Spark writes NaN and infinities
+                values[name] = float(values[name])
+        return self.record(*map(values.get, self.record._fields))
+
+    def _expired(self, key, watermark, fired):
+        # The first timer of a key reads all that is due; the other timers then find nothing.
+        if not self.counts.containsKey((fired,)):
             return
-        places = [self.names.index(name) for name in self.order]
-        found.sort(key=lambda values: [(values[i] is not None, values[i]) for i in places])
-        end = len(found)
-        while end and found[end - 1][0] // 1000 > watermark:
-            end -= 1
-        self._wait(found[end:])
-        record = Row(*self.names)
-        yield from self.released(key, [record(*values) for values in found[:end]])
+        due = self._due(fired, watermark)
+        self.begin(key)
+        held, enough = [], self.piece_rows
+        for ms, following in zip(due, [*due[1:], watermark + 1], strict=True):
+            held += self._read(ms)
+            if len(held) >= enough or following > watermark:
+                held = self._sorted(held)
+                end = bisect_left(held, following, key=lambda row: row.us // 1000)
+                if end:
+                    yield from self.released(key, held[:end])
+                held = held[end:]
+                enough = self.piece_rows + 2 * len(held)
+        yield from self.settle(key, watermark)
+        self._wait([json.dumps(row._asdict(), separators=(",", ":")) for row in held])
 
     def _due(self, fired: int, watermark: int) -> list[int]:
         """All times of this key that the watermark has passed, so that blocks which overlap are read together."""
@@ -79,13 +163,35 @@ class InOrder(StatefulProcessor):
                 due.add(ms)
         return sorted(due)
 
-    def _wait(self, rows: list) -> None:
-        rows = sorted(rows, key=lambda values: values[0])
+    def _read(self, ms: int) -> list:
+        """The rows of the blocks of one time, which are taken out."""
+        if not self.counts.containsKey((ms,)):
+            return []
+        found = []
+        for n in range(self.counts.getValue((ms,))[0]):
+            found += map(self._record, json.loads(self.blocks.getValue((ms, n))[0]))
+            self.blocks.removeKey((ms, n))
+        self.counts.removeKey((ms,))
+        return found
+
+    def _sorted(self, rows: list) -> list:
+        try:
+            return sorted(rows, key=self.by_order)
+        except TypeError:  # nulls do not compare
+            return sorted(rows, key=lambda row: [(x is not None, x) for x in self.by_order(row)])
+
+    @staticmethod
+    def _us(text: str) -> int | None:
+        """The time of a packed row; a row without one does not begin with it."""
+        return int(text[6 : text.index(",")]) if text.startswith('{"us":') else None
+
+    def _wait(self, texts: list[str]) -> None:
+        rows = sorted(((self._us(text), text) for text in texts), key=itemgetter(0))
         for lo in range(0, len(rows), self.block_rows):
             block = rows[lo : lo + self.block_rows]
             ms = block[0][0] // 1000
             n = self.counts.getValue((ms,))[0] if self.counts.containsKey((ms,)) else 0
-            self.blocks.updateValue((ms, n), (json.dumps(block),))
+            self.blocks.updateValue((ms, n), (f"[{','.join(text for _, text in block)}]",))
             self.counts.updateValue((ms,), (n + 1,))
             if not n:
                 self.handle.registerTimer(ms)
@@ -94,17 +200,21 @@ class InOrder(StatefulProcessor):
 class SortedRows(InOrder):
     """Every row with its place in the order of its key."""
 
+    fields = "us BIGINT, tie BIGINT, key STRING, payload STRING"
     output = "payload STRING, seq BIGINT"
 
     def prepare(self, handle):
-        self.count = handle.getValueState("count", "n BIGINT")
+        self.places = Slots(handle, "places")
 
     def released(self, key, rows):
-        seq = self.count.get()[0] if self.count.exists() else 0
         for row in rows:
-            seq += 1
+            places = self.places.of(row.key)
+            places[row.key] = seq = places.get(row.key, 0) + 1
             yield Row(payload=row.payload, seq=seq)
-        self.count.update((seq,))
+
+    def settle(self, key, watermark):
+        self.places.save()
+        return iter([])
 
 
 class SortedRowsAndLate(SortedRows):
@@ -113,17 +223,20 @@ class SortedRowsAndLate(SortedRows):
 
     output = "payload STRING, seq BIGINT, late BOOLEAN, behindMs BIGINT"
 
-    def handleInputRows(self, key, rows, timerValues):
+    def arrived(self, texts, watermark):
         # 0 until the first micro-batch is over: nothing is late before.
-        watermark = timerValues.getCurrentWatermarkInMs()
         waiting = []
-        for row in rows:
-            if row.us is None:
-                yield Row(payload=row.payload, seq=None, late=True, behindMs=None)
-            elif watermark > 0 and row.us <= watermark * 1000:
-                yield Row(payload=row.payload, seq=None, late=True, behindMs=watermark - row.us // 1000)
+        for text in texts:
+            us = self._us(text)
+            if us is None:
+                yield Row(payload=json.loads(text)["payload"], seq=None, late=True, behindMs=None)
+            elif watermark > 0 and us <= watermark * 1000:
+                yield Row(payload=json.loads(text)["payload"], seq=None, late=True, behindMs=watermark - us // 1000)
             else:
-                waiting.append(tuple(row[name] for name in self.names))
+                waiting.append(text)
+                if len(waiting) == self.piece_rows:
+                    self._wait(waiting)
+                    waiting = []
         self._wait(waiting)
 
     def released(self, key, rows):
@@ -134,47 +247,66 @@ class SortedRowsAndLate(SortedRows):
 class RollingCount(InOrder):
     """Every row with the number of rows of its key in the last ``within_us``, ties included."""
 
+    fields = "us BIGINT, tie BIGINT, key STRING, payload STRING"
     output = "payload STRING, cnt BIGINT"
 
     def __init__(self, within_us: int) -> None:
         self.within_us = within_us
 
     def prepare(self, handle):
-        self.recent = handle.getListState("recent", "us BIGINT")
+        self.recent = Slots(handle, "recent")
 
     def released(self, key, rows):
-        times = [values[0] for values in self.recent.get()] if self.recent.exists() else []
-        known = len(times)
-        times += [row.us for row in rows]
-        first, last = 0, known
-        for i, row in enumerate(rows, start=known):
-            while times[first] < row.us - self.within_us:
-                first += 1
-            last = max(last, i)
-            while last + 1 < len(times) and times[last + 1] == row.us:
-                last += 1
-            yield Row(payload=row.payload, cnt=last - first + 1)
-        self.recent.put([(us,) for us in times[first:]])
+        by_key = {}
+        for row in rows:
+            by_key.setdefault(row.key, []).append(row)
+        for name, own in by_key.items():
+            recent = self.recent.of(name)
+            times = recent.get(name, [])
+            known = len(times)
+            times += [row.us for row in own]
+            first, last = 0, known
+            for i, row in enumerate(own, start=known):
+                while times[first] < row.us - self.within_us:
+                    first += 1
+                last = max(last, i)
+                while last + 1 < len(times) and times[last + 1] == row.us:
+                    last += 1
+                yield Row(payload=row.payload, cnt=last - first + 1)
+            recent[name] = times[first:]
+
+    def settle(self, key, watermark):
+        self.recent.save()
+        return iter([])
 
 
 class DrivingSegments(InOrder):
     """Runs of driving rows closed by a stop. Only the totals of the open run are kept."""
 
-    fields = "us BIGINT, tie BIGINT, speed FLOAT, throttle FLOAT"
+    fields = "us BIGINT, tie BIGINT, key STRING, carId STRING, speed FLOAT, throttle FLOAT"
     output = "carId STRING, startUs BIGINT, length BIGINT, maxSpeed INT, erraticness DOUBLE"
 
     def __init__(self, require_leading_stop: bool = False) -> None:
         self.require_leading_stop = require_leading_stop
 
     def prepare(self, handle):
-        self.open = handle.getValueState(
-            "open",
-            "stopped BOOLEAN, n BIGINT, startUs BIGINT, top DOUBLE, known BIGINT, mean DOUBLE, m2 DOUBLE",
-        )
+        self.open = Slots(handle, "open")
 
     def released(self, key, rows):
+        by_key = {}
+        for row in rows:
+            by_key.setdefault(row.key, []).append(row)
+        for name, own in by_key.items():
+            yield from self._segments(name, own)
+
+    def settle(self, key, watermark):
+        self.open.save()
+        return iter([])
+
+    def _segments(self, name, rows):
         empty = (0, 0, 0.0, 0, 0.0, 0.0)
-        stopped, *run = tuple(self.open.get()) if self.open.exists() else (False, *empty)
+        kept = self.open.of(name)
+        stopped, *run = kept.get(name, (False, *empty))
         i = 0
         while i < len(rows):
             j = i
@@ -184,7 +316,7 @@ class DrivingSegments(InOrder):
                 n, start, top, known, _, m2 = run
                 if n > 0 and (stopped or not self.require_leading_stop):
                     yield Row(
-                        carId=key[0], startUs=start, length=n, maxSpeed=int(top),
+                        carId=rows[i].carId, startUs=start, length=n, maxSpeed=int(top),
                         erraticness=math.sqrt(m2 / known) if known else None,
                     )
                 stopped, run = True, list(empty)
@@ -192,7 +324,7 @@ class DrivingSegments(InOrder):
                 for row in rows[i:j]:
                     run = self._add(run, row) if row.speed is not None else run
             i = j
-        self.open.update((stopped, *run))
+        kept[name] = (stopped, *run)
 
     @staticmethod
     def _add(run, row):
@@ -209,24 +341,27 @@ class DrivingSegments(InOrder):
 class TravelTimes(InOrder):
     """Predictions for START rows from the END rows before them, per direction bucket."""
 
-    fields = "us BIGINT, tie BIGINT, bucket INT, distance DOUBLE, minutes DOUBLE, rideId BIGINT"
+    fields = "us BIGINT, tie BIGINT, key STRING, bucket INT, distance DOUBLE, minutes DOUBLE, rideId BIGINT"
     output = "rideId BIGINT, prediction INT"
 
     def prepare(self, handle):
-        self.model = handle.getMapState("model", "bucket INT", "n BIGINT, sxy DOUBLE, sxx DOUBLE")
+        self.model = Slots(handle, "model")
 
     def released(self, key, rows):
         for row in rows:
-            seen = self.model.containsKey((row.bucket,))
-            n, sxy, sxx = self.model.getValue((row.bucket,)) if seen else (0, 0.0, 0.0)
+            model = self.model.of(row.key).setdefault(row.key, {})
+            n, sxy, sxx = model.get(str(row.bucket), (0, 0.0, 0.0))
             if row.minutes is None:
                 known = n >= 2 and sxx > 0
                 yield Row(
                     rideId=row.rideId, prediction=int(sxy / sxx * row.distance) if known else -1
                 )
             else:
-                totals = (n + 1, sxy + row.distance * row.minutes, sxx + row.distance**2)
-                self.model.updateValue((row.bucket,), totals)
+                model[str(row.bucket)] = (n + 1, sxy + row.distance * row.minutes, sxx + row.distance**2)
+
+    def settle(self, key, watermark):
+        self.model.save()
+        return iter([])
 
 
 class AsOf(InOrder):
@@ -238,96 +373,125 @@ class AsOf(InOrder):
     as the watermark has not passed them, and one older.
     """
 
-    fields = "us BIGINT, tie BIGINT, payload STRING, value STRING, answered BOOLEAN"
+    fields = "us BIGINT, tie BIGINT, key STRING, payload STRING, value STRING, answered BOOLEAN"
     output = "payload STRING, value STRING, final BOOLEAN"
 
     def __init__(self, early: bool = False) -> None:
         self.early = early
 
     def prepare(self, handle):
-        self.newest = handle.getValueState("newest", "value STRING")
-        self.versions = handle.getMapState("versions", "us BIGINT", "value STRING")
+        self.newest = Slots(handle, "newest")
+        self.versions = Slots(handle, "versions")
 
-    def _current(self):
-        return self.newest.get()[0] if self.newest.exists() else None
-
-    def handleInputRows(self, key, rows, timerValues):
-        fresh = [(r.us, r.tie, r.payload, r.value, False) for r in rows]
-        if self.early:
-            for us, tie, _, value, _ in fresh:
-                if tie == 0:
-                    known = self.versions.getValue((us,))[0] if self.versions.containsKey((us,)) else None
-                    self.versions.updateValue((us,), (max(known or "", value or "") or value,))
-            versions = sorted((k[0], v[0]) for k, v in self.versions.iterator())
-            times, oldest = [us for us, _ in versions], self._current()
-            for i, (us, tie, payload, _, _) in enumerate(fresh):
-                if tie == 1:
-                    at = bisect_right(times, us)
-                    value = versions[at - 1][1] if at else oldest
-                    fresh[i] = (us, tie, payload, value, True)
-                    yield Row(payload=payload, value=value, final=False)
-        self._wait(fresh)
+    def arrived(self, texts, watermark):
+        if not self.early:
+            yield from super().arrived(texts, watermark)
+            return
+        rows = [json.loads(text) for text in texts]
+        for row in rows:
+            if row["tie"] == 0:
+                versions, us, value = self.versions.of(row["key"]).setdefault(row["key"], {}), str(row["us"]), row.get("value")
+                versions[us] = max(versions.get(us) or "", value or "") or value
+        found = {}
+        for row in rows:
+            if row["tie"] == 1:
+                key = row["key"]
+                if key not in found:
+                    found[key] = sorted((int(us), value) for us, value in self.versions.of(key).get(key, {}).items())
+                at = bisect_right(found[key], row["us"], key=itemgetter(0))
+                row["value"] = found[key][at - 1][1] if at else self.newest.of(key).get(key)
+                row["answered"] = True
+                yield Row(payload=row["payload"], value=row["value"], final=False)
+        self.versions.save()
+        self.newest.save()
+        for lo in range(0, len(rows), self.piece_rows):
+            self._wait([json.dumps(row, separators=(",", ":")) for row in rows[lo : lo + self.piece_rows]])
+
+    def begin(self, key):
+        self.current = {}
 
     def released(self, key, rows):
-        value = self._current()
         for row in sorted(rows, key=lambda r: (r.us, r.tie, r.value or "")):
+            name = row.key
+            if name not in self.current:
+                self.current[name] = self.newest.of(name).get(name)
             if row.tie == 0:
-                value = row.value
-                if self.early and self.versions.containsKey((row.us,)):
-                    self.versions.removeKey((row.us,))
-            elif not (row.answered and row.value == value):
-                yield Row(payload=row.payload, value=value, final=True)
-        if value is not None:
-            self.newest.update((value,))
+                self.current[name] = row.value
+                if self.early:
+                    held = self.versions.of(name)
+                    versions = held.get(name, {})
+                    versions.pop(str(row.us), None)
+                    if not versions:
+                        held.pop(name, None)
+            elif not (row.answered and row.value == self.current[name]):
+                yield Row(payload=row.payload, value=self.current[name], final=True)
+
+    def settle(self, key, watermark):
+        for name, value in self.current.items():
+            if value is not None:
+                self.newest.of(name)[name] = value
+        self.newest.save()
+        self.versions.save()
+        return iter([])
+
 
+class OpenStarts(InOrder):
+    """START rows that no END of the same key follows within ``within_us``.
 
-class OpenStarts(StatefulProcessor):
-    """START rows that no END of the same key follows within ``within_us``."""
+    Rows are not held back. What waits is the end of the time of a START or END: then the START comes out,
+    and the END is forgotten.
+    """
 
+    fields = "us BIGINT, key STRING, isStart BOOLEAN, payload STRING"
+    order = ("us",)
     output = "payload STRING"
 
     def __init__(self, within_us: int) -> None:
         self.within_us = within_us
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.starts = handle.getListState("starts", "us BIGINT, payload STRING")
-        self.first_end = handle.getValueState("end", "us BIGINT")
-
-    def handleInputRows(self, key, rows, timerValues):
-        ends, starts = [], []
-        for row in rows:
-            (starts if row.isStart else ends).append((row.us, row.payload))
-        if self.first_end.exists():
-            ends.append((self.first_end.get()[0], None))
-        if ends:
-            first = min(end[0] for end in ends)
-            self.first_end.update((first,))
-            self.handle.registerTimer((first + self.within_us) // 1000)
-            starts += [tuple(s) for s in self.starts.get()]
-            starts = [s for s in starts if first > s[0] + self.within_us]
-            self.starts.put(starts) if starts else self.starts.clear()
-        elif starts:
-            self.starts.appendList(starts)
-        for us, _ in starts:
-            self.handle.registerTimer((us + self.within_us) // 1000)
+    def prepare(self, handle):
+        #: By key the first END known, and the STARTs that no END follows so far.
+        self.open = Slots(handle, "open")
+
+    def arrived(self, texts, watermark):
+        while piece := list(islice(texts, self.piece_rows)):
+            over = set()
+            for row in map(json.loads, piece):
+                key, us = row["key"], row["us"]
+                first, starts = self.open.of(key).setdefault(key, [None, []])
+                # A row that is neither counts as an END.
+                if not row.get("isStart"):
+                    first = us if first is None else min(first, us)
+                    starts = [start for start in starts if first > start[0] + self.within_us]
+                    over.add((us + self.within_us, key))
+                elif first is None or first > us + self.within_us:
+                    starts = [*starts, [us, row["payload"]]]
+                    over.add((us + self.within_us, key))
+                self.open.of(key)[key] = [first, starts]
+            self._wait([json.dumps({"us": us, "key": key}, separators=(",", ":")) for us, key in over])
+        self.open.save()
         return iter([])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        watermark = timerValues.getCurrentWatermarkInMs()
-
-        def over(us: int) -> bool:
-            return (us + self.within_us) // 1000 <= watermark
-
-        kept = []
-        for us, payload in self.starts.get():
-            if over(us):
-                yield Row(payload=payload)
+    def released(self, key, rows):
+        for row in rows:
+            kept = self.open.of(row.key)
+            if row.key not in kept:
+                continue
+            first, starts = kept[row.key]
+            over = lambda us, now=row.us // 1000: (us + self.within_us) // 1000 <= now
+            for us, payload in starts:
+                if over(us):
+                    yield Row(payload=payload)
+            starts = [start for start in starts if not over(start[0])]
+            first = None if first is None or over(first) else first
+            if starts or first is not None:
+                kept[row.key] = [first, starts]
             else:
-                kept.append((us, payload))
-        self.starts.put(kept) if kept else self.starts.clear()
-        if self.first_end.exists() and over(self.first_end.get()[0]):
-            self.first_end.clear()
+                del kept[row.key]
+
+    def settle(self, key, watermark):
+        self.open.save()
+        return iter([])
 
 
 class SequenceRules(InOrder):
@@ -341,38 +505,58 @@ class SequenceRules(InOrder):
 
     def prepare(self, handle):
         self.rules = handle.getMapState("rules", "rule STRING", "first STRING, second STRING")
-        # Pending first items are numbered, so that adding one does not rewrite the others.
+        # Pending first items are in numbered blocks, so that adding some does not rewrite the others.
         self.pending = handle.getMapState(
-            "pending", "item STRING, rule STRING, n BIGINT", "payload STRING"
+            "pending", "item STRING, rule STRING, n BIGINT", "payloads STRING"
         )
         self.waits = handle.getMapState("waits", "item STRING, rule STRING", "n BIGINT")
 
+    def begin(self, key):
+        self.known = {k[0]: tuple(v) for k, v in self.rules.iterator()}
+        # By item and rule the blocks in state, and the items that came since.
+        self.held, self.fresh = {}, 0
+
     def released(self, key, rows):
-        rules = {k[0]: tuple(v) for k, v in self.rules.iterator()}
         for row in rows:
             if row.rule is not None:
-                rules[row.rule] = (row.first, row.second)
-                self.rules.updateValue((row.rule,), rules[row.rule])
+                self.known[row.rule] = (row.first, row.second)
+                self.rules.updateValue((row.rule,), self.known[row.rule])
                 continue
-            for rule, (first, second) in rules.items():
+            for rule, (first, second) in self.known.items():
                 if row.shape not in (first, second):
                     continue
                 slot = (row.item, rule)
-                n = self.waits.getValue(slot)[0] if self.waits.containsKey(slot) else 0
+                if slot not in self.held:
+                    n = self.waits.getValue(slot)[0] if self.waits.containsKey(slot) else 0
+                    self.held[slot] = [n, []]
+                n, since = held = self.held[slot]
                 if row.shape == second:
                     for i in range(n):
-                        yield Row(
-                            rule=rule, item=row.item,
-                            firstPayload=self.pending.getValue((*slot, i))[0],
-                            secondPayload=row.payload,
-                        )
+                        for payload in json.loads(self.pending.getValue((*slot, i))[0]):
+                            yield Row(rule=rule, item=row.item, firstPayload=payload, secondPayload=row.payload)
                         self.pending.removeKey((*slot, i))
+                    for payload in since:
+                        yield Row(rule=rule, item=row.item, firstPayload=payload, secondPayload=row.payload)
                     if n:
                         self.waits.removeKey(slot)
-                    n = 0
+                    self.fresh -= len(since)
+                    held[:] = [0, []]
                 if row.shape == first:
-                    self.pending.updateValue((*slot, n), (row.payload,))
-                    self.waits.updateValue(slot, (n + 1,))
+                    held[1].append(row.payload)
+                    self.fresh += 1
+        if self.fresh > 4 * self.piece_rows:
+            self._store()
+
+    def _store(self):
+        for slot, (n, since) in self.held.items():
+            if since:
+                self.pending.updateValue((*slot, n), (json.dumps(since),))
+                self.waits.updateValue(slot, (n + 1,))
+        self.held, self.fresh = {}, 0
+
+    def settle(self, key, watermark):
+        self._store()
+        return iter([])
 
 
 class OngoingRides(InOrder):
@@ -389,15 +573,28 @@ class OngoingRides(InOrder):
             "latest", "taxiId BIGINT", "us BIGINT, isStart BOOLEAN, payload STRING"
         )
 
+    def begin(self, key):
+        #: Rides of taxis that came since, and all of them as soon as a control row asks.
+        self.fresh, self.all = {}, None
+
     def released(self, key, rows):
         for row in rows:
             if row.minutes is None:
-                self.latest.updateValue((row.taxiId,), (row.us, row.isStart, row.payload))
+                self.fresh[row.taxiId] = (row.us, row.isStart, row.payload)
+                if self.all is not None:
+                    self.all[row.taxiId] = self.fresh[row.taxiId]
                 continue
-            for us, is_start, payload in self.latest.values():
+            if self.all is None:
+                self.all = {k[0]: tuple(v) for k, v in self.latest.iterator()} | self.fresh
+            for us, is_start, payload in self.all.values():
                 if is_start and (row.us // 1000 - us // 1000) // 60_000 >= row.minutes:
                     yield Row(controlId=row.controlId, controlUs=row.us, payload=payload)
 
+    def settle(self, key, watermark):
+        for taxi, ride in self.fresh.items():
+            self.latest.updateValue((taxi,), ride)
+        return iter([])
+
 
 def improvements(us, km, best=None, ttl_us=None):
     """Places of the rows that become the best, and the best at the end, of rows in time order.
@@ -444,9 +641,12 @@ class NearestTaxi(InOrder):
             "queries", "queryId BIGINT", "us BIGINT, lon FLOAT, lat FLOAT, km FLOAT, bestUs BIGINT"
         )
 
+    def begin(self, key):
+        self.active = {k[0]: tuple(v) for k, v in self.queries.iterator()}
+        self.before = dict(self.active)
+
     def released(self, key, rows):
-        active = {k[0]: tuple(v) for k, v in self.queries.iterator()}
-        before = dict(active)
+        active = self.active
         i = 0
         while i < len(rows):
             j = i
@@ -460,17 +660,21 @@ class NearestTaxi(InOrder):
                 if row.mine and row.lon != 0:
                     active[row.queryId] = (row.us, row.lon, row.lat, None, None)
             i = j + 1
-        for q in before.keys() - active.keys():
+        self.active = active
+
+    def settle(self, key, watermark):
+        for q in self.before.keys() - self.active.keys():
             self.queries.removeKey((q,))
-        for q, v in active.items():
-            if before.get(q) != v:
+        for q, v in self.active.items():
+            if self.before.get(q) != v:
                 self.queries.updateValue((q,), v)
+        return iter([])
 
     def _rides(self, active, rides):
         if not rides or not active:
             return
         us = np.array([r.us for r in rides], np.int64)
-        lon, lat = (np.array([r[c] for r in rides], np.float32) for c in ("lon", "lat"))
+        lon, lat = (np.array([getattr(r, c) for r in rides], np.float32) for c in ("lon", "lat"))
         cos = np.array([r.cosLat for r in rides], np.float64)
         for q, (asked, q_lon, q_lat, km, best_us) in active.items():
             seen = flat_km(q_lon, q_lat, lon, lat, cos, self.degree_km)
@@ -525,23 +729,18 @@ class TaxiQueries(InOrder):
 class Attempts(InOrder):
     """Sequence patterns: open attempts by state of the automaton (``table``, see ``operators.patterns``)."""
 
-    fields = "us BIGINT, tie BIGINT, payload STRING, fits INT"
+    fields = "us BIGINT, tie BIGINT, key STRING, payload STRING, fits INT"
     output = "payload STRING, kind STRING, endUs BIGINT, rowsBetween BIGINT"
 
     def __init__(self, table: list[list[int]], first: int, within_us: int | None) -> None:
         self.table, self.first, self.within_us = table, first, within_us
 
     def prepare(self, handle):
-        self.open = handle.getValueState("open", "place BIGINT, attempts STRING")
+        #: By key its place, its attempts by state, and the time at which it is looked at again.
+        self.open = Slots(handle, "open")
 
-    def _load(self):
-        place, text = tuple(self.open.get()) if self.open.exists() else (0, "{}")
-        return place, {int(state): begun for state, begun in json.loads(text).items()}
-
-    def _keep(self, place, attempts):
-        self.open.update((place, json.dumps(attempts)))
-        if self.within_us is not None and attempts:
-            self.handle.registerTimer((min(b[0][0] for b in attempts.values()) + self.within_us) // 1000 + 1)
+    def begin(self, key):
+        self.touched = set()
 
     def _over(self, attempts, is_over):
         """Take out the attempts whose time is over; those of a state stand in the order of their begin."""
@@ -555,37 +754,53 @@ class Attempts(InOrder):
                 del attempts[state]
 
     def released(self, key, rows):
-        place, attempts = self._load()
         accept = len(self.table)
         for row in rows:
+            self.touched.add(row.key)
+            # A row that only brings time has no payload.
+            if row.payload is None:
+                continue
+            kept = self.open.of(row.key)
+            place, attempts, again = kept.get(row.key, (0, {}, None))
             if self.within_us is not None:
                 yield from self._over(attempts, lambda end, now=row.us: end < now)
             moved = {}
             for state, begun in attempts.items():
-                after = self.table[state][row.fits]
+                after = self.table[int(state)][row.fits]
                 if after == accept:
                     for _, at, payload in begun:
                         yield Row(payload=payload, kind="match", endUs=row.us, rowsBetween=place - at - 1)
                 elif after:
+                    after = str(after)
                     moved[after] = sorted(moved.get(after, []) + begun) if after in moved else begun
             if row.fits & 1:
                 if self.first == accept:
                     yield Row(payload=row.payload, kind="match", endUs=row.us, rowsBetween=-1)
                 else:
-                    moved.setdefault(self.first, []).append([row.us, place, row.payload])
-            attempts = moved
-            place += 1
-        self._keep(place, attempts)
+                    moved.setdefault(str(self.first), []).append([row.us, place, row.payload])
+            # Without attempts no place is looked back to.
+            if moved:
+                kept[row.key] = [place + 1, moved, again]
+            else:
+                kept.pop(row.key, None)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
-        if self.within_us is not None and self.open.exists():
-            watermark = timerValues.getCurrentWatermarkInMs()
-            place, attempts = self._load()
-            found = list(self._over(attempts, lambda end: end // 1000 < watermark))
-            if found:
-                self._keep(place, attempts)
-                yield from found
+    def settle(self, key, watermark):
+        looks = []
+        for name in self.touched if self.within_us is not None else ():
+            kept = self.open.of(name)
+            if name not in kept:
+                continue
+            place, attempts, again = kept[name]
+            yield from self._over(attempts, lambda end: end // 1000 < watermark)
+            if not attempts:
+                del kept[name]
+                continue
+            us = min(begun[0][0] for begun in attempts.values()) + self.within_us + 1000
+            if us != again:
+                looks.append(json.dumps({"us": us, "key": name}, separators=(",", ":")))
+            kept[name] = [place, attempts, us]
+        self._wait(looks)
+        self.open.save()
 
 
 class AverageChanges(StatefulProcessor):
