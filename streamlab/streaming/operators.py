@@ -23,9 +23,12 @@ from streamlab.streaming import processors
 # Processors travel to the executors by value, so that workers need no copy of this package.
 cloudpickle.register_pickle_by_value(processors)
 
-#: Buckets of nearest-taxi queries. Rides pass every bucket, so there should be no more than the queries need.
+#: Buckets of nearest-taxi queries. Runs of rides pass every bucket, so there should be no more than the queries need.
 QUERY_BUCKETS = 4
 
+#: Rides of so many microseconds wait in one bucket before they become runs.
+RUN_SLICE_US = 300_000_000
+
 #: Buckets of keys with state of their own. Fixed, because a query that starts again from its checkpoint must find its
 #: keys; many more than a cluster has cores would only add calls to the state store.
 KEY_BUCKETS = 256
@@ -333,8 +336,8 @@ def nearest_taxi(
 ) -> DataFrame:
     """New nearest taxis per query, as ``nearest.nearest_taxi_improvements`` has them.
 
-    Queries are dealt to buckets and keep their best there; rides and the times of all queries pass
-    every bucket. Only improvements come out.
+    Rides wait once, dealt by slices of time, and leave as runs of many rides. Queries are dealt to buckets and keep
+    their best there; runs and the times of all queries pass every bucket. Only improvements come out.
     """
     ends = nearest.located_ends(rides).select(
         F.col("eventTime").alias("_time"), F.col("rideId").alias("tie"), "taxiId", "lon", "lat", "cosLat"
@@ -342,14 +345,16 @@ def nearest_taxi(
     asked = queries.select(
         F.col("ts").alias("_time"), F.lit(-(1 << 62)).cast("long").alias("tie"), "queryId", "lon", "lat"
     )
-    every = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))
-    own = F.pmod(F.xxhash64("queryId"), F.lit(buckets)).cast("int")
-    both = ends.withColumn("_bucket", every).unionByName(
-        asked.withColumn("_bucket", every).withColumn("mine", F.col("_bucket") == own), allowMissingColumns=True
-    )
+    both = ends.unionByName(asked, allowMissingColumns=True)
     both = both.withWatermark("_time", delay).withColumn("us", F.unix_micros("_time"))
+    in_slice = F.col("us") - F.pmod(F.col("us"), F.lit(RUN_SLICE_US))
+    both = both.withColumn("_bucket", F.pmod(F.xxhash64(in_slice), F.lit(KEY_BUCKETS)).cast("int"))
+    runs = _apply(both, ["_bucket"], processors.RideRuns(RUN_SLICE_US), "_time")
+    own = F.pmod(F.xxhash64("queryId"), F.lit(buckets)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))
+    dealt = runs.withColumn("_bucket", every).withColumn("mine", F.col("_bucket") == own)
     ttls = [None if ttl is None else _micros(ttl) for ttl in (query_ttl, report_ttl)]
-    best = _apply(both, ["_bucket"], processors.NearestTaxi(*ttls, geo.DEGREE_KM))
+    best = _apply(dealt, ["_bucket"], processors.NearestTaxi(*ttls, geo.DEGREE_KM))
     return best.select("queryId", "taxiId", "km", _from_us("us").alias("eventTime"))
 
 

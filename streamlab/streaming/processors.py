@@ -16,10 +16,11 @@ from __future__ import annotations
 
 import json
 import math
+from base64 import b64decode, b64encode
 from bisect import bisect_left, bisect_right
 from collections import namedtuple
 from collections.abc import Iterator
-from itertools import islice
+from itertools import groupby, islice
 from operator import attrgetter, itemgetter
 from zlib import crc32
 
@@ -33,7 +34,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 #: Arrow types of the columns of an output.
 ARROW = {
     "STRING": pa.string(), "BIGINT": pa.int64(), "INT": pa.int32(), "DOUBLE": pa.float64(), "FLOAT": pa.float32(),
-    "BOOLEAN": pa.bool_(),
+    "BOOLEAN": pa.bool_(), "TIMESTAMP": pa.timestamp("us", "UTC"),
 }
 
 
@@ -623,15 +624,62 @@ def flat_km(lon, lat, to_lon, to_lat, to_cos, degree_km):
     return (degree_km * np.sqrt(dy * dy + dx * dx)).astype(np.float32)
 
 
+class RideRuns(InOrder):
+    """Rides in time order as runs: one text with arrays of their fields (``run_of``). A run lies in one slice of time and has no
+    query in its time, because the rides and queries of a slice wait together. Queries come out as they are."""
+
+    fields = "us BIGINT, tie BIGINT, taxiId BIGINT, lon FLOAT, lat FLOAT, cosLat DOUBLE, queryId BIGINT"
+    output = "_time TIMESTAMP, us BIGINT, tie BIGINT, rides STRING, queryId BIGINT, lon FLOAT, lat FLOAT"
+    #: Rides of a run at most.
+    run_rows = 4096
+
+    def __init__(self, slice_us: int) -> None:
+        self.slice_us = slice_us
+
+    def released(self, key, rows):
+        for (_, asked), same in groupby(rows, lambda row: (row.us // self.slice_us, row.queryId is not None)):
+            same = list(same)
+            if asked:
+                yield from ((row.us, row.us, row.tie, None, row.queryId, row.lon, row.lat) for row in same)
+                continue
+            for lo in range(0, len(same), self.run_rows):
+                run = same[lo : lo + self.run_rows]
+                yield run[-1].us, run[0].us, run[0].tie, run_of(run), None, None, None
+
+
+#: The fields of the rides of a run, one array after the other; a taxi that is null is not known.
+RUN = {"us": np.int64, "taxiId": np.int64, "cosLat": np.float64, "lon": np.float32, "lat": np.float32, "known": np.bool_}
+
+
+def run_of(rides: list) -> str:
+    columns = {name: [getattr(ride, name) for ride in rides] for name in RUN if name != "known"}
+    columns["known"] = [taxi is not None for taxi in columns["taxiId"]]
+    columns["taxiId"] = [0 if taxi is None else taxi for taxi in columns["taxiId"]]
+    return b64encode(b"".join(np.array(columns[name], kind).tobytes() for name, kind in RUN.items())).decode()
+
+
+def rides_of(runs: list[str]) -> dict[str, np.ndarray]:
+    """The rides of runs by field."""
+    parts = {name: [] for name in RUN}
+    for run in runs:
+        held, at = b64decode(run), 0
+        n = len(held) // sum(np.dtype(kind).itemsize for kind in RUN.values())
+        for name, kind in RUN.items():
+            parts[name].append(np.frombuffer(held, kind, n, at))
+            at += n * np.dtype(kind).itemsize
+    return {name: np.concatenate(arrays) for name, arrays in parts.items()}
+
+
 class NearestTaxi(InOrder):
-    """New nearest taxis of the queries of one bucket. Every ride passes every bucket; what comes out is
-    only the improvements. A query row that is not ``mine`` belongs to another bucket, and still drops
+    """New nearest taxis of the queries of one bucket. Every run of rides (``RideRuns``) passes every bucket; what
+    comes out is only the improvements. A query row that is not ``mine`` belongs to another bucket, and still drops
     queries that have grown old here."""
 
-    fields = (
-        "us BIGINT, tie BIGINT, taxiId BIGINT, lon FLOAT, lat FLOAT, cosLat DOUBLE, queryId BIGINT, mine BOOLEAN"
-    )
+    fields = "us BIGINT, tie BIGINT, rides STRING, queryId BIGINT, lon FLOAT, lat FLOAT, mine BOOLEAN"
     output = "queryId BIGINT, taxiId BIGINT, km FLOAT, us BIGINT"
+    # A row is a run of up to 4,096 rides.
+    block_rows = 16
+    piece_rows = 512
 
     def __init__(self, query_ttl_us: int | None, report_ttl_us: int | None, degree_km: float) -> None:
         self.query_ttl_us, self.report_ttl_us, self.degree_km = query_ttl_us, report_ttl_us, degree_km
@@ -646,21 +694,17 @@ class NearestTaxi(InOrder):
         self.before = dict(self.active)
 
     def released(self, key, rows):
-        active = self.active
-        i = 0
-        while i < len(rows):
-            j = i
-            while j < len(rows) and rows[j].queryId is None:
-                j += 1
-            yield from self._rides(active, rows[i:j])
-            if j < len(rows):
-                row = rows[j]
+        for between, same in groupby(rows, lambda row: row.rides is not None):
+            if between:
+                runs = [row.rides for row in same] if self.active else []
+                for lo in range(0, len(runs), 64):
+                    yield from self._rides(self.active, rides_of(runs[lo : lo + 64]))
+                continue
+            for row in same:
                 if self.query_ttl_us is not None:
-                    active = {q: v for q, v in active.items() if row.us - v[0] <= self.query_ttl_us}
+                    self.active = {q: v for q, v in self.active.items() if row.us - v[0] <= self.query_ttl_us}
                 if row.mine and row.lon != 0:
-                    active[row.queryId] = (row.us, row.lon, row.lat, None, None)
-            i = j + 1
-        self.active = active
+                    self.active[row.queryId] = (row.us, row.lon, row.lat, None, None)
 
     def settle(self, key, watermark):
         for q in self.before.keys() - self.active.keys():
@@ -671,16 +715,12 @@ class NearestTaxi(InOrder):
         return iter([])
 
     def _rides(self, active, rides):
-        if not rides or not active:
-            return
-        us = np.array([r.us for r in rides], np.int64)
-        lon, lat = (np.array([getattr(r, c) for r in rides], np.float32) for c in ("lon", "lat"))
-        cos = np.array([r.cosLat for r in rides], np.float64)
+        us, taxi, known = rides["us"], rides["taxiId"], rides["known"]
         for q, (asked, q_lon, q_lat, km, best_us) in active.items():
-            seen = flat_km(q_lon, q_lat, lon, lat, cos, self.degree_km)
+            seen = flat_km(q_lon, q_lat, rides["lon"], rides["lat"], rides["cosLat"], self.degree_km)
             places, best = improvements(us, seen, None if best_us is None else (km, best_us), self.report_ttl_us)
             for i in places:
-                yield Row(queryId=q, taxiId=rides[i].taxiId, km=float(seen[i]), us=int(us[i]))
+                yield Row(queryId=q, taxiId=int(taxi[i]) if known[i] else None, km=float(seen[i]), us=int(us[i]))
             if places:
                 active[q] = (asked, q_lon, q_lat, *best)
 
