@@ -70,9 +70,11 @@ def _packed(fields: str) -> Column:
     return F.to_json(F.struct(*[given(c, kind) for c, kind in kinds]))
 
 
-def _timed(df: DataFrame, ts: str, delay: str) -> DataFrame:
-    """Watermarked ``_time``, ``us`` and the whole row as JSON ``payload``."""
+def _timed(df: DataFrame, ts: str, delay: str, wanted: Column | None = None) -> DataFrame:
+    """Watermarked ``_time``, ``us`` and the whole row as JSON ``payload``; an empty one where it is not ``wanted``."""
     payload = F.to_json(F.struct(*df.columns), {"timestampFormat": _STAMP})
+    if wanted is not None:
+        payload = F.when(wanted, payload).otherwise("")
     return (
         df.withColumn("payload", payload)
         .withColumn("_time", F.col(ts))
@@ -103,7 +105,7 @@ def _from_us(name: str) -> Column:
 
 def long_rides(rides: DataFrame, within: str = "120 minutes", delay: str = "60 seconds") -> DataFrame:
     timed = with_event_time(rides)
-    rows = _timed(timed, "eventTime", delay).select("rideId", "isStart", "us", "payload", "_time")
+    rows = _timed(timed, "eventTime", delay, F.col("isStart")).select("rideId", "isStart", "us", "payload", "_time")
     found = _apply(rows, ["rideId"], processors.OpenStarts(_micros(within)))
     return found.select(_unpack("payload", timed).alias("r")).select("r.*")
 
@@ -253,7 +255,8 @@ def match_pattern(
     automaton = patterns.compile_steps(steps)
     fits = patterns.fitting_steps(steps).cast("int")
     order = F.lit(0) if tie is None else tie
-    rows = _timed(df.withColumn("_fits", fits), ts, delay).select(
+    # Only a row that begins an attempt comes out.
+    rows = _timed(df.withColumn("_fits", fits), ts, delay, F.col("_fits").bitwiseAND(1) == 1).select(
         *keys, "us", order.cast("long").alias("tie"), "payload", F.col("_fits").alias("fits"), "_time"
     )
     within_us = None if within is None else patterns.micros(within)

@@ -14,6 +14,7 @@ seen in event-time order. The results do not depend on arrival order, and equal
 
 from __future__ import annotations
 
+import gc
 import json
 import math
 from base64 import b64decode, b64encode
@@ -21,6 +22,7 @@ from bisect import bisect_left, bisect_right
 from collections import namedtuple
 from collections.abc import Iterator
 from itertools import groupby, islice
+from json.encoder import encode_basestring_ascii
 from operator import attrgetter, itemgetter
 from zlib import crc32
 
@@ -68,6 +70,18 @@ class Slots:
         self.read = {}
 
 
+def _uncollected(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The same frames. Rows make no cycles, so while a bucket is read its rows are not searched for them again and again."""
+    if not gc.isenabled():
+        yield from frames
+        return
+    gc.disable()
+    try:
+        yield from frames
+    finally:
+        gc.enable()
+
+
 class InOrder(StatefulProcessor):
     """Holds rows back until the watermark reaches them, then passes them on in their order.
 
@@ -118,11 +132,11 @@ class InOrder(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         texts = (text for frame in rows for text in frame["packed"])
-        yield from self._frames(self.arrived(texts, timerValues.getCurrentWatermarkInMs()))
+        yield from _uncollected(self._frames(self.arrived(texts, timerValues.getCurrentWatermarkInMs())))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         watermark = timerValues.getCurrentWatermarkInMs()
-        yield from self._frames(self._expired(key, watermark, expiredTimerInfo.getExpiryTimeInMs()))
+        yield from _uncollected(self._frames(self._expired(key, watermark, expiredTimerInfo.getExpiryTimeInMs())))
 
     def _frames(self, rows: Iterator[Row]) -> Iterator[pd.DataFrame]:
         columns = [part.split() for part in self.output.split(", ")]
@@ -131,11 +145,13 @@ class InOrder(StatefulProcessor):
             arrays = [pa.array(cells, ARROW[kind]) for cells, (_, kind) in zip(zip(*some, strict=True), columns, strict=True)]
             yield pd.DataFrame({name: pd.Series(pd.arrays.ArrowExtensionArray(array)) for array, (name, _) in zip(arrays, columns, strict=True)})
 
-    def _record(self, values: dict):
+    def _records(self, block: list[dict]) -> list:
         for name in self.floats:
-            if isinstance(values.get(name), str):  # how Spark writes NaN and infinities
-                values[name] = float(values[name])
-        return self.record(*map(values.get, self.record._fields))
+            for values in block:
+                if isinstance(values.get(name), str):  # how Spark writes NaN and infinities
+                    values[name] = float(values[name])
+        make, names = self.record._make, self.record._fields
+        return [make(map(values.get, names)) for values in block]
 
     def _expired(self, key, watermark, fired):
         # The first timer of a key reads all that is due; the other timers then find nothing.
@@ -170,7 +186,7 @@ class InOrder(StatefulProcessor):
             return []
         found = []
         for n in range(self.counts.getValue((ms,))[0]):
-            found += map(self._record, json.loads(self.blocks.getValue((ms, n))[0]))
+            found += self._records(json.loads(self.blocks.getValue((ms, n))[0]))
             self.blocks.removeKey((ms, n))
         self.counts.removeKey((ms,))
         return found
@@ -456,38 +472,48 @@ class OpenStarts(InOrder):
 
     def arrived(self, texts, watermark):
         while piece := list(islice(texts, self.piece_rows)):
-            over = set()
-            for row in map(json.loads, piece):
+            over, of, within = {}, self.open.of, self.within_us
+            for row in json.loads(f"[{','.join(piece)}]"):
                 key, us = row["key"], row["us"]
-                first, starts = self.open.of(key).setdefault(key, [None, []])
+                kept = of(key)
+                held = kept.get(key)
+                if held is None:
+                    held = kept[key] = [None, []]
+                first, starts = held
                 # A row that is neither counts as an END.
                 if not row.get("isStart"):
-                    first = us if first is None else min(first, us)
-                    starts = [start for start in starts if first > start[0] + self.within_us]
-                    over.add((us + self.within_us, key))
-                elif first is None or first > us + self.within_us:
-                    starts = [*starts, [us, row["payload"]]]
-                    over.add((us + self.within_us, key))
-                self.open.of(key)[key] = [first, starts]
-            self._wait([json.dumps({"us": us, "key": key}, separators=(",", ":")) for us, key in over])
+                    if first is None or us < first:
+                        held[0] = us
+                        over.setdefault(key, set()).add(us)
+                        if starts:
+                            held[1] = [start for start in starts if us > start[0] + within]
+                elif first is None or first > us + within:
+                    starts.append([us, row["payload"]])
+                    over.setdefault(key, set()).add(us)
+            # Only what is still open has a time that ends.
+            looks = []
+            for key, times in over.items():
+                first, starts = of(key)[key]
+                looks += [(us, key) for us in times.intersection([first, *(start[0] for start in starts)])]
+            self._wait([f'{{"us":{us + within},"key":{encode_basestring_ascii(key)}}}' for us, key in looks])
         self.open.save()
         return iter([])
 
     def released(self, key, rows):
         for row in rows:
             kept = self.open.of(row.key)
-            if row.key not in kept:
+            held = kept.get(row.key)
+            if held is None:
                 continue
-            first, starts = kept[row.key]
-            over = lambda us, now=row.us // 1000: (us + self.within_us) // 1000 <= now
-            for us, payload in starts:
-                if over(us):
-                    yield Row(payload=payload)
-            starts = [start for start in starts if not over(start[0])]
-            first = None if first is None or over(first) else first
-            if starts or first is not None:
-                kept[row.key] = [first, starts]
-            else:
+            first, starts = held
+            now = row.us // 1000
+            over = [start for start in starts if (start[0] + self.within_us) // 1000 <= now]
+            if over:
+                yield from ((payload,) for _, payload in over)
+                held[1] = starts = [start for start in starts if (start[0] + self.within_us) // 1000 > now]
+            if first is not None and (first + self.within_us) // 1000 <= now:
+                held[0] = first = None
+            if first is None and not starts:
                 del kept[row.key]
 
     def settle(self, key, watermark):
@@ -782,47 +808,52 @@ class Attempts(InOrder):
     def begin(self, key):
         self.touched = set()
 
-    def _over(self, attempts, is_over):
-        """Take out the attempts whose time is over; those of a state stand in the order of their begin."""
+    def _over(self, attempts, before):
+        """Take out the attempts whose time was over before; those of a state stand in the order of their begin."""
+        found = []
         for state, begun in list(attempts.items()):
             n = 0
-            while n < len(begun) and is_over(begun[n][0] + self.within_us):
-                yield Row(payload=begun[n][2], kind="timeout", endUs=None, rowsBetween=None)
+            while n < len(begun) and begun[n][0] + self.within_us < before:
+                found.append((begun[n][2], "timeout", None, None))
                 n += 1
-            attempts[state] = begun[n:]
-            if not attempts[state]:
+            if n == len(begun):
                 del attempts[state]
+            elif n:
+                attempts[state] = begun[n:]
+        return found
 
     def released(self, key, rows):
-        accept = len(self.table)
+        accept, table, of, timed = len(self.table), self.table, self.open.of, self.within_us is not None
         for row in rows:
-            self.touched.add(row.key)
+            name, us, fits = row.key, row.us, row.fits
+            self.touched.add(name)
             # A row that only brings time has no payload.
             if row.payload is None:
                 continue
-            kept = self.open.of(row.key)
-            place, attempts, again = kept.get(row.key, (0, {}, None))
-            if self.within_us is not None:
-                yield from self._over(attempts, lambda end, now=row.us: end < now)
+            kept = of(name)
+            place, attempts, again = kept.get(name, (0, None, None))
             moved = {}
-            for state, begun in attempts.items():
-                after = self.table[int(state)][row.fits]
-                if after == accept:
-                    for _, at, payload in begun:
-                        yield Row(payload=payload, kind="match", endUs=row.us, rowsBetween=place - at - 1)
-                elif after:
-                    after = str(after)
-                    moved[after] = sorted(moved.get(after, []) + begun) if after in moved else begun
-            if row.fits & 1:
+            if attempts:
+                if timed:
+                    yield from self._over(attempts, us)
+                for state, begun in attempts.items():
+                    after = table[int(state)][fits]
+                    if after == accept:
+                        for _, at, payload in begun:
+                            yield payload, "match", us, place - at - 1
+                    elif after:
+                        after = str(after)
+                        moved[after] = sorted(moved.get(after, []) + begun) if after in moved else begun
+            if fits & 1:
                 if self.first == accept:
-                    yield Row(payload=row.payload, kind="match", endUs=row.us, rowsBetween=-1)
+                    yield row.payload, "match", us, -1
                 else:
-                    moved.setdefault(str(self.first), []).append([row.us, place, row.payload])
+                    moved.setdefault(str(self.first), []).append([us, place, row.payload])
             # Without attempts no place is looked back to.
             if moved:
-                kept[row.key] = [place + 1, moved, again]
-            else:
-                kept.pop(row.key, None)
+                kept[name] = [place + 1, moved, again]
+            elif attempts is not None:
+                del kept[name]
 
     def settle(self, key, watermark):
         looks = []
@@ -831,13 +862,13 @@ class Attempts(InOrder):
             if name not in kept:
                 continue
             place, attempts, again = kept[name]
-            yield from self._over(attempts, lambda end: end // 1000 < watermark)
+            yield from self._over(attempts, watermark * 1000)
             if not attempts:
                 del kept[name]
                 continue
             us = min(begun[0][0] for begun in attempts.values()) + self.within_us + 1000
             if us != again:
-                looks.append(json.dumps({"us": us, "key": name}, separators=(",", ":")))
+                looks.append(f'{{"us":{us},"key":{encode_basestring_ascii(name)}}}')
             kept[name] = [place, attempts, us]
         self._wait(looks)
         self.open.save()

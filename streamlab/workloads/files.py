@@ -60,12 +60,17 @@ def point_files(t: Tables) -> DataFrame:
     return t.spark.read.text(path)
 
 
-def _in_order(events: DataFrame, parts: int) -> list[DataFrame]:
+def _ranges(events: DataFrame, parts: int) -> list[DataFrame]:
     """Consecutive ranges of event time."""
     at = F.unix_micros("ts")
     edges = events.select(F.percentile_approx(at, [k / parts for k in range(1, parts)], 10_000)).first()[0]
     place = F.size(F.filter(F.lit(edges), lambda e: e <= at))
-    return [events.where(place == k).coalesce(1) for k in range(parts)]
+    return [events.where(place == k) for k in range(parts)]
+
+
+def _in_order(events: DataFrame, parts: int) -> list[DataFrame]:
+    """Consecutive ranges of event time, a file each."""
+    return [part.coalesce(1) for part in _ranges(events, parts)]
 
 
 def _zoned(t: Tables) -> DataFrame:
@@ -87,9 +92,9 @@ def stream_long_rides_restarted(t: Tables) -> DataFrame:
     """Half of the events, a stop, and the rest with the same checkpoint: open rides are remembered."""
     events = _zoned(t)
     source, out, checkpoint = (scratch_path(t.spark, f"restart-{name}") for name in ("in", "out", "checkpoint"))
-    first, second = _in_order(events, 2)
+    first, second = _ranges(events, 2)
     last = _flush_row(t, events, event_id=F.lit(FLUSH_ID), ts=F.lit(FAR), user_id=F.lit(FLUSH_USER), event_type=F.lit("x"), value=F.lit(0.0))
-    for part in (first, second.unionByName(last).coalesce(1)):
+    for part in (first, second.unionByName(last)):
         part.write.mode("append").parquet(source)
         stream = t.spark.readStream.schema(events.schema).parquet(source)
         found = so.long_rides(tables.rides_from_events(stream), delay="1 minute")
